@@ -139,4 +139,4 @@ def split_texts(df: DataFrame, key: Column, text: Column, specs: list[tuple[int,
         return df.sparkSession.createDataFrame([], SCHEMA)
     path = path or tokenizer_path()
     blocks = cut_lineage(word_blocks(df, key, text, block_chars))
-    return join_back(blocks, path, _split(specs, path), SCHEMA)
+    return join_back(blocks, path, _split(specs, path), SCHEMA, with_words=True)

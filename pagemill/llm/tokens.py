@@ -8,10 +8,10 @@ the other, and each distinct word needs to be encoded only once:
 1. ``word_blocks`` splits texts into words. Texts go into blocks of bounded
    length; a block keeps its distinct words and the position of each of them in
    its texts.
-2. ``encode_words`` makes the table of distinct words over all blocks and encodes
-   each word once.
-3. ``join_back`` joins the ids to the blocks by word and puts them together by
-   position, one block at a time.
+2. ``encode_words`` brings equal words together and encodes each of them once,
+   which is the table of distinct words, kept with the places of each word.
+3. ``join_back`` joins the ids to the blocks and puts them together by position,
+   one block at a time.
 
 The two shuffles carry distinct words per block, never one row per token, and no
 key of either can become hot: a word occurs once in a block at most, and a block
@@ -38,7 +38,7 @@ BLOCK_CHARS = 4_000_000
 SPACE = "\\t\\n\\v\\f\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORD = f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 
-BLOCKS = "block string, keys array<long>, lengths binary, codes binary, words array<string>"
+BLOCKS = "block long, keys array<long>, lengths binary, codes binary, words array<string>"
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -82,6 +82,18 @@ def piece_sizes(path: str) -> np.ndarray:
     return _sizes[path]
 
 
+def squeeze(codes: np.ndarray) -> bytes:
+    """32-bit integers as compressed byte planes, which for word codes are a third as long."""
+    planes = np.ascontiguousarray(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return len(codes).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 class _Codes(dict):
     def __missing__(self, word: str) -> int:
         code = self[word] = len(self)
@@ -94,11 +106,12 @@ def _block(keys: list, texts: list[str], find: Callable[[str], list[str]]) -> pa
     parts = [np.fromiter(map(at, words), np.int32, len(words)) for words in map(find, texts)]
     lengths = np.fromiter(map(len, parts), np.int32, len(parts))
     flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
-    digest = hashlib.blake2b(flat.tobytes(), digest_size=12)
+    digest = hashlib.blake2b(repr(keys).encode(), digest_size=8)
+    digest.update(flat.tobytes())
     digest.update("".join(codes).encode("utf-8", "surrogatepass"))
-    name = f"{keys[0]}:{len(keys)}:{digest.hexdigest()}"
+    name = int.from_bytes(digest.digest(), "little", signed=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array([name]), pa.array([keys], pa.list_(pa.int64())), pa.array([lengths.tobytes()], pa.binary()), pa.array([flat.tobytes()], pa.binary()), pa.array([list(codes)], pa.list_(pa.string()))],
+        [pa.array([name], pa.int64()), pa.array([keys], pa.list_(pa.int64())), pa.array([lengths.tobytes()], pa.binary()), pa.array([squeeze(flat)], pa.binary()), pa.array([list(codes)], pa.list_(pa.string()))],
         names=["block", "keys", "lengths", "codes", "words"],
     )
 
@@ -131,61 +144,77 @@ def word_blocks(df: DataFrame, key: Column, text: Column, block_chars: int = BLO
     return rows.mapInArrow(_to_blocks(block_chars), BLOCKS)
 
 
+def id_type(path: str) -> np.dtype:
+    """The narrowest unsigned type that holds every id of the vocabulary."""
+    return np.dtype(np.uint16 if len(piece_sizes(path)) <= 1 << 16 else np.uint32)
+
+
 def _encode_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode, kind = encoder(path).encode_ordinary, id_type(path)
+        last, packed = None, b""
         for b in batches:
-            ids = [np.asarray(encode(w), np.int32).tobytes() for w in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["word", "ids"])
+            out = []
+            for w in b.column(2).to_pylist():
+                if w != last:
+                    last, packed = w, np.asarray(encode(w), kind).tobytes()
+                out.append(packed)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["of_block", "pos", "ids"])
 
     return run
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """The distinct-word table: ``word`` and its ``ids`` (packed 32-bit integers), each word encoded once."""
-    return words.select("word").distinct().mapInArrow(_encode_batches(path), "word string, ids binary")
+def encode_words(blocks: DataFrame, path: str) -> DataFrame:
+    """The distinct words of all blocks with their places: (of_block, pos, ids), ids packed.
+
+    Equal words come together by one shuffle and a sort, and each is encoded once.
+    """
+    words = blocks.select("block", F.posexplode("words").alias("pos", "word"))
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_batches(path), "of_block long, pos int, ids binary")
 
 
 class BlockIds:
     """The ids of a block's texts: ``ids`` is flat, text ``i`` has ``ids[ends[i - 1]:ends[i]]``."""
 
-    def __init__(self, block: dict, pos: np.ndarray, packed: pa.Array):
-        offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
-        data = packed.buffers()[2]
-        pool = np.frombuffer(data, np.int32, offsets[-1] // 4) if data is not None and len(packed) else np.empty(0, np.int32)
-        start, count = np.empty(len(block["words"]), np.int64), np.empty(len(block["words"]), np.int64)
-        start[pos], count[pos] = offsets[:-1] // 4, np.diff(offsets) // 4
-        codes = np.frombuffer(block["codes"], np.int32)
-        lengths = np.frombuffer(block["lengths"], np.int32)
-        n = count[codes]
-        upto = np.concatenate(([0], np.cumsum(n)))
-        self.ends = upto[np.cumsum(lengths)]
+    def __init__(self, block: dict, pos: np.ndarray, packed: pa.Array, kind: np.dtype):
+        offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1] // kind.itemsize
+        self._pool = np.frombuffer(packed.buffers()[2] or b"", kind, offsets[-1]) if len(packed) else np.empty(0, kind)
+        size = int(pos.max(initial=-1)) + 1
+        start, count = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        start[pos], count[pos] = offsets[:-1], np.diff(offsets)
         self.keys = block["keys"]
-        self.codes, self.lengths, self._start, self._n, self._upto, self._pool = codes, lengths, start, n, upto, pool
+        self.codes = unsqueeze(block["codes"])
+        self.lengths = np.frombuffer(block["lengths"], np.int32)
+        self._n = count[self.codes]
+        self._start = start
+        self._upto = np.concatenate(([0], np.cumsum(self._n)))
+        self.ends = self._upto[np.cumsum(self.lengths)]
 
     @property
     def ids(self) -> np.ndarray:
         return self._pool[np.repeat(self._start[self.codes] - self._upto[:-1], self._n) + np.arange(self._upto[-1])]
 
 
-def join_back(blocks: DataFrame, path: str, finish: Callable[[BlockIds, dict], pa.Table], schema: str) -> DataFrame:
-    """``finish`` of each block with its ids; ``blocks`` should be a stored table, as it is read twice."""
-    words = blocks.select("block", F.posexplode("words").alias("pos", "word")).repartition("word")
-    placed = words.join(encode_words(words, path).hint("shuffle_hash"), "word").select(F.col("block").alias("of_block"), "pos", "ids")
+def join_back(blocks: DataFrame, path: str, finish: Callable[[BlockIds, dict], pa.Table], schema: str, with_words: bool = False) -> DataFrame:
+    """``finish`` of each block with its ids; ``blocks`` should be a stored table, as it is read twice.
+
+    ``finish`` gets the block's row too, which has the words if ``with_words``.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         # Blocks of one name have the same words in the same places, so they share the ids.
-        rows = left.select(["keys", "lengths", "codes", "words"]).to_pylist()
         packed = right.column("ids").combine_chunks()
         packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
-        return pa.concat_tables(finish(BlockIds(r, right.column("pos").to_numpy(), packed), r) for r in rows)
+        pos = right.column("pos").to_numpy()
+        return pa.concat_tables(finish(BlockIds(r, pos, packed, id_type(path)), r) for r in left.to_pylist())
 
-    return blocks.groupBy("block").cogroup(placed.groupBy("of_block")).applyInArrow(run, schema)
+    left = blocks if with_words else blocks.drop("words")
+    return left.groupBy("block").cogroup(encode_words(blocks, path).groupBy("of_block")).applyInArrow(run, schema)
 
 
 def _ids_table(b: BlockIds, _: dict) -> pa.Table:
     offsets = np.concatenate(([0], b.ends)).astype(np.int32)
-    return pa.table({"key": pa.array(b.keys, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(b.ids, pa.int32()))})
+    return pa.table({"key": pa.array(b.keys, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(b.ids.astype(np.int32)))})
 
 
 def _count_table(b: BlockIds, _: dict) -> pa.Table:
