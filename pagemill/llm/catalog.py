@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import packing, pieces, tokens
+from pagemill.llm import lookalikes, packing, pieces, tokens
 from pagemill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def fields(spark: SparkSession, sf_dir: str, names: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """(field_name, rec_id, text) of the fields given as name -> (table, id, column)."""
+    parts = [table(spark, sf_dir, t).select(F.lit(name).alias("field_name"), F.col(i).alias("rec_id"), F.col(c).alias("text")) for name, (t, i, c) in names.items()]
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
+    return df
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fields(spark, sf_dir, {"page.title": ("rendered", "page_id", "title"), "result.title": ("results", "result_id", "title"), "link.text": ("links", "link_id", "text")})
+    return lookalikes.same_looking_pairs(rows)
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokens.encode_corpus(docs, F.col("doc_id"), F.col("text")).select(F.col("key").alias("doc_id"), "ids")
@@ -29,4 +43,4 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, tuple[Query, str | None]]:
-    return {"p6_ids": (p6_ids, None), "p7_containers": (p7_containers, None), "p8_pieces": (p8_pieces, None)}
+    return {"p2_found": (p2_found, None), "p6_ids": (p6_ids, None), "p7_containers": (p7_containers, None), "p8_pieces": (p8_pieces, None)}
