@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import lookalikes, packing, pieces, tokens
+from pagemill.llm import lookalikes, mojibake, packing, pieces, tokens
 from pagemill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.same_looking_pairs(rows)
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fields(spark, sf_dir, {"page.markdown": ("rendered", "page_id", "markdown"), "page.title": ("rendered", "page_id", "title"), "result.snippet": ("results", "result_id", "snippet")})
+    return mojibake.garbled(rows).select("field_name", "rec_id").distinct()
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokens.encode_corpus(docs, F.col("doc_id"), F.col("text")).select(F.col("key").alias("doc_id"), "ids")
@@ -43,4 +48,4 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, tuple[Query, str | None]]:
-    return {"p2_found": (p2_found, None), "p6_ids": (p6_ids, None), "p7_containers": (p7_containers, None), "p8_pieces": (p8_pieces, None)}
+    return {"p2_found": (p2_found, None), "p4_found": (p4_found, None), "p6_ids": (p6_ids, None), "p7_containers": (p7_containers, None), "p8_pieces": (p8_pieces, None)}
