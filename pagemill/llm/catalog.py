@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import lookalikes, mojibake, packing, pieces, tokens
+from pagemill.llm import boilerplate, lookalikes, mojibake, packing, pieces, residue, tokens
 from pagemill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,17 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.same_looking_pairs(rows)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.boilerplate_lines(table(spark, sf_dir, "rendered"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "rendered")
+    lines = boilerplate.classified_lines(pages)
+    texts = residue.page_texts(lines, pages.select("page_id", "host")).unionByName(residue.snippet_texts(table(spark, sf_dir, "results")))
+    return residue.residue_records(texts)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fields(spark, sf_dir, {"page.markdown": ("rendered", "page_id", "markdown"), "page.title": ("rendered", "page_id", "title"), "result.snippet": ("results", "result_id", "snippet")})
     return mojibake.garbled(rows).select("field_name", "rec_id").distinct()
@@ -48,4 +59,4 @@ def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, tuple[Query, str | None]]:
-    return {"p2_found": (p2_found, None), "p4_found": (p4_found, None), "p6_ids": (p6_ids, None), "p7_containers": (p7_containers, None), "p8_pieces": (p8_pieces, None)}
+    return {"p2_found": (p2_found, None), "p3_found": (p3_found, None), "p5_found": (p5_found, None), "p4_found": (p4_found, None), "p6_ids": (p6_ids, None), "p7_containers": (p7_containers, None), "p8_pieces": (p8_pieces, None)}
