@@ -97,7 +97,25 @@ def _is_cyrillic(c: str) -> bool:
     return "\u0400" <= c <= "\u052f"
 
 
-def utf8_parts(text: str, known=None, depth: int = 0) -> list[tuple[int, int, str]]:
+@lru_cache(maxsize=200_000)
+def _unwrap(sequence: str, wrong: str) -> str | None:
+    """UTF-8 bytes, given as characters of Latin-1, as text; what was read wrongly several times is undone each time."""
+    text = None
+    for _ in range(4):
+        try:
+            inner = sequence.encode("latin-1").decode("utf-8")
+        except UnicodeError:
+            break
+        if text is not None and not all(_COMMON.match(c) for c in inner):
+            break
+        text = inner
+        sequence = _as_latin1(text, wrong)
+        if not _SEQUENCES.fullmatch(sequence):
+            break
+    return text if text is not None and _sane(text) else None
+
+
+def utf8_parts(text: str, known=None) -> list[tuple[int, int, str]]:
     """The parts of ``text`` that are UTF-8 read as another encoding, restored, in order and apart from each other.
 
     ``known`` tells whether a character occurs in the corpus: characters of two
@@ -108,14 +126,9 @@ def utf8_parts(text: str, known=None, depth: int = 0) -> list[tuple[int, int, st
     for wrong in NARROW:
         parts = []
         for m in _SEQUENCES.finditer(_as_latin1(text, wrong)):
-            try:
-                fixed = m[0].encode("latin-1").decode("utf-8")
-            except UnicodeDecodeError:
-                continue
+            fixed = _unwrap(m[0], wrong)
             a, b = m.span()
-            if depth < 3 and len(fixed) > 1 and (deeper := utf8_parts(fixed, known, depth + 1)) and deeper[0][:2] == (0, len(fixed)):
-                fixed = deeper[0][2]
-            if fixed == text[a:b] or not _sane(fixed):
+            if fixed is None or fixed == text[a:b]:
                 continue
             if wrong in CYRILLIC and len(fixed) == 1 and (a > 0 and _is_cyrillic(text[a - 1]) or b < len(text) and _is_cyrillic(text[b])):
                 continue
@@ -426,7 +439,7 @@ def garbled(rows: DataFrame) -> DataFrame:
     ``restored`` is null where something was lost. Repeated rows count once; null and
     empty texts are never garbled; an empty table gives an empty table.
     """
-    odd = suspects(rows).distinct()
+    odd = suspects(rows)
     t = pair_table(odd)
     shared = odd.sparkSession.sparkContext.broadcast((t.pairs, t.chars, np.minimum(t.words, 127).astype(np.int8), t.texts))
-    return odd.mapInArrow(_repair_batches(shared), "field_name string, rec_id long, restored string")
+    return odd.mapInArrow(_repair_batches(shared), "field_name string, rec_id long, restored string").distinct()
