@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.lookalikes import clean, prototype
+from pagemill.session import bounded_broadcast, stored
 
 #: Share of a host's pages from which a token is frequent, and the fewest pages.
 SHARE, PAGES = 0.045, 3
@@ -173,7 +174,14 @@ def core_text(text: str) -> str:
     return _NUMBER_AFTER.sub("", _NUMBER_BEFORE.sub("", _DIGITS.sub("0", text))).strip()
 
 
-TOKENS = "host string, token string, page long, n int, headline int, byline int, closing int"
+def hash_of(token: str) -> int:
+    """A token as a signed 64-bit number: what is compared and kept of it."""
+    import xxhash
+
+    return int.from_bytes(xxhash.xxh64_digest(token.encode("utf-8", "surrogatepass")), "big", signed=True)
+
+
+TOKENS = "host long, token long, page long, n smallint, headline boolean, byline boolean, closing boolean"
 
 
 def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,58 +194,69 @@ def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             lines = page_lines(text, is_html)
             top = headline_at(lines, title)
             last = max((i for i, x in enumerate(lines) if is_body(x)), default=-1)
-            seen: dict[str, list[int]] = {}
+            seen: dict[str, list] = {}
             for i, x in enumerate(lines):
                 core = headline_core(x.token) if i == top else None
-                for t in (x.token[:400], x.label, masked(x), core, core and masked(Line(0, core_text(x.text), "", None, False, False))):
+                for t in (x.token, x.label, masked(x), core, core and masked(Line(0, core_text(x.text), "", None, False, False))):
                     if t:
-                        v = seen.setdefault(t, [0, 0, 0, 1])
-                        v[0] += 1
+                        v = seen.setdefault(t, [0, False, False, True])
+                        v[0] = min(v[0] + 1, 30_000)
                         v[1] |= i == top
                         v[2] |= top is not None and i == top + 1
                         # a token closes the slot of this page if it stands after the headline and no body follows it
                         if i <= last or top is not None and i <= top:
-                            v[3] = 0
+                            v[3] = False
             for t, v in seen.items():
-                for c, value in zip(cols, (host or "", t, page, *v)):
+                for c, value in zip(cols, (host, hash_of(t), page, *v)):
                     c.append(value)
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.bool_(), pa.bool_(), pa.bool_())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in TOKENS.split(", ")])
 
 
+def _host() -> "F.Column":
+    return F.xxhash64(F.coalesce("host", F.lit("")))
+
+
+def _page() -> "F.Column":
+    return F.xxhash64(F.coalesce("cache_key", F.col("page_id").cast("string")))
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
     """A row for each token of each page; copies of a page under one cache_key are one page."""
-    named = pages.withColumn("__page", F.xxhash64(F.coalesce("cache_key", F.col("page_id").cast("string"))))
-    return named.select("host", "__page", "title", "markdown", "raw_gzip", "content_type").mapInArrow(_token_batches, TOKENS)
+    named = pages.select(_host().alias("host"), _page().alias("page"), "title", "markdown", "raw_gzip", "content_type")
+    return named.mapInArrow(_token_batches, TOKENS)
 
 
 def host_tokens(tokens: DataFrame) -> DataFrame:
     """Each token of each host with its occurrence vector (hashed) and what is known of its places."""
-    once = tokens.groupBy("host", "token", "page").agg(F.max("n").alias("n"), F.max("headline").alias("headline"), F.max("byline").alias("byline"), F.min("closing").alias("closing"))
-    return once.groupBy("host", "token").agg(
-        F.count("*").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
-        F.sum("headline").alias("headline"), F.sum("byline").alias("byline"), F.sum("closing").alias("closing"),
-    )
+    flag = lambda c, f: f(F.col(c)).alias(c)
+    once = tokens.groupBy("host", "token", "page").agg(F.max("n").alias("n"), flag("headline", F.bool_or), flag("byline", F.bool_or), flag("closing", F.bool_and))
+    count = lambda c: F.count_if(F.col(c)).cast("int").alias(c)
+    return once.groupBy("host", "token").agg(F.count("*").cast("int").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), count("headline"), count("byline"), count("closing"))
 
 
 def templates(tokens: DataFrame, pages_of_host: DataFrame) -> DataFrame:
     """(host, token, closes): the tokens of each host's template."""
-    kept = host_tokens(tokens)
+    kept = stored(host_tokens(tokens))
     classes = kept.where("pages >= 2").groupBy("host", "vector").agg(F.count("*").alias("size"))
-    own = kept.join(classes, ["host", "vector"], "left").join(pages_of_host, "host")
-    valid = ((F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("of_host"))) | ((F.col("pages") >= 2) & (F.col("size") >= CLASS_SIZE))
-    own = own.withColumn("valid", valid.cast("int"))
-    pooled = own.groupBy("token").agg(
-        F.sum("valid").alias("hosts_valid"), F.count("*").alias("hosts"), F.sum("pages").alias("all_pages"), F.sum("of_host").alias("all_of_host"),
+    often = kept.where("pages >= 2").join(classes, ["host", "vector"]).join(pages_of_host, "host")
+    valid = often.where(((F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("of_host"))) | (F.col("size") >= CLASS_SIZE)).select("host", "token")
+    valid = stored(valid)
+    named = valid.groupBy("token").agg(F.count("*").alias("hosts_valid"))
+    # what a valid token does on all hosts that have it, valid there or not
+    pooled = kept.join(named, "token").join(pages_of_host, "host").groupBy("token").agg(
+        F.max("hosts_valid").alias("hosts_valid"), F.sum("pages").alias("all_pages"), F.sum("of_host").alias("all_of_host"),
         F.sum("headline").alias("all_headline"), F.sum("byline").alias("all_byline"), F.sum("closing").alias("all_closing"),
     )
-    both = own.join(pooled, "token")
-    anywhere = (F.col("hosts_valid") >= HOSTS) & (F.col("all_pages") >= POOLED * F.col("all_of_host"))
     content = (F.col("all_headline") >= TITLE * F.col("all_pages")) | (F.col("all_byline") >= BYLINE * F.col("all_pages"))
-    return both.where((F.col("valid").cast("boolean") | anywhere) & ~content).select("host", "token", (F.col("all_closing") >= CLOSING * F.col("all_pages")).alias("closes"))
+    anywhere = (F.col("hosts_valid") >= HOSTS) & (F.col("all_pages") >= POOLED * F.col("all_of_host"))
+    good = pooled.where(~content).select("token", anywhere.alias("anywhere"), (F.col("all_closing") >= CLOSING * F.col("all_pages")).alias("closes"))
+    own = valid.join(good, "token").select("host", "token", "closes")
+    lent = kept.select("host", "token").join(good.where("anywhere"), "token").select("host", "token", "closes")
+    return own.unionByName(lent).distinct()
 
 
-def main_slot(lines: list[Line], title: str | None, template: dict[str, bool]) -> list[bool]:
+def main_slot(lines: list[Line], title: str | None, template: dict[int, bool]) -> list[bool]:
     """For each line whether it is outside the main slot or a token of the template inside it."""
     top = headline_at(lines, title)
     out = []
@@ -250,8 +269,8 @@ def main_slot(lines: list[Line], title: str | None, template: dict[str, bool]) -
             out.append(False)
             continue
         if not closed and not x.held:
-            names = (x.token[:400],) if is_body(x) else (x.token[:400], x.label, masked(x))
-            hits = [template[t] for t in names if t is not None and t in template]
+            names = (x.token,) if is_body(x) else (x.token, x.label, masked(x))
+            hits = [template[h] for t in names if t is not None and (h := hash_of(t)) in template]
             closed = any(hits)
         else:
             hits = []
@@ -259,39 +278,50 @@ def main_slot(lines: list[Line], title: str | None, template: dict[str, bool]) -
     return out
 
 
-def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("field_name", pa.string()), ("page_id", pa.int64()), ("line_no", pa.int32()), ("drop", pa.bool_()), ("headline", pa.bool_()), ("code", pa.bool_()), ("text", pa.string())])
-    for b in batches:
-        cols: list[list] = [[] for _ in range(7)]
-        for page, title, markdown, raw, kind, template in zip(*(b.column(i).to_pylist() for i in range(6))):
-            text, is_html = page_text(markdown, raw, kind)
-            if text is None:
-                continue
-            lines = page_lines(text, is_html)
-            top = headline_at(lines, title)
-            known = {t["token"]: t["closes"] for t in template or ()}
-            for i, (x, drop) in enumerate(zip(lines, main_slot(lines, title, known))):
-                for c, v in zip(cols, ("page.raw_gzip" if is_html else "page.markdown", page, x.no, drop, i == top, x.code, x.text)):
-                    c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+LINES = "field_name string, page_id long, host string, line_no int, drop boolean, headline boolean, code boolean, text string"
 
 
-def classified_lines(pages: DataFrame) -> DataFrame:
-    """(field_name, page_id, line_no, drop, headline, code, text) of every line that shows text.
+def _line_batches(only_dropped: bool):
+    schema = pa.schema([("field_name", pa.string()), ("page_id", pa.int64()), ("host", pa.string()), ("line_no", pa.int32()), ("drop", pa.bool_()), ("headline", pa.bool_()), ("code", pa.bool_()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple = (None, {})
+        for b in batches:
+            cols: list[list] = [[] for _ in range(8)]
+            for page, host, title, markdown, raw, kind, tokens, closes in zip(*(b.column(i).to_pylist() for i in range(8))):
+                text, is_html = page_text(markdown, raw, kind)
+                if text is None:
+                    continue
+                lines = page_lines(text, is_html)
+                top = headline_at(lines, title)
+                if last[0] != host or host is None:
+                    last = (host, dict.fromkeys(tokens or (), False) | dict.fromkeys(closes or (), True))
+                for i, (x, drop) in enumerate(zip(lines, main_slot(lines, title, last[1]))):
+                    if drop or not only_dropped:
+                        for c, v in zip(cols, ("page.raw_gzip" if is_html else "page.markdown", page, host, x.no, drop, i == top, x.code, None if only_dropped else x.text)):
+                            c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+    return run
+
+
+def classified_lines(pages: DataFrame, only_dropped: bool = False) -> DataFrame:
+    """(field_name, page_id, host, line_no, drop, headline, code, text) of every line that shows text.
 
     ``pages`` has page_id, host, cache_key, title, content_type, markdown and raw_gzip.
-    Repeated rows count once. Pages without text have no lines; a null host is a host
-    of its own. Without a template (one page, no other host like it) only what stands
-    before the headline is dropped.
+    Repeated rows give repeated lines. Pages without text have no lines; null hosts are
+    one host. Without a template (one page, no other host like it) only what stands
+    before the headline is dropped. ``only_dropped`` leaves out the other lines and all texts.
     """
-    pages = pages.select("page_id", "host", "cache_key", "title", "content_type", "markdown", "raw_gzip").dropDuplicates(["page_id", "cache_key", "host"])
-    tokens = page_tokens(pages)
-    pages_of_host = pages.groupBy(F.coalesce("host", F.lit("")).alias("host")).agg(F.count_distinct(F.coalesce("cache_key", F.col("page_id").cast("string"))).alias("of_host"))
-    known = templates(tokens, pages_of_host).groupBy("host").agg(F.collect_list(F.struct("token", "closes")).alias("template")).withColumnRenamed("host", "of")
-    joined = pages.join(known, F.coalesce("host", F.lit("")) == F.col("of"), "left")
-    return joined.select("page_id", "title", "markdown", "raw_gzip", "content_type", "template").mapInArrow(_line_batches, "field_name string, page_id long, line_no int, drop boolean, headline boolean, code boolean, text string")
+    pages = pages.select("page_id", "host", "cache_key", "title", "content_type", "markdown", "raw_gzip")
+    pages_of_host = pages.groupBy(_host().alias("host")).agg(F.count_distinct(_page()).alias("of_host"))
+    template = templates(page_tokens(pages), pages_of_host).groupBy(F.col("host").alias("of")).agg(
+        F.collect_list(F.when(~F.col("closes"), F.col("token"))).alias("tokens"), F.collect_list(F.when(F.col("closes"), F.col("token"))).alias("closing")
+    )
+    joined = pages.join(bounded_broadcast(stored(template)), _host() == F.col("of"), "left")
+    return joined.select("page_id", "host", "title", "markdown", "raw_gzip", "content_type", "tokens", "closing").mapInArrow(_line_batches(only_dropped), LINES)
 
 
 def boilerplate_lines(pages: DataFrame) -> DataFrame:
-    """(field_name, page_id, line_no) of each line to be dropped."""
-    return classified_lines(pages).where("drop").select("field_name", "page_id", "line_no").distinct()
+    """(field_name, page_id, line_no) of each line to be dropped, once each."""
+    return classified_lines(pages, only_dropped=True).select("field_name", "page_id", "line_no").distinct()

@@ -34,7 +34,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "rendered")
     lines = boilerplate.classified_lines(pages)
-    texts = residue.page_texts(lines, pages.select("page_id", "host")).unionByName(residue.snippet_texts(table(spark, sf_dir, "results")))
+    texts = residue.page_texts(lines).unionByName(residue.snippet_texts(table(spark, sf_dir, "results")))
     return residue.residue_records(texts)
 
 
