@@ -37,6 +37,9 @@ UNKNOWN = 3.0
 #: Least mean gain (natural logarithm of frequencies) of a single-byte mapping.
 GAIN = 2.0
 
+#: Characters up to which what stands in quotation marks is a quoted word.
+QUOTED = 60
+
 # Encodings that text is wrongly read as, and those that it may have been written in.
 NARROW = ("cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "cp866", "iso8859_15")
 WIDE = ("gbk", "cp932", "big5", "euc_kr", "euc_jp")
@@ -362,10 +365,12 @@ def _quoted(text: str, a: int, b: int, fixed: str | None) -> bool:
     wa, wb = _word(text, a, b)
     if not (wa > 0 and text[wa - 1] in _OPEN and wb < len(text) and text[wb] in _CLOSE):
         return False
+    if wb - wa > QUOTED:
+        return False
     rest = text[:wa] + " " + text[wb:]
     if fixed is not None:
         return (text[wa:a] + fixed + text[b:wb]).casefold() in rest.casefold()
-    lost = "".join(re.escape(c) if c.isascii() else ".?" for c in text[wa:wb])
+    lost = ".{0,3}".join(map(re.escape, _ODD.split(text[wa:wb])))
     return re.search(rf"(?<!\w){lost}(?!\w)", rest) is not None
 
 

@@ -52,6 +52,10 @@ def test_rightly_decoded(table, text):
     assert mj.repair(text, table) == (False, None)
 
 
+def test_long_lost_word_is_quick(table):
+    assert mj.repair("“" + "ã�®é��" * 2000 + "” and more", table) == (True, None)
+
+
 @given(st.text(max_size=80))
 def test_never_fails(text):
     mj.repair(text.encode("utf-8", "replace").decode(), mj.PairTable(np.zeros(mj.PAIR_CELLS, np.int64), np.zeros(mj.CHAR_CELLS, np.int64), np.zeros(mj.WORD_CELLS, np.int64), 0))
