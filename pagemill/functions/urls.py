@@ -91,3 +91,20 @@ def ipv4_blocked(ip: Column) -> Column:
     for lo, hi in map(_range, BLOCKED_IPV4):
         inside = inside | n.between(lo, hi)
     return F.coalesce(inside, F.lit(True))
+
+
+def bare_css_url(value: Column) -> Column:
+    """What stands in CSS's ``url(...)``, without quotation marks."""
+    inner = F.regexp_replace(trim_space(value), r"(?is)^url\(\s*(.*?)\s*\)$", "$1")
+    return F.regexp_replace(inner, "^[\"']|[\"']$", "")
+
+
+def first_of_srcset(value: Column) -> Column:
+    """The first URL of a srcset, up to a comma or space."""
+    return F.regexp_extract(trim_space(value), r"^([^,\s]*)", 1)
+
+
+def user_agent(asked: Column, fallback: Column, browser: Column) -> Column:
+    """The user agent that a request goes out with: the fallback if none is asked for, the browser's for 'browser'."""
+    a = trim_space(asked)
+    return F.when(a == "", fallback).when(F.lower(a) == "browser", browser).otherwise(a)

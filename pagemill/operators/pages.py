@@ -69,3 +69,60 @@ def image_rows(pages: DataFrame) -> DataFrame:
 def latest_pages(pages: DataFrame) -> DataFrame:
     """One page for each cache key: the one that came last, as a cache that overwrites keeps it."""
     return pages.groupBy("cache_key").agg(F.max_by("page_id", F.struct("arrived_at", "page_id")).alias("page_id"), F.count_distinct("page_id").alias("versions"))
+
+
+def _gunzipped(batches):
+    import hashlib
+    import zlib
+
+    import pyarrow as pa
+
+    for b in batches:
+        sizes, digests = [], []
+        for raw in b.column(1).to_pylist():
+            try:
+                body = None if raw is None else zlib.decompressobj(wbits=47).decompress(raw)
+            except zlib.error:
+                body = None
+            sizes.append(None if body is None else len(body))
+            digests.append(None if body is None else hashlib.md5(body).hexdigest())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], names=["page_id", "size", "digest"])
+
+
+def raw_bodies(pages: DataFrame) -> DataFrame:
+    """(page_id, size, digest) of each page's decompressed body; null for none and for one that isn't compressed soundly."""
+    return pages.select("page_id", "raw_gzip").mapInArrow(_gunzipped, "page_id long, size long, digest string")
+
+
+def page_size(raw: Column, body: Column, images: Column) -> Column:
+    """Bytes that a cached page counts as: body, text, and each image's strings with a fixed share."""
+    each = F.aggregate(
+        F.coalesce(images, F.array()), F.lit(0).cast("long"),
+        lambda a, im: a + 32 + sum(F.octet_length(text(im[k])) for k in ("url", "alt", "caption", "width", "height", "source_page")),
+    )
+    return F.coalesce(F.octet_length(raw), F.lit(0)) + F.octet_length(text(body)) + each
+
+
+def cache_listing(pages: DataFrame, as_of: Column, scope: str = "host") -> DataFrame:
+    """(scope, listing): the cached pages of each scope, latest first, with their sizes and ages at ``as_of``."""
+    size = F.octet_length(text(F.col("markdown")))
+    age = F.concat((F.unix_timestamp(as_of) - F.unix_timestamp(F.col("fetched_at").cast("timestamp"))).cast("string"), F.lit("s"))
+    head = title_line(F.col("title"))
+    line = F.concat(F.lit("  "), "cache_key", F.format_string("  (%.1f KiB, %s old)", F.bround(size / 1024.0, 1), age), F.when(head != "", F.concat(F.lit("  — "), head)).otherwise(""))
+    rows = pages.dropDuplicates(["page_id"]).select(scope, size.alias("size"), F.struct((-F.unix_micros(F.col("fetched_at").cast("timestamp"))).alias("at"), F.col("page_id").alias("id"), line.alias("line")).alias("e"))
+    lists = rows.groupBy(scope).agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.array_sort(F.collect_list("e")).alias("es"))
+    return lists.select(scope, F.concat(F.format_string("web cache: %d entries, %.1f KiB total\n", "n", F.bround(F.col("total") / 1024.0, 1)), F.array_join(F.transform("es", lambda e: e["line"]), "\n")).alias("listing"))
+
+
+def save_path_error(path: Column) -> Column:
+    """Why a path may not be written under a workspace, by its text alone, or ''. Links and existing files are the writer's to check."""
+    p = text(path)
+    parts = F.split(p, "/")
+    depth = F.aggregate(
+        parts, F.struct(F.lit(0).alias("d"), F.lit(0).alias("low")),
+        lambda a, x: F.struct((a["d"] + F.when(x == "..", -1).when(x.isin("", "."), 0).otherwise(1)).alias("d"), F.least(a["low"], a["d"] + F.when(x == "..", -1).otherwise(0)).alias("low")),
+    )
+    return (
+        F.when(p == "", "path is required").when(p.startswith("/"), "path must be relative to the workspace").when(depth["low"] < 0, "path escapes the workspace")
+        .when(F.exists(parts, lambda x: F.lower(x) == ".git"), "path may not lie in .git").when(depth["d"] == 0, "path names no file").otherwise("")
+    )

@@ -274,6 +274,49 @@ FEED_PAGE = f"""with r as (select distinct on (item_id) * from rss_items), k as
 select feed_url, 'Feed with ' || count(*) || ' entries' || case when count(*) > 100 then ' (showing the first 100)' else '' end || ':' || chr(10) || string_agg(e, chr(10) order by n) filter (n <= 100) as listing from k group by feed_url"""
 
 
+PATHS = ("out/a.txt", "", "/etc/x", "../x", "a/../../x", "a/../b.txt", ".git/config", "a/.GIT/hooks", "a/..", "./b")
+
+
+def save_paths(spark: SparkSession, d: str) -> DataFrame:
+    p = F.element_at(F.array(*map(F.lit, PATHS)), (F.col("event_id") % 10 + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", pages.save_path_error(p).alias("error"))
+
+
+_PATH_ERRORS = ("", "path is required", "path must be relative to the workspace", "path escapes the workspace", "path escapes the workspace", "", "path may not lie in .git", "path may not lie in .git", "path names no file", "")
+SAVE_PATHS = f"select event_id, (array{list(_PATH_ERRORS)})[(event_id % 10 + 1)::int] as error from events"
+
+ATTRIBUTES = ("url('a.png')", ' url( "b.png" ) ', "c.png", "d.png 1x, e.png 2x", "f.png,g.png", "")
+
+
+def attribute_urls(spark: SparkSession, d: str) -> DataFrame:
+    v = F.element_at(F.array(*map(F.lit, ATTRIBUTES)), (F.col("event_id") % 6 + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", urls.bare_css_url(v).alias("css"), urls.first_of_srcset(v).alias("srcset"), urls.user_agent(F.col("event_type"), F.lit("pagemill"), F.lit("browser agent")).alias("agent"))
+
+
+ATTRIBUTE_URLS = """select event_id, (array['a.png', 'b.png', 'c.png', 'd.png 1x, e.png 2x', 'f.png,g.png', ''])[(event_id % 6 + 1)::int] as css,
+(array['url(''a.png'')', 'url(', 'c.png', 'd.png', 'f.png', ''])[(event_id % 6 + 1)::int] as srcset, event_type as agent from events"""
+
+
+def page_size(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "rendered").select("page_id", pages.page_size(F.col("raw_gzip"), F.col("markdown"), F.col("images")).alias("size"))
+
+
+PAGE_SIZE = """with i as (select page_id, raw_gzip, markdown, images from rendered) select page_id, (coalesce(octet_length(raw_gzip), 0) + strlen(coalesce(markdown, ''))
++ coalesce(list_sum(list_transform(images, lambda m: 32 + strlen(coalesce(m.url, '')) + strlen(coalesce(m.alt, '')) + strlen(coalesce(m.caption, '')) + strlen(coalesce(m.width, '')) + strlen(coalesce(m.height, '')) + strlen(coalesce(m.source_page, '')))), 0))::bigint as size from i"""
+
+
+def cache_list(spark: SparkSession, d: str) -> DataFrame:
+    return pages.cache_listing(table(spark, d, "rendered"), F.lit("2026-01-01 00:00:00").cast("timestamp"))
+
+
+CACHE_LIST = f"""with r as (select distinct on (page_id) *, strlen(coalesce(markdown, '')) as z from rendered), k as (select *, round_even(z / 1024.0, 1) as kib, (epoch(timestamp '2026-01-01 00:00:00')::bigint - floor(epoch(fetched_at))::bigint) as age from r)
+select host, 'web cache: ' || count(*) || ' entries, ' || printf('%.1f', round_even(sum(z) / 1024.0, 1)) || ' KiB total' || chr(10) || string_agg('  ' || cache_key || '  (' || printf('%.1f', kib) || ' KiB, ' || age || 's old)' || case when {_CAP("title")} <> '' then '  — ' || {_CAP("title")} else '' end, chr(10) order by fetched_at desc, page_id) as listing from k group by host"""
+
+
+def raw_bytes(spark: SparkSession, d: str) -> DataFrame:
+    return pages.raw_bodies(table(spark, d, "rendered"))
+
+
 def reference_queries() -> dict:
     return {
         "url_parts": (url_parts, URL_PARTS), "url_admission": (url_admission, URL_ADMISSION), "cache_key": (cache_key, CACHE_KEY), "query_normalize": (query_normalize, QUERY_NORMALIZE),
@@ -281,5 +324,6 @@ def reference_queries() -> dict:
         "page_title": (page_title, PAGE_TITLE), "cap_text": (cap_text, CAP_TEXT), "fetch_all_windows": (fetch_all_windows, WINDOWS), "fetch_window": (fetch_window, FETCH_WINDOW), "page_links": (page_links, PAGE_LINKS),
         "links_format": (links_format, LINKS_FORMAT), "link_fanout": (link_fanout, LINK_FANOUT), "images_harvest": (images_harvest, IMAGES_HARVEST), "cache_key_dedupe": (cache_key_dedupe, CACHE_DEDUPE),
         "content_route": (content_route, CONTENT_ROUTE), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "image_scale": (image_scale, IMAGE_SCALE),
+        "save_paths": (save_paths, SAVE_PATHS), "attribute_urls": (attribute_urls, ATTRIBUTE_URLS), "page_size": (page_size, PAGE_SIZE), "cache_list": (cache_list, CACHE_LIST), "raw_bytes": (raw_bytes, None),
         "rate_limit": (rate_limit, None), "lru_hits": (lru_hits, None), "session_cwd": (session_cwd, SESSION_CWD),
     }
