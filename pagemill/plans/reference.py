@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import content, urls
 from pagemill.functions import text as tx
-from pagemill.operators import pages, search, stateful
+from pagemill.operators import admission, pages, search, stateful
 from pagemill.session import table
 
 _WS = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -225,6 +225,19 @@ _N = "(event_id * 7 % 256)::bigint * 16777216 + (event_id * 13 % 256) * 65536 +
 IPV4_BLOCKED = f"with e as (select event_id, ({_N})::bigint as n from events) select event_id, n as number, " + " or ".join(f"n between {lo} and {hi}" for lo, hi in map(urls._range, urls.BLOCKED_IPV4)) + " as blocked from e"
 
 
+ALLOW = (" 10.0.0.0/9", "127.1.2.3", "Host.Test", "", "224.0.0.0/5", "fd00::/8")
+
+
+def allow_list(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("event_id")
+    ip = F.concat_ws(".", (n * 7 % 256).cast("string"), (n * 13 % 256).cast("string"), (n % 256).cast("string"), (n * 31 % 256).cast("string"))
+    host = F.when(n % 17 == 0, "HOST.test.").otherwise("other.test")
+    return table(spark, d, "events").select("event_id", admission.permitted(host, ip, admission.parse_allow_list(list(ALLOW))).alias("permitted"))
+
+
+ALLOW_LIST = f"with e as ({IPV4_BLOCKED}) select event_id, not blocked or event_id % 17 = 0 or " + " or ".join(f"number between {lo} and {hi}" for lo, hi in map(urls._range, ("10.0.0.0/9", "127.1.2.3/32", "224.0.0.0/5"))) + " as permitted from e"
+
+
 def image_scale(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("event_id")
     w, h, size = (n * 37 % 9000).cast("int"), (n * 11 % 5000 + 1).cast("int"), (n * 4001 % 20_000_000).cast("long")
@@ -323,7 +336,7 @@ def reference_queries() -> dict:
         "search_topk": (search_topk, SEARCH_TOPK), "search_format": (search_format, SEARCH_FORMAT), "iso_dates": (iso_dates, ISO_DATES), "feed_summary": (feed_summary, FEED_SUMMARY), "feed_page": (feed_page, FEED_PAGE),
         "page_title": (page_title, PAGE_TITLE), "cap_text": (cap_text, CAP_TEXT), "fetch_all_windows": (fetch_all_windows, WINDOWS), "fetch_window": (fetch_window, FETCH_WINDOW), "page_links": (page_links, PAGE_LINKS),
         "links_format": (links_format, LINKS_FORMAT), "link_fanout": (link_fanout, LINK_FANOUT), "images_harvest": (images_harvest, IMAGES_HARVEST), "cache_key_dedupe": (cache_key_dedupe, CACHE_DEDUPE),
-        "content_route": (content_route, CONTENT_ROUTE), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "image_scale": (image_scale, IMAGE_SCALE),
+        "content_route": (content_route, CONTENT_ROUTE), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "image_scale": (image_scale, IMAGE_SCALE),
         "save_paths": (save_paths, SAVE_PATHS), "attribute_urls": (attribute_urls, ATTRIBUTE_URLS), "page_size": (page_size, PAGE_SIZE), "cache_list": (cache_list, CACHE_LIST), "raw_bytes": (raw_bytes, None),
         "rate_limit": (rate_limit, None), "lru_hits": (lru_hits, None), "session_cwd": (session_cwd, SESSION_CWD),
     }
