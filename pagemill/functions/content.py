@@ -24,19 +24,29 @@ def looks_binary(body: Column) -> Column:
     return F.coalesce(F.position(F.lit(b"\x00"), F.substring(body, 1, 1024)) > 0, F.lit(False))
 
 
+def _text_type(t: Column) -> Column:
+    return t.startswith("text/") | t.isin(*TEXT_TYPES) | t.endswith("+json") | t.endswith("+xml")
+
+
 def is_textual(ct: Column, body: Column) -> Column:
     t = bare_type(ct)
-    return F.when(t == "", ~looks_binary(body)).otherwise(t.startswith("text/") | t.isin(*TEXT_TYPES) | t.endswith("+json") | t.endswith("+xml"))
+    return F.when(t == "", ~looks_binary(body)).otherwise(_text_type(t))
 
 
 def is_pdf(ct: Column, body: Column) -> Column:
     return (bare_type(ct) == "application/pdf") | F.coalesce(F.substring(body, 1, 5) == F.lit(b"%PDF-"), F.lit(False))
 
 
+def asks_body(ct: Column) -> Column:
+    """Whether the route depends on the body: for no type, and for types other than HTML and text, as a PDF may come under any."""
+    t = bare_type(ct)
+    return ~F.contains(F.lower(text(ct)), F.lit("html")) & ((t == "") | ~_text_type(t) & (t != "application/pdf"))
+
+
 def route(ct: Column, body: Column) -> Column:
     """html, text, pdf or binary: how a response is rendered. A PDF of no type and without NUL bytes counts as text."""
     t = F.lower(text(ct))
-    html = F.contains(t, F.lit("html")) | ((bare_type(ct) == "") & F.coalesce(F.contains(F.lower(F.decode(F.substring(body, 1, 2_000_000), "ISO-8859-1")), F.lit("<html")), F.lit(False)))
+    html = F.contains(t, F.lit("html")) | ((t == "") & F.coalesce(F.contains(F.lower(F.decode(body, "ISO-8859-1")), F.lit("<html")), F.lit(False)))
     return F.when(html, "html").when(is_textual(ct, body), "text").when(is_pdf(ct, body), "pdf").otherwise("binary")
 
 

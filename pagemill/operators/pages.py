@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.functions import content
 from pagemill.functions.text import one_line, text, title_line
 from pagemill.functions.urls import url_part
 
@@ -71,6 +72,50 @@ def latest_pages(pages: DataFrame) -> DataFrame:
     return pages.groupBy("cache_key").agg(F.max_by("page_id", F.struct("arrived_at", "page_id")).alias("page_id"), F.count_distinct("page_id").alias("versions"))
 
 
+def gunzip(raw: bytes | None) -> bytes | None:
+    """The decompressed body, all members of it; None for none and for one that isn't compressed soundly. A cut-off body gives what there is of it."""
+    import zlib
+
+    if raw is None:
+        return None
+    parts = []
+    try:
+        while True:
+            member = zlib.decompressobj(wbits=47)
+            parts.append(member.decompress(raw))
+            raw = member.unused_data.lstrip(b"\0") if member.eof else b""
+            if not raw:
+                return b"".join(parts)
+    except zlib.error:
+        return None
+
+
+#: Bytes of bodies after which a batch is handed on.
+BATCH_BYTES = 16 << 20
+
+
+def _with_bodies(batches):
+    import pyarrow as pa
+
+    for b in batches:
+        start, bodies, held = 0, [], 0
+        for raw in b.column(2).to_pylist():
+            bodies.append(gunzip(raw))
+            held += len(bodies[-1] or b"")
+            if held >= BATCH_BYTES or start + len(bodies) == b.num_rows:
+                part = b.slice(start, len(bodies))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bodies, pa.binary())], names=["page_id", "content_type", "body"])
+                start, bodies, held = start + len(bodies), [], 0
+
+
+def routed_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, type, route) of each page; only bodies that the route depends on are decompressed."""
+    ct = F.col("content_type")
+    needed = F.when(content.asks_body(ct), F.col("raw_gzip"))
+    rows = pages.select("page_id", "content_type", needed.alias("raw")).mapInArrow(_with_bodies, "page_id long, content_type string, body binary")
+    return rows.select("page_id", content.display_type(ct).alias("type"), content.route(ct, F.col("body")).alias("route"))
+
+
 def _gunzipped(batches):
     import hashlib
     import zlib

@@ -184,8 +184,7 @@ CACHE_DEDUPE = "select cache_key, max_by(page_id, (arrived_at, page_id)) as page
 
 
 def content_route(spark: SparkSession, d: str) -> DataFrame:
-    ct, body = F.col("content_type"), F.lit(None).cast("binary")
-    return table(spark, d, "rendered").select("page_id", content.display_type(ct).alias("type"), content.route(ct, body).alias("route"))
+    return pages.routed_pages(table(spark, d, "rendered"))
 
 
 CONTENT_ROUTE = f"""with t as (select page_id, lower(coalesce(content_type, '')) as c, {_TRIM("split_part(lower(content_type), ';', 1)")} as b from rendered)
