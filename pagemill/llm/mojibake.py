@@ -1,8 +1,9 @@
 """Finding and restoring text that was decoded with the wrong character encoding.
 
-1. ``pair_table`` counts adjacent character pairs over all texts, apart from those
-   in which some run already proves to be bytes of another encoding, and keeps them
-   in a hashed table of fixed size.
+1. ``pair_table`` counts in how many distinct texts each adjacent character pair stands,
+   apart from those in which some run already proves to be bytes of another encoding, and
+   keeps the counts in a hashed table of fixed size. Neither copies nor repetition within a
+   text make a pair probable.
 2. Each pair is scored by its mutual information, discounted where the corpus has
    few of it. Maximum-scoring segments of the negative score are the improbable runs.
 3. Only inside those runs the inverse mappings are tried: the run is encoded as the
@@ -198,9 +199,11 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 continue
             texts += 1
             p = _points(f" {t} ")
-            odd = (p[1:] > 127) | (p[:-1] > 127)
-            np.add.at(chars, p & 0xFFFF, 1)
-            np.add.at(pairs, _cells(p[:-1][odd], p[1:][odd]), 1)
+            both = np.unique(p[:-1].astype(np.uint64) << np.uint64(32) | p[1:])
+            first, second = (both >> np.uint64(32)).astype(np.uint32), both.astype(np.uint32)
+            odd = (first > 127) | (second > 127)
+            np.add.at(chars, first & 0xFFFF, 1)
+            np.add.at(pairs, _cells(first[odd], second[odd]), 1)
             for w in set(_WORDS.findall(t)):
                 if not w.isascii():
                     seen[w] = seen.get(w, 0) + 1
@@ -220,7 +223,8 @@ def _add_words(cells: np.ndarray, seen: dict[str, int]) -> None:
 
 
 class PairTable:
-    """Counts of pairs (with a character beyond ASCII), characters and words in hashed arrays of fixed size."""
+    """In how many texts pairs (with a character beyond ASCII) and words stand, and how often a character begins such a
+    pair of a text or one within ASCII, in hashed arrays of fixed size."""
 
     def __init__(self, pairs: np.ndarray, chars: np.ndarray, words: np.ndarray, texts: int):
         self.pairs, self.chars, self.words, self.texts = pairs, chars, words, max(1, texts)
@@ -426,8 +430,9 @@ def suspects(rows: DataFrame) -> DataFrame:
 
 
 def pair_table(rows: DataFrame) -> PairTable:
-    """The statistics over all texts of ``rows``; what comes to the driver has a fixed size whatever the corpus."""
-    counted = rows.select("text").mapInArrow(_count_batches, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    """The statistics over the distinct texts of ``rows``; what comes to the driver has a fixed size whatever the corpus."""
+    distinct = rows.select(F.xxhash64("text").alias("hash"), "text").dropDuplicates(["hash"])
+    counted = distinct.select("text").mapInArrow(_count_batches, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     both = np.zeros(PAIR_CELLS + CHAR_CELLS + WORD_CELLS + 1, np.int64)
     both[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
     return table_of(both)

@@ -72,3 +72,15 @@ def test_tables(spark):
     got = {(r.field_name, r.rec_id, r.restored) for r in mj.garbled(df).collect()}
     assert got == {("a", 900, "café"), ("a", None, "café"), ("b", 900, "x" * 90_000 + " café")}
     assert mj.garbled(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("text", "right", "wrong"), [(CLEAN[4], "koi8_r", "cp1251"), (CLEAN[0], "mac_roman", "cp1252")])
+def test_copies_prove_nothing(spark, text, right, wrong):
+    """A garbled text that a third of the rows hold, and one that repeats itself, are found all the same."""
+    bad = text.encode(right).decode(wrong)
+    rows = [(i, f"{t} {i}") for i, t in enumerate(CLEAN * 40)]
+    df = spark.createDataFrame([("a", i, t) for i, t in rows + [(1000 + i, bad) for i in range(120)]], "field_name string, rec_id long, text string")
+    got = {(r.rec_id, r.restored) for r in mj.garbled(df).collect()}
+    assert got == {(1000 + i, text) for i in range(120)}
+    long = spark.createDataFrame([("a", i, t) for i, t in [*rows, (1000, " ".join([bad] * 60))]], "field_name string, rec_id long, text string")
+    assert {(r.rec_id, r.restored) for r in mj.garbled(long).collect()} == {(1000, " ".join([text] * 60))}
