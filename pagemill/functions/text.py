@@ -63,8 +63,8 @@ def human_bytes(c: Column) -> Column:
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 _RFC3339 = r"^(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:[.,]\d+)?(?:Z|[+-](?:[01]\d|2[0-3]):[0-5]\d)$"
 _DATE = r"^(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))$"
-_DATETIME = r"^(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])) (?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:[.,]\d+)?$"
-_MAIL = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun), (\d{2}) (Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) (\d{4}) (?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d (?:[+-]\d{4}|[A-Z]{3,4})$"
+_DATETIME = r"^(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])) +(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:[.,]\d+)?$"
+_MAIL = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun), +(\d{2}) +(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) +(\d{4}) +(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d +(?:[+-]\d{4}|[A-Z]{3,4})$"
 
 
 def _real(day: Column) -> Column:
@@ -87,4 +87,4 @@ def short_date(c: Column) -> Column:
 def feed_date(c: Column) -> Column:
     """The calendar date of a feed entry's stamp; one-digit days are accepted, other text stays on one line."""
     s = trim_space(c)
-    return F.coalesce(_lexical_date(s, [_RFC3339, _DATE], _MAIL.replace(r"(\d{2}) (Jan", r"(\d{1,2}) (Jan")), one_line(s))
+    return F.coalesce(_lexical_date(s, [_RFC3339, _DATE], _MAIL.replace(r"(\d{2}) +(Jan", r"(\d{1,2}) +(Jan")), one_line(s))

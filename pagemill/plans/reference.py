@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions import content, urls
@@ -271,17 +271,31 @@ SESSION_CWD = """with s as (select user_id, event_id as sid, case when event_id
 select e.event_id, coalesce(s.cwd, '/host') as cwd from events e asof left join s on e.user_id = s.user_id and e.event_id >= s.sid"""
 
 
-def feed_page(spark: SparkSession, d: str) -> DataFrame:
-    """Each feed's entries in order, with the date and link that the entry gives, the first hundred and how many there are."""
-    rows = table(spark, d, "rss_items").dropDuplicates(["item_id"])
-    title, link = tx.title_line(F.col("title")), tx.text(F.col("link"))
-    entry = F.concat(F.lit("- **"), F.when(title == "", "(untitled)").otherwise(title), F.lit("**\n"), F.when(link != "", F.concat(F.lit("  "), link, F.lit("\n"))).otherwise(""))
-    numbered = rows.select("feed_url", "item_id", entry.alias("e")).withColumn("n", F.expr("row_number() over (partition by feed_url order by item_id)"))
+def _feed_listing(rows: DataFrame, key: str, date: Column, summary: Column) -> DataFrame:
+    title, link, date, summary = tx.title_line(F.col("title")), tx.text(F.col("link")), tx.feed_date(date), tx.one_line(tx.plain_of_markup(summary), 400)
+    line = lambda c: F.when(c != "", F.concat(F.lit("  "), c, F.lit("\n"))).otherwise("")
+    dated = F.when(date != "", F.concat(F.lit(" — "), date)).otherwise("")
+    entry = F.concat(F.lit("- **"), F.when(title == "", "(untitled)").otherwise(title), F.lit("**"), dated, F.lit("\n"), line(link), line(summary))
+    numbered = rows.dropDuplicates([key]).select("feed_url", key, entry.alias("e")).withColumn("n", F.expr(f"row_number() over (partition by feed_url order by {key})"))
     lists = numbered.groupBy("feed_url").agg(F.count("*").alias("total"), F.array_sort(F.collect_list(F.when(F.col("n") <= 100, F.struct("n", "e")))).alias("es"))
     note = F.when(F.col("total") > 100, " (showing the first 100)").otherwise("")
     return lists.select("feed_url", F.concat(F.format_string("Feed with %d entries", "total"), note, F.lit(":\n"), F.array_join(F.transform("es", lambda x: x["e"]), "\n")).alias("listing"))
 
 
+def _given(first: str, second: str) -> Column:
+    return F.when(tx.text(F.col(first)) == "", F.col(second)).otherwise(F.col(first))
+
+
+def feed_page(spark: SparkSession, d: str) -> DataFrame:
+    """Each RSS feed's entries in order, with the date, link and summary that the entry gives, the first hundred and how many there are."""
+    return _feed_listing(table(spark, d, "rss_items"), "item_id", _given("pub_date", "dc_date"), F.col("description"))
+
+
+def atom_page(spark: SparkSession, d: str) -> DataFrame:
+    """The same of each Atom feed."""
+    return _feed_listing(table(spark, d, "atom_entries"), "entry_id", _given("published", "updated"), F.col("summary"))
+
+
 FEED_PAGE = f"""with r as (select distinct on (item_id) * from rss_items), k as (select feed_url, row_number() over (partition by feed_url order by item_id) as n, '- **' || case when {_LINE("title")} = '' then '(untitled)' else {_CAP("title")} end || '**' || chr(10) || case when coalesce(link, '') <> '' then '  ' || link || chr(10) else '' end as e from r)
 select feed_url, 'Feed with ' || count(*) || ' entries' || case when count(*) > 100 then ' (showing the first 100)' else '' end || ':' || chr(10) || string_agg(e, chr(10) order by n) filter (n <= 100) as listing from k group by feed_url"""
 
@@ -332,7 +346,7 @@ def raw_bytes(spark: SparkSession, d: str) -> DataFrame:
 def reference_queries() -> dict:
     return {
         "url_parts": (url_parts, URL_PARTS), "url_admission": (url_admission, URL_ADMISSION), "cache_key": (cache_key, CACHE_KEY), "query_normalize": (query_normalize, QUERY_NORMALIZE),
-        "search_topk": (search_topk, SEARCH_TOPK), "search_format": (search_format, SEARCH_FORMAT), "iso_dates": (iso_dates, ISO_DATES), "feed_summary": (feed_summary, FEED_SUMMARY), "feed_page": (feed_page, FEED_PAGE),
+        "search_topk": (search_topk, SEARCH_TOPK), "search_format": (search_format, SEARCH_FORMAT), "iso_dates": (iso_dates, ISO_DATES), "feed_summary": (feed_summary, FEED_SUMMARY), "feed_page": (feed_page, FEED_PAGE), "atom_page": (atom_page, None),
         "page_title": (page_title, PAGE_TITLE), "cap_text": (cap_text, CAP_TEXT), "fetch_all_windows": (fetch_all_windows, WINDOWS), "fetch_window": (fetch_window, FETCH_WINDOW), "page_links": (page_links, PAGE_LINKS),
         "links_format": (links_format, LINKS_FORMAT), "link_fanout": (link_fanout, LINK_FANOUT), "images_harvest": (images_harvest, IMAGES_HARVEST), "cache_key_dedupe": (cache_key_dedupe, CACHE_DEDUPE),
         "content_route": (content_route, CONTENT_ROUTE), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "image_scale": (image_scale, IMAGE_SCALE),
