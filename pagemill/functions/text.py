@@ -79,9 +79,9 @@ def _lexical_date(s: Column, patterns: list[str], mail: str) -> Column:
 
 
 def short_date(c: Column) -> Column:
-    """The calendar date a search result's stamp is written with; other text stays, on one line, up to 20 characters."""
+    """The calendar date a search result's stamp is written with; other text stays, on one line, up to 20 bytes; a character that this cuts in two becomes U+FFFD."""
     s = trim_space(c)
-    return F.coalesce(_lexical_date(s, [_RFC3339, _DATE, _DATETIME], _MAIL), F.substring(one_line(s, 300), 1, 20))
+    return F.coalesce(_lexical_date(s, [_RFC3339, _DATE, _DATETIME], _MAIL), F.make_valid_utf8(F.substring(one_line(s, 300).cast("binary"), 1, 20).cast("string")))
 
 
 def feed_date(c: Column) -> Column:

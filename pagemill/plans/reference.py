@@ -73,8 +73,7 @@ SEARCH_TOPK = f"with {_RANKED} select query_id, place::int as place, result_id,
 
 
 def search_format(spark: SparkSession, d: str) -> DataFrame:
-    ranked = search.ranked_results(table(spark, d, "queries"), table(spark, d, "results"))
-    return search.result_listing(ranked.withColumn("published", F.lit(None).cast("string")))
+    return search.result_listing(search.ranked_results(table(spark, d, "queries"), table(spark, d, "results")))
 
 
 SEARCH_FORMAT = f"""with {_RANKED}, e as (select query_id, query_text, place, chr(10) || place || '. ' || {_CAP("title")} || chr(10) || '   ' || {_LINE("url")} || chr(10)

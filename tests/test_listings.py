@@ -1,4 +1,4 @@
-"""Feed listings by brute force, with the dates as Go's time.Parse reads their layouts."""
+"""Listings of feeds and search results by brute force, with the dates as Go's time.Parse reads their layouts."""
 
 import calendar
 import html
@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as tx
-from pagemill.plans.reference import atom_page, feed_page
+from pagemill.plans.reference import atom_page, feed_page, search_format, search_topk
 
 MONTHS = [m.lower() for m in calendar.month_abbr]
 CLOCK = r"(?:1?\d|0\d|2[0-3]):[0-5]\d:[0-5]\d(?:[.,]\d+)?"
@@ -65,3 +65,33 @@ def test_feed_dates(spark, small):
     stamps = [*STAMPS, *t("rss_items", "pub_date"), *t("rss_items", "dc_date"), *t("atom_entries", "published"), *t("atom_entries", "updated")]
     got = spark.createDataFrame([(s,) for s in stamps], "s string").select("s", tx.feed_date(F.col("s")).alias("d")).collect()
     assert [(r.s, r.d) for r in got] == [(s, feed_date(s)) for s in stamps]
+
+
+def short_date(s: str | None) -> str:
+    return day((s or "").strip(), SHORT) or one_line(s, 300).encode()[:20].decode("utf-8", "replace")
+
+
+def search_listing(query: str, results: list) -> str:
+    out = 'Search results for "{}":\n'.format(query.replace('"', '\\"'))
+    for i, r in enumerate(results, 1):
+        date, snippet = short_date(r.published), one_line(r.snippet, 300)
+        out += f"\n{i}. {one_line(r.title, 300)}" + (f" ({date})" if date else "") + f"\n   {one_line(r.url, 10**9)}\n" + (f"   {snippet}\n" if snippet else "")
+    return out.strip()
+
+
+def test_search_listings(spark, small):
+    """The ranked results, each with the date of its stamp."""
+    results = {r.result_id: r for r in spark.read.parquet(f"{small}/results.parquet").collect()}
+    queries = {r.query_id: (r.query_text or "").strip() for r in spark.read.parquet(f"{small}/queries.parquet").collect()}
+    lists: dict = {}
+    for r in sorted(search_topk(spark, small).collect(), key=lambda r: r.place):
+        lists.setdefault(r.query_id, []).append(results[r.result_id])
+    got = {r.query_id: r.listing for r in search_format(spark, small).collect()}
+    assert got == {k: search_listing(queries[k], v) for k, v in lists.items()}
+    assert any(" (20" in x for x in got.values())
+
+
+def test_short_dates(spark, small):
+    stamps = [*STAMPS, "2022年6月7日 11時46分", "19 апреля 2021 г., 08:18", "2024-03-11  11:54:01", *(r[0] for r in spark.read.parquet(f"{small}/results.parquet").select("published").collect())]
+    got = spark.createDataFrame([(s,) for s in stamps], "s string").select("s", tx.short_date(F.col("s")).alias("d")).collect()
+    assert [(r.s, r.d) for r in got] == [(s, short_date(s)) for s in stamps]
