@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import html
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.lookalikes import clean, prototype
+from pagemill.operators.pages import gunzip
 from pagemill.session import bounded_broadcast, stored
 
 #: Share of a host's pages from which a token is frequent, and the fewest pages.
@@ -78,9 +78,8 @@ def page_text(markdown: str | None, raw_gzip: bytes | None, content_type: str |
         return markdown, False
     if raw_gzip is None:
         return None, False
-    try:
-        body = zlib.decompressobj(wbits=47).decompress(raw_gzip)
-    except zlib.error:
+    body = gunzip(raw_gzip)
+    if body is None:
         return None, True
     m = _CHARSET.search((content_type or "").encode("utf-8", "replace")) or _CHARSET.search(body[:2048])
     name = m[1].decode("ascii").lower() if m else "utf-8"

@@ -118,17 +118,13 @@ def routed_pages(pages: DataFrame) -> DataFrame:
 
 def _gunzipped(batches):
     import hashlib
-    import zlib
 
     import pyarrow as pa
 
     for b in batches:
         sizes, digests = [], []
         for raw in b.column(1).to_pylist():
-            try:
-                body = None if raw is None else zlib.decompressobj(wbits=47).decompress(raw)
-            except zlib.error:
-                body = None
+            body = gunzip(raw)
             sizes.append(None if body is None else len(body))
             digests.append(None if body is None else hashlib.md5(body).hexdigest())
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], names=["page_id", "size", "digest"])

@@ -1,10 +1,10 @@
 """Pages by brute force, where the queries' SQL can't follow."""
 
 import gzip
+import hashlib
 import zlib
 
-import pytest
-
+from pagemill.llm.boilerplate import page_text
 from pagemill.operators import pages
 from pagemill.plans.reference import content_route
 
@@ -29,3 +29,14 @@ def test_untyped_pages(spark, small):
     want = {r.page_id: "html" if b"<html" in (body := zlib.decompress(r.raw_gzip, 47)).lower() else "binary" if b"\0" in body[:1024] else "text" for r in rows}
     got = {r.page_id: r.route for r in content_route(spark, small).collect() if r.page_id in want}
     assert got == want and "html" in got.values()
+
+
+def test_bodies_of_several_members(spark):
+    parts = [b"<html>one\n", b"", b"two\n" * 5000]
+    whole, raw = b"".join(parts), b"".join(map(gzip.compress, parts))
+    rows = [(1, raw), (2, raw + b"\0" * 9), (3, gzip.compress(whole)), (4, zlib.compress(whole)), (5, raw + b"more"), (6, None), (7, raw[: len(raw) - len(gzip.compress(parts[2])) // 2])]
+    got = {r.page_id: (r["size"], r.digest) for r in pages.raw_bodies(spark.createDataFrame(rows, "page_id long, raw_gzip binary")).collect()}
+    want = (len(whole), hashlib.md5(whole).hexdigest())
+    assert [got[i] for i in range(1, 7)] == [want] * 4 + [(None, None)] * 2
+    assert len(parts[0]) <= got[7][0] < len(whole)
+    assert page_text(None, raw, "text/html; charset=utf-8") == (whole.decode(), True)
