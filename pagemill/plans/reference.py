@@ -236,6 +236,20 @@ def allow_list(spark: SparkSession, d: str) -> DataFrame:
 ALLOW_LIST = f"with e as ({IPV4_BLOCKED}) select event_id, not blocked or event_id % 17 = 0 or " + " or ".join(f"number between {lo} and {hi}" for lo, hi in map(urls._range, ("10.0.0.0/9", "127.1.2.3/32", "224.0.0.0/5"))) + " as permitted from e"
 
 
+#: Prefixes of addresses, each followed by the event's number in hexadecimal, or in IPv4 notation where they end with a dot.
+PREFIXES = ("2606:4700::", "fd00::", "fe80::", "::ffff:10.", "::ffff:8.", "2001:db8::", "64:ff9b::", "::", "10.", "9.", "ff02::", "no address ")
+
+
+def address_admission(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses of both versions, IPv4 in IPv6 too, against the special ranges and the allow list."""
+    n = F.col("event_id")
+    prefix = F.element_at(F.array(*map(F.lit, PREFIXES)), (n % len(PREFIXES) + 1).cast("int"))
+    quad = F.concat_ws(".", (n * 13 % 256).cast("string"), (n % 256).cast("string"), (n * 31 % 256).cast("string"))
+    ip = F.concat(prefix, F.when(prefix.endswith("."), quad).otherwise(F.lower(F.hex(n % 65536))))
+    found = admission.addresses(table(spark, d, "events"), ip, [n], admission.parse_allow_list(list(ALLOW)))
+    return found.select("event_id", "blocked", "allowed", (~F.col("blocked") | F.col("allowed")).alias("permitted"))
+
+
 def image_scale(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("event_id")
     w, h, size = (n * 37 % 9000).cast("int"), (n * 11 % 5000 + 1).cast("int"), (n * 4001 % 20_000_000).cast("long")
@@ -348,7 +362,7 @@ def reference_queries() -> dict:
         "search_topk": (search_topk, SEARCH_TOPK), "search_format": (search_format, SEARCH_FORMAT), "iso_dates": (iso_dates, ISO_DATES), "feed_summary": (feed_summary, FEED_SUMMARY), "feed_page": (feed_page, FEED_PAGE), "atom_page": (atom_page, None),
         "page_title": (page_title, PAGE_TITLE), "cap_text": (cap_text, CAP_TEXT), "fetch_all_windows": (fetch_all_windows, WINDOWS), "fetch_window": (fetch_window, FETCH_WINDOW), "page_links": (page_links, PAGE_LINKS),
         "links_format": (links_format, LINKS_FORMAT), "link_fanout": (link_fanout, LINK_FANOUT), "images_harvest": (images_harvest, IMAGES_HARVEST), "cache_key_dedupe": (cache_key_dedupe, CACHE_DEDUPE),
-        "content_route": (content_route, CONTENT_ROUTE), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "image_scale": (image_scale, IMAGE_SCALE),
+        "content_route": (content_route, CONTENT_ROUTE), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "address_admission": (address_admission, None), "image_scale": (image_scale, IMAGE_SCALE),
         "save_paths": (save_paths, SAVE_PATHS), "attribute_urls": (attribute_urls, ATTRIBUTE_URLS), "page_size": (page_size, PAGE_SIZE), "cache_list": (cache_list, CACHE_LIST), "raw_bytes": (raw_bytes, None),
         "rate_limit": (rate_limit, None), "lru_hits": (lru_hits, None), "session_cwd": (session_cwd, SESSION_CWD),
     }

@@ -17,3 +17,14 @@ def test_addresses(spark):
 @pytest.mark.parametrize(("entries", "want"), [([" A.test ", "", "10.0.0.1", "fd00::/8", "10.1.2.3/8"], AllowList(("a.test",), ("10.0.0.1/32", "fd00::/8", "10.0.0.0/8"))), ([], AllowList((), ()))])
 def test_parse(entries, want):
     assert parse_allow_list(entries) == want
+
+
+def test_registered_query(spark, small):
+    """Both versions reach the registered query: each address by its prefix, as all of a prefix lie in one range."""
+    from pagemill.plans.reference import PREFIXES, reference_queries
+
+    query, sql = reference_queries()["address_admission"]
+    got = {(r.event_id % len(PREFIXES), r.blocked, r.allowed, r.permitted) for r in query(spark, small).where("event_id % 65536 > 1").collect()}
+    open_, shut, listed = (False, False, True), (True, False, False), (True, True, True)
+    want = {"2606:4700::": {open_}, "fd00::": {listed}, "fe80::": {shut}, "::ffff:10.": {shut, listed}, "::ffff:8.": {open_}, "2001:db8::": {shut}, "64:ff9b::": {shut}, "::": {open_}, "10.": {shut, listed}, "9.": {open_}, "ff02::": {shut}, "no address ": {shut}}
+    assert sql is None and got == {(i, *x) for i, p in enumerate(PREFIXES) for x in want[p]}
