@@ -4,41 +4,54 @@ A page is a sequence of lines; a line's token is its visible text with digits
 masked, a line of the form "label: ..." or "start › ..." also has the token of that
 label. Over the pages of a host:
 
-1. ``page_tokens`` gives each token's occurrences, ``host_tokens`` its occurrence
+1. ``page_rows`` parses each page once and keeps hashes of its lines' tokens with
+   their places; no text leaves the parse. ``host_tokens`` gives each token's occurrence
    vector (as a hash over the pages it stands on and how often).
-2. Tokens of a host with one vector form an equivalence class. ``templates`` keeps
-   the valid ones: classes that are large or frequent enough to be no coincidence.
-   A token that is valid on several hosts is valid wherever it stands.
-3. The template's tokens nest around the page's main slot: the slot opens at the
-   headline and closes at the first token after which pages have no further body.
-   ``boilerplate_lines`` gives the lines outside the slot, and inside it those
+2. Tokens of a host with one vector form an equivalence class. A class is valid if it is
+   large, has support among the host's pages, and is *ordered*: its tokens follow each
+   other in one order on the pages they share. A class too small to prove itself is
+   valid if it is *nested*: it keeps to one side of the main slot on the pages that have
+   it, or stands as a short line within the slot.
+3. Classes that hold paragraphs and stand within the main slot are content that stands on
+   several pages (a print version, a second address), not template, unless a large share of
+   the host's pages has them. What valid classes of many of the hosts that have it agree
+   on is template on the other hosts, too.
+4. The template nests around the page's main slot: the slot opens at the headline and
+   closes at the first template token after which pages have no further body. What
+   remains are the slots: lines outside the main slot are dropped, and inside it those
    that are tokens of the template themselves.
 
-All steps are joins and aggregations by host and token; a host of any size is
-spread over tasks, as what is kept for a host is its template only.
+All steps are joins and aggregations of hashes by host and token; a host of any size is
+spread over tasks, and no step moves a page's text.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.lookalikes import clean, prototype
 from pagemill.operators.pages import gunzip
-from pagemill.session import bounded_broadcast, stored
+from pagemill.session import BROADCAST_LIMIT, bounded_broadcast, stored
 
-#: Share of a host's pages from which a token is frequent, and the fewest pages.
+#: Share of a host's pages, and the fewest pages, that make a small class' support.
 SHARE, PAGES = 0.045, 3
-#: Tokens from which a class that stands on at least two pages is valid.
+#: Tokens from which a class is large; it needs the share, but two pages only.
 CLASS_SIZE = 3
-#: Hosts on which a token must be valid to be valid everywhere.
-HOSTS = 3
+#: Share of the pages of a large class on which its tokens must have one order.
+ORDERED = 0.9
+#: Share of a token's pages on which it must be on one side of the main slot to be nested outside it.
+NESTED = 0.9
+#: Share of a host's pages from which paragraphs within the main slot are template.
+PARAGRAPHS = 0.3
+#: Share of the hosts which have a token (on two pages or more) that must find it valid for it to be valid everywhere.
+LENT = 0.1
 #: Share of the pages of the hosts that have it, from which a token of many hosts is valid.
 POOLED = 0.03
 #: Share of its pages on which no body may follow a token that closes the main slot.
@@ -180,36 +193,67 @@ def hash_of(token: str) -> int:
     return int.from_bytes(xxhash.xxh64_digest(token.encode("utf-8", "surrogatepass")), "big", signed=True)
 
 
-TOKENS = "host long, token long, page long, n smallint, headline boolean, byline boolean, closing boolean"
+#: Bits of a line and of a token's places on a page.
+BEFORE, TOP, AFTER_TOP, HELD, BODY, CODE, CLOSES = 1, 2, 4, 8, 16, 32, 64
 
+#: What a caller may compute of each line besides: a number and hashes.
+Extra = Callable[[Line], tuple[int, list[int]]]
 
-def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        cols: list[list] = [[] for _ in range(7)]
-        for host, page, title, markdown, raw, kind in zip(*(b.column(i).to_pylist() for i in range(6))):
-            text, is_html = page_text(markdown, raw, kind)
-            if text is None:
-                continue
-            lines = page_lines(text, is_html)
-            top = headline_at(lines, title)
-            last = max((i for i, x in enumerate(lines) if is_body(x)), default=-1)
-            seen: dict[str, list] = {}
-            for i, x in enumerate(lines):
-                core = headline_core(x.token) if i == top else None
-                for t in (x.token, x.label, masked(x), core, core and masked(Line(0, core_text(x.text), "", None, False, False))):
-                    if t:
-                        v = seen.setdefault(t, [0, False, False, True])
-                        v[0] = min(v[0] + 1, 30_000)
-                        v[1] |= i == top
-                        v[2] |= top is not None and i == top + 1
-                        # a token closes the slot of this page if it stands after the headline and no body follows it
-                        if i <= last or top is not None and i <= top:
-                            v[3] = False
-            for t, v in seen.items():
-                for c, value in zip(cols, (host, hash_of(t), page, *v)):
-                    c.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.bool_(), pa.bool_(), pa.bool_())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in TOKENS.split(", ")])
+PAGE = pa.schema([
+    ("is_html", pa.bool_()), ("page_id", pa.int64()), ("host", pa.int64()), ("page", pa.int64()), ("doc", pa.int64()),
+    ("seen", pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int32()), ("first", pa.int32()), ("bits", pa.int32())]))),
+    ("lines", pa.list_(pa.struct([("no", pa.int32()), ("bits", pa.int32()), ("tokens", pa.list_(pa.int64())), ("extra", pa.int32()), ("hashes", pa.list_(pa.int64()))]))),
+])
+ROWS = "is_html boolean, page_id long, host long, page long, doc long, seen array<struct<token: long, n: int, first: int, bits: int>>, lines array<struct<no: int, bits: int, tokens: array<long>, extra: int, hashes: array<long>>>"
+
+
+def parsed_page(text: str, is_html: bool, title: str | None, extra: Extra | None = None) -> tuple[list[dict], list[dict]]:
+    """(what each token does on the page, the page's lines)."""
+    lines = page_lines(text, is_html)
+    top = headline_at(lines, title)
+    bodies = [i for i, x in enumerate(lines) if is_body(x)]
+    last = bodies[-1] if bodies else -1
+    opens = top if top is not None else bodies[0] if bodies else 0
+    seen: dict[int, dict] = {}
+    out = []
+    for i, x in enumerate(lines):
+        body = is_body(x)
+        bits = (BEFORE if top is not None and i < top else 0) | (TOP if i == top else 0) | (AFTER_TOP if top is not None and i == top + 1 else 0)
+        bits |= (HELD if x.held else 0) | (BODY if body else 0) | (CODE if x.code else 0)
+        names = [x.token, x.label, masked(x)]
+        tokens = [hash_of(t) for t in (names[:1] if body else names) if t]
+        if i == top:
+            core = headline_core(x.token)
+            names += [core, masked(Line(0, core_text(x.text), "", None, False, False)) if core else None]
+        # a token closes the slot of this page if it stands after the headline and no body follows it
+        closes = i > last and (top is None or i > top)
+        for t in {hash_of(t) for t in names if t}:
+            v = seen.get(t)
+            if v is None:
+                v = seen[t] = {"token": t, "n": 0, "first": i, "bits": CLOSES | BEFORE}
+            v["n"] += 1
+            v["bits"] |= bits & (TOP | AFTER_TOP | BODY)
+            if not closes:
+                v["bits"] &= ~CLOSES
+            if i >= opens:
+                v["bits"] &= ~BEFORE
+        more = extra(x) if extra else (0, [])
+        out.append({"no": x.no, "bits": bits, "tokens": tokens, "extra": more[0], "hashes": more[1]})
+    return list(seen.values()), out
+
+
+def _page_batches(extra: Extra | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for page_id, host, page, title, markdown, raw, kind in zip(*(b.column(i).to_pylist() for i in range(7))):
+                text, is_html = page_text(markdown, raw, kind)
+                if text is not None:
+                    seen, lines = parsed_page(text, is_html, title, None if is_html else extra)
+                    rows.append({"is_html": is_html, "page_id": page_id, "host": host, "page": page, "doc": hash_of(f"{page_id} {host} {is_html} {title} {text}"), "seen": seen, "lines": lines})
+            yield pa.RecordBatch.from_pylist(rows, schema=PAGE)
+
+    return run
 
 
 def _host() -> "F.Column":
@@ -220,107 +264,92 @@ def _page() -> "F.Column":
     return F.xxhash64(F.coalesce("cache_key", F.col("page_id").cast("string")))
 
 
-def page_tokens(pages: DataFrame) -> DataFrame:
-    """A row for each token of each page; copies of a page under one cache_key are one page."""
-    named = pages.select(_host().alias("host"), _page().alias("page"), "title", "markdown", "raw_gzip", "content_type")
-    return named.mapInArrow(_token_batches, TOKENS)
+def page_rows(pages: DataFrame, extra: Extra | None = None) -> DataFrame:
+    """A row of hashes for each page that has text; ``page`` is one for the copies of a page under one cache_key."""
+    named = pages.select("page_id", _host().alias("host"), _page().alias("page"), "title", "markdown", "raw_gzip", "content_type")
+    return named.mapInArrow(_page_batches(extra), ROWS)
+
+
+def _occurrences(rows: DataFrame) -> DataFrame:
+    """(host, token, page, n, first, bits), once for each page; of several versions of a page the fullest counts."""
+    each = rows.select("host", "page", F.explode("seen").alias("s")).select("host", "page", "s.*")
+    both = lambda bit: F.when(F.bool_and(F.col("bits").bitwiseAND(bit) != 0), bit).otherwise(0)
+    some = lambda bit: F.when(F.bool_or(F.col("bits").bitwiseAND(bit) != 0), bit).otherwise(0)
+    bits = both(CLOSES) + both(BEFORE) + some(TOP) + some(AFTER_TOP) + some(BODY)
+    return each.groupBy("host", "token", "page").agg(F.max("n").alias("n"), F.min("first").alias("first"), bits.alias("bits"))
 
 
-def host_tokens(tokens: DataFrame) -> DataFrame:
+def host_tokens(rows: DataFrame) -> DataFrame:
     """Each token of each host with its occurrence vector (hashed) and what is known of its places."""
-    flag = lambda c, f: f(F.col(c)).alias(c)
-    once = tokens.groupBy("host", "token", "page").agg(F.max("n").alias("n"), flag("headline", F.bool_or), flag("byline", F.bool_or), flag("closing", F.bool_and))
-    count = lambda c: F.count_if(F.col(c)).cast("int").alias(c)
-    return once.groupBy("host", "token").agg(F.count("*").cast("int").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), count("headline"), count("byline"), count("closing"))
+    count = lambda bit, name: F.count_if(F.col("bits").bitwiseAND(bit) != 0).alias(name)
+    return _occurrences(rows).groupBy("host", "token").agg(
+        F.count("*").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), count(TOP, "headline"), count(AFTER_TOP, "byline"), count(CLOSES, "closing"), count(BEFORE, "before"), count(BODY, "body")
+    )
 
 
-def templates(tokens: DataFrame, pages_of_host: DataFrame) -> DataFrame:
+def classes(kept: DataFrame, rows: DataFrame, pages_of_host: DataFrame) -> DataFrame:
+    """(host, token) of the tokens of valid classes; see the module's steps 2 and 3."""
+    outside = F.greatest("closing", "before") >= NESTED * F.col("pages")
+    several = kept.where("pages >= 2").join(bounded_broadcast(pages_of_host), "host")
+    grouped = several.groupBy("host", "vector").agg(F.count("*").alias("size"), F.max("pages").alias("support"), F.max("of_host").alias("of_host"), F.bool_or((F.col("body") > 0) & ~outside).alias("paragraphs"))
+    supported = grouped.where((F.col("support") >= SHARE * F.col("of_host")) & (~F.col("paragraphs") | (F.col("support") >= PARAGRAPHS * F.col("of_host"))))
+    members = several.join(supported.select("host", "vector", "size"), ["host", "vector"]).select("host", "token", "vector", "size", "pages", (outside | (F.col("body") == 0)).alias("nested"), F.col("of_host"))
+    members = stored(members)
+    large = members.where(F.col("size") >= CLASS_SIZE)
+    placed = _occurrences(rows).join(large.select("host", "token", "vector"), ["host", "token"])
+    sequence = placed.groupBy("host", "vector", "page").agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("first", "token")))["token"]).alias("sequence"))
+    orders = sequence.groupBy("host", "vector", "sequence").agg(F.count("*").alias("n")).groupBy("host", "vector").agg((F.max("n") >= ORDERED * F.sum("n")).alias("ordered"))
+    judged = large.join(orders, ["host", "vector"]).select("host", "token", "pages", "of_host", "nested", "ordered")
+    small = members.where(F.col("size") < CLASS_SIZE).select("host", "token", "pages", "of_host", "nested", F.lit(False).alias("ordered"))
+    valid = F.col("ordered") | (F.col("nested") & (F.col("pages") >= PAGES)) | (F.col("pages") >= F.greatest(F.lit(float(PAGES)), PARAGRAPHS * F.col("of_host")))
+    return judged.unionByName(small).where(valid).select("host", "token")
+
+
+def templates(rows: DataFrame, pages_of_host: DataFrame) -> DataFrame:
     """(host, token, closes): the tokens of each host's template."""
-    kept = stored(host_tokens(tokens))
-    classes = kept.where("pages >= 2").groupBy("host", "vector").agg(F.count("*").alias("size"))
-    often = kept.where("pages >= 2").join(classes, ["host", "vector"]).join(pages_of_host, "host")
-    valid = often.where(((F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("of_host"))) | (F.col("size") >= CLASS_SIZE)).select("host", "token")
-    valid = stored(valid)
+    kept = stored(host_tokens(rows))
+    valid = stored(classes(kept, rows, pages_of_host))
     named = valid.groupBy("token").agg(F.count("*").alias("hosts_valid"))
     # what a valid token does on all hosts that have it, valid there or not
-    pooled = kept.join(named, "token").join(pages_of_host, "host").groupBy("token").agg(
-        F.max("hosts_valid").alias("hosts_valid"), F.sum("pages").alias("all_pages"), F.sum("of_host").alias("all_of_host"),
+    pooled = kept.join(named, "token").join(bounded_broadcast(pages_of_host), "host").groupBy("token").agg(
+        F.max("hosts_valid").alias("hosts_valid"), F.count_if(F.col("pages") >= 2).alias("hosts"), F.sum("pages").alias("all_pages"), F.sum("of_host").alias("all_of_host"),
         F.sum("headline").alias("all_headline"), F.sum("byline").alias("all_byline"), F.sum("closing").alias("all_closing"),
     )
     content = (F.col("all_headline") >= TITLE * F.col("all_pages")) | (F.col("all_byline") >= BYLINE * F.col("all_pages"))
-    anywhere = (F.col("hosts_valid") >= HOSTS) & (F.col("all_pages") >= POOLED * F.col("all_of_host"))
+    anywhere = (F.col("hosts_valid") >= 2) & (F.col("hosts_valid") >= LENT * F.col("hosts")) & (F.col("all_pages") >= POOLED * F.col("all_of_host"))
     good = pooled.where(~content).select("token", anywhere.alias("anywhere"), (F.col("all_closing") >= CLOSING * F.col("all_pages")).alias("closes"))
     own = valid.join(good, "token").select("host", "token", "closes")
     lent = kept.select("host", "token").join(good.where("anywhere"), "token").select("host", "token", "closes")
     return own.unionByName(lent).distinct()
 
 
-def main_slot(lines: list[Line], title: str | None, template: dict[int, bool]) -> list[bool]:
-    """For each line whether it is outside the main slot or a token of the template inside it."""
-    top = headline_at(lines, title)
-    out = []
-    closed = False
-    for i, x in enumerate(lines):
-        if top is not None and i < top:
-            out.append(True)
-            continue
-        if i == top:
-            out.append(False)
-            continue
-        if not closed and not x.held:
-            names = (x.token,) if is_body(x) else (x.token, x.label, masked(x))
-            hits = [template[h] for t in names if t is not None and (h := hash_of(t)) in template]
-            closed = any(hits)
-        else:
-            hits = []
-        out.append(closed or bool(hits))
-    return out
-
-
-LINES = "field_name string, page_id long, host string, line_no int, drop boolean, headline boolean, code boolean, text string"
-
-
-def _line_batches(only_dropped: bool):
-    schema = pa.schema([("field_name", pa.string()), ("page_id", pa.int64()), ("host", pa.string()), ("line_no", pa.int32()), ("drop", pa.bool_()), ("headline", pa.bool_()), ("code", pa.bool_()), ("text", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, {})
-        for b in batches:
-            cols: list[list] = [[] for _ in range(8)]
-            for page, host, title, markdown, raw, kind, tokens, closes in zip(*(b.column(i).to_pylist() for i in range(8))):
-                text, is_html = page_text(markdown, raw, kind)
-                if text is None:
-                    continue
-                lines = page_lines(text, is_html)
-                top = headline_at(lines, title)
-                if last[0] != host or host is None:
-                    last = (host, dict.fromkeys(tokens or (), False) | dict.fromkeys(closes or (), True))
-                for i, (x, drop) in enumerate(zip(lines, main_slot(lines, title, last[1]))):
-                    if drop or not only_dropped:
-                        for c, v in zip(cols, ("page.raw_gzip" if is_html else "page.markdown", page, host, x.no, drop, i == top, x.code, None if only_dropped else x.text)):
-                            c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-
-    return run
-
-
-def classified_lines(pages: DataFrame, only_dropped: bool = False) -> DataFrame:
-    """(field_name, page_id, host, line_no, drop, headline, code, text) of every line that shows text.
+def classified_lines(pages: DataFrame, extra: Extra | None = None, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """(field_name, page_id, host, line_no, bits, drop, extra, hashes) of every line that shows text.
 
-    ``pages`` has page_id, host, cache_key, title, content_type, markdown and raw_gzip.
-    Repeated rows give repeated lines. Pages without text have no lines; null hosts are
-    one host. Without a template (one page, no other host like it) only what stands
-    before the headline is dropped. ``only_dropped`` leaves out the other lines and all texts.
+    ``pages`` has page_id, host, cache_key, title, content_type, markdown and raw_gzip;
+    ``host`` comes out as its hash. ``extra`` gives a number and hashes of each line of
+    markdown. Repeated rows give one set of lines. Pages without text have no lines; null
+    hosts are one host. Without a template (one page, no other host like it) only what
+    stands before the headline is dropped. The template is broadcast within ``limit``
+    bytes; beyond it, the hashes are shuffled to it, and texts never are.
     """
     pages = pages.select("page_id", "host", "cache_key", "title", "content_type", "markdown", "raw_gzip")
-    pages_of_host = pages.groupBy(_host().alias("host")).agg(F.count_distinct(_page()).alias("of_host"))
-    template = templates(page_tokens(pages), pages_of_host).groupBy(F.col("host").alias("of")).agg(
-        F.collect_list(F.when(~F.col("closes"), F.col("token"))).alias("tokens"), F.collect_list(F.when(F.col("closes"), F.col("token"))).alias("closing")
+    pages_of_host = stored(pages.groupBy(_host().alias("host")).agg(F.count_distinct(_page()).alias("of_host")))
+    rows = stored(page_rows(pages, extra))
+    template = stored(templates(rows, pages_of_host))
+    lines = rows.select("is_html", "page_id", "host", "doc", F.explode("lines").alias("l")).select("is_html", "page_id", "host", "doc", "l.*")
+    each = lines.select("is_html", "page_id", "host", "doc", "no", "bits", "extra", "hashes", F.explode_outer("tokens").alias("token"))
+    joined = each.join(bounded_broadcast(template, limit), ["host", "token"], "left").repartition("doc")
+    named = joined.groupBy("doc", "no").agg(
+        *[F.first(c).alias(c) for c in ("is_html", "page_id", "host", "bits", "extra", "hashes")], F.bool_or(F.col("closes").isNotNull()).alias("hit"), F.bool_or(F.coalesce("closes", F.lit(False))).alias("closes")
     )
-    joined = pages.join(bounded_broadcast(stored(template)), _host() == F.col("of"), "left")
-    return joined.select("page_id", "host", "title", "markdown", "raw_gzip", "content_type", "tokens", "closing").mapInArrow(_line_batches(only_dropped), LINES)
+    bit = lambda b: F.col("bits").bitwiseAND(b) != 0
+    free = ~bit(BEFORE) & ~bit(TOP) & ~bit(HELD)
+    closed = F.min(F.when(free & F.col("closes"), F.col("no"))).over(Window.partitionBy("doc"))
+    drop = bit(BEFORE) | (~bit(TOP) & F.coalesce(F.col("no") > closed, F.lit(False))) | (free & F.col("hit"))
+    return named.select(F.when(F.col("is_html"), "page.raw_gzip").otherwise("page.markdown").alias("field_name"), "page_id", "host", F.col("no").alias("line_no"), "bits", drop.alias("drop"), "extra", "hashes")
 
 
-def boilerplate_lines(pages: DataFrame) -> DataFrame:
+def boilerplate_lines(pages: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """(field_name, page_id, line_no) of each line to be dropped, once each."""
-    return classified_lines(pages, only_dropped=True).select("field_name", "page_id", "line_no").distinct()
+    return classified_lines(pages, limit=limit).where("drop").select("field_name", "page_id", "line_no").distinct()

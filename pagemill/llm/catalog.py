@@ -32,10 +32,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "rendered")
-    lines = boilerplate.classified_lines(pages)
-    texts = residue.page_texts(lines).unionByName(residue.snippet_texts(table(spark, sf_dir, "results")))
-    return residue.residue_records(texts)
+    found = residue.page_evidence(table(spark, sf_dir, "rendered")).unionByName(residue.evidence(residue.snippet_texts(table(spark, sf_dir, "results"))))
+    return residue.judged_records(found)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
