@@ -1,11 +1,13 @@
 """Finding and restoring text that was decoded with the wrong character encoding.
 
-1. ``pair_table`` counts in how many distinct texts each adjacent character pair stands,
-   apart from those in which some run already proves to be bytes of another encoding, and
-   keeps the counts in a hashed table of fixed size. Neither copies nor repetition within a
-   text make a pair probable.
+1. ``pair_table`` counts in how many distinct texts each adjacent character pair, character
+   and word stands, exactly and over all texts, apart from those in which some run already
+   proves to be bytes of another encoding. Neither copies nor repetition within a text make
+   a pair probable. What stands in less than a fixed share of the texts counts as unseen, so
+   that at most (pairs of a mean text) / share pairs are kept, whatever the corpus.
 2. Each pair is scored by its mutual information, discounted where the corpus has
-   few of it. Maximum-scoring segments of the negative score are the improbable runs.
+   few of it. Maximum-scoring segments of the negative score are the improbable runs;
+   lost characters (U+FFFD) and control characters are improbable beside anything.
 3. Only inside those runs the inverse mappings are tried: the run is encoded as the
    wrong encoding and decoded as the right one. Several bytes that form valid
    multi-byte characters prove the mapping; a mapping between single-byte encodings
@@ -29,18 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Cells of the tables of pairs, characters and words; all are arrays of fixed size.
-PAIR_CELLS, CHAR_CELLS, WORD_CELLS = 1 << 18, 1 << 16, 1 << 20
+from pagemill.session import stored
+
 #: Share of the texts under which a pair's own count is not trusted.
 RARE = 0.002
+#: Shares of the texts (and the fewest texts) from which a pair, and a character or word, is seen at all.
+SEEN_PAIR, SEEN, SEEN_LEAST = RARE / 40, 1e-5, 2
 #: Score of a pair that the corpus says nothing about.
 UNKNOWN = 3.0
 #: Least mean gain (natural logarithm of frequencies) of a single-byte mapping.
 GAIN = 2.0
 
-#: Characters up to which what stands in quotation marks is a quoted word.
-QUOTED = 60
-
 # Encodings that text is wrongly read as, and those that it may have been written in.
 NARROW = ("cp1252", "mac_roman", "cp437", "cp850", "cp1251", "koi8_r", "cp1250", "cp866", "iso8859_15")
 WIDE = ("gbk", "cp932", "big5", "euc_kr", "euc_jp")
@@ -56,6 +57,7 @@ _ODD = re.compile(r"[^\x00-\x7f]+")
 _ODD_CHAR = re.compile(r"[^\x00-\x7f]")
 _ENTITY = re.compile(r"&#?\w{1,31};")
 _IDEOGRAPHS = re.compile("[\u2e80-\ud7ff\uf900-\ufaff\uff00-\uffef]+")
+_LOST = re.compile("\ufffd+")
 _C1 = re.compile("[\x80-\x9f]")
 #: Characters that restored text may have whatever the corpus' statistics: the others prove nothing.
 _COMMON = re.compile("[\x00-\u024f\u0400-\u045f\u2000-\u22ff\u3000-\u9fff\uac00-\ud7ff\uff00-\uffef\U0001f000-\U0001faff]")
@@ -170,10 +172,9 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _cells(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> np.uint64(31)
-    return ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(46)).astype(np.int64)
+def _codes(p: np.ndarray) -> np.ndarray:
+    """Each adjacent pair as one number."""
+    return (p[:-1].astype(np.int64) << 21) | p[1:].astype(np.int64)
 
 
 def plain_text(text: str) -> str:
@@ -184,72 +185,103 @@ def plain_text(text: str) -> str:
 _WORDS = re.compile(r"[^\W\d_]+(?:[’'\-][^\W\d_]+)*")
 
 
-def _word_cells(word: str) -> tuple[int, int]:
-    h = int.from_bytes(hashlib.blake2b(word.casefold().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-    return h % WORD_CELLS, (h >> 32) % WORD_CELLS
+def word_key(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.casefold().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+#: Kinds of what is counted.
+PAIR, CHAR, WORD, TEXT = range(4)
+#: Counted items after which a task hands on what it has.
+FLUSH = 4_000_000
+
+
+def _counted(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["kind", "key", "n"])
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pairs, chars, words, texts = np.zeros(PAIR_CELLS, np.int64), np.zeros(CHAR_CELLS, np.int64), np.zeros(WORD_CELLS, np.int64), 0
-    seen: dict[str, int] = {}
+    chars, texts, held = np.zeros(0x110000, np.int64), 0, 0
+    pairs: list[np.ndarray] = []
+    words: dict[str, int] = {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        nonlocal held
+        if pairs:
+            yield _counted(PAIR, *np.unique(np.concatenate(pairs), return_counts=True))
+        if words:
+            yield _counted(WORD, np.array([word_key(w) for w in words], np.int64), np.array(list(words.values()), np.int64))
+        pairs.clear()
+        words.clear()
+        held = 0
+
     for b in batches:
         for t in b.column(0).to_pylist():
             t = plain_text(t)
+            if t.isascii():
+                p = np.frombuffer(f" {t} ".encode(), np.uint8).astype(np.int32)
+                present = np.zeros(1 << 14, bool)
+                present[p[:-1] << 7 | p[1:]] = True
+                chars[:128] += np.bincount(np.flatnonzero(present) >> 7, minlength=128)
+                texts += 1
+                continue
             if suspicious(t):
                 continue
             texts += 1
-            p = _points(f" {t} ")
-            both = np.unique(p[:-1].astype(np.uint64) << np.uint64(32) | p[1:])
-            first, second = (both >> np.uint64(32)).astype(np.uint32), both.astype(np.uint32)
-            odd = (first > 127) | (second > 127)
-            np.add.at(chars, first & 0xFFFF, 1)
-            np.add.at(pairs, _cells(first[odd], second[odd]), 1)
+            both = np.unique(_codes(_points(f" {t} ")))
+            first = both >> 21
+            np.add.at(chars, first, 1)
+            pairs.append(both[(first > 127) | ((both & 0x1FFFFF) > 127)])
+            held += len(pairs[-1])
             for w in set(_WORDS.findall(t)):
                 if not w.isascii():
-                    seen[w] = seen.get(w, 0) + 1
-        if len(seen) > 200_000:
-            _add_words(words, seen)
-    _add_words(words, seen)
-    both = np.concatenate((pairs, chars, words, [texts]))
-    at = np.flatnonzero(both)
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(both[at])], names=["cell", "n"])
-
-
-def _add_words(cells: np.ndarray, seen: dict[str, int]) -> None:
-    for w, n in seen.items():
-        for c in _word_cells(w):
-            cells[c] += n
-    seen.clear()
+                    words[w] = words.get(w, 0) + 1
+            if held + len(words) > FLUSH:
+                yield from flush()
+    yield from flush()
+    at = np.flatnonzero(chars)
+    yield _counted(CHAR, at, chars[at])
+    yield _counted(TEXT, np.zeros(1), np.array([texts]))
 
 
 class PairTable:
-    """In how many texts pairs (with a character beyond ASCII) and words stand, and how often a character begins such a
-    pair of a text or one within ASCII, in hashed arrays of fixed size."""
+    """In how many texts pairs (with a character beyond ASCII) and words stand, and in how many pairs of texts a
+    character stands first; pairs, characters and words as sorted numbers, those of pairs and characters with counts."""
 
-    def __init__(self, pairs: np.ndarray, chars: np.ndarray, words: np.ndarray, texts: int):
-        self.pairs, self.chars, self.words, self.texts = pairs, chars, words, max(1, texts)
-        self.total = max(1, int(chars.sum()))
+    def __init__(self, pairs: np.ndarray, pair_counts: np.ndarray, chars: np.ndarray, char_counts: np.ndarray, words: np.ndarray, texts: int, total: int):
+        self.pairs, self.pair_counts, self.chars, self.char_counts, self.words, self.texts, self.total = pairs, pair_counts, chars, char_counts, words, max(1, texts), max(1, total)
         self.trust = max(2.0, RARE * self.texts)
+        self.seen = max(SEEN_LEAST, SEEN * self.texts)
+
+    @staticmethod
+    def _look_up(keys: np.ndarray, counts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        if len(keys) == 0:
+            return np.zeros(len(wanted), np.int64)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, counts[at], 0)
 
     def counts(self, p: np.ndarray) -> np.ndarray:
-        return self.pairs[_cells(p[:-1], p[1:])]
+        return self._look_up(self.pairs, self.pair_counts, _codes(p))
 
     def knows(self, c: str) -> bool:
-        return self.chars[ord(c) & 0xFFFF] >= 2
+        return self._look_up(self.chars, self.char_counts, np.array([ord(c)]))[0] >= self.seen
 
     def knows_word(self, word: str) -> bool:
-        return min(self.words[c] for c in _word_cells(word)) >= 2
+        key = word_key(word)
+        at = int(np.searchsorted(self.words, key))
+        return at < len(self.words) and int(self.words[at]) == key
 
     def improbability(self, p: np.ndarray) -> np.ndarray:
         """The negative discounted mutual information of each adjacent pair; pairs within ASCII and
-        pairs that many texts have count as probable at least slightly."""
+        pairs that many texts have count as probable at least slightly, lost and control characters never."""
         n = self.counts(p).astype(np.float64)
-        c = self.chars[p & 0xFFFF] + 1.0
+        c = self._look_up(self.chars, self.char_counts, p.astype(np.int64)) + 1.0
         mutual = np.log((n + 0.01) * self.total / (c[:-1] * c[1:]))
         share = n / (n + self.trust)
         score = share * -np.clip(mutual, -UNKNOWN, UNKNOWN) + (1 - share) * UNKNOWN
         score[n >= self.trust] = np.minimum(score[n >= self.trust], -0.5)
         score[(p[:-1] < 128) & (p[1:] < 128)] = -0.7
+        broken = (p == 0xFFFD) | ((p >= 0x80) & (p < 0xA0))
+        score[broken[:-1] | broken[1:]] = UNKNOWN
         return score
 
 
@@ -343,9 +375,18 @@ def _decode(data: bytes | None, right: str, text: str, end: int, wrong: str) ->
     return None, end
 
 
+def _in_word(c: str) -> bool:
+    return c.isalpha() or c in "’'-"
+
+
 def _words_known(table: PairTable, text: str, a: int, b: int, fixed: str) -> bool:
-    lo = max(0, a - 40)
-    new = text[lo:a] + fixed + text[b : b + 40]
+    """Whether every word that the restored run touches stands in the corpus."""
+    lo, hi = a, b
+    while lo > 0 and _in_word(text[lo - 1]):
+        lo -= 1
+    while hi < len(text) and _in_word(text[hi]):
+        hi += 1
+    new = text[lo:a] + fixed + text[b:hi]
     for m in _WORDS.finditer(new):
         w = m[0]
         if m.end() > a - lo and m.start() < a - lo + len(fixed) and not w.isascii() and w[0] < "\u2e80" and not table.knows_word(w):
@@ -369,13 +410,15 @@ def _quoted(text: str, a: int, b: int, fixed: str | None) -> bool:
     wa, wb = _word(text, a, b)
     if not (wa > 0 and text[wa - 1] in _OPEN and wb < len(text) and text[wb] in _CLOSE):
         return False
-    if wb - wa > QUOTED:
-        return False
     rest = text[:wa] + " " + text[wb:]
     if fixed is not None:
         return (text[wa:a] + fixed + text[b:wb]).casefold() in rest.casefold()
-    lost = ".{0,3}".join(map(re.escape, _ODD.split(text[wa:wb])))
-    return re.search(rf"(?<!\w){lost}(?!\w)", rest) is not None
+    # of a lost word the ASCII parts must stand in one other word, in order, with something else between them
+    shape = _ODD.sub("\x00", text[wa:wb]).casefold()
+    return any(_ODD.sub("\x00", w).casefold() == shape for w in _QUOTABLE.findall(rest) if not w.isascii() and "\ufffd" not in w)
+
+
+_QUOTABLE = re.compile(r"\w(?:[^\s.,;:!?“”„«»‘‚「」‹›\"()]*\w)?")
 
 
 def repair(text: str, table: PairTable) -> tuple[bool, str | None]:
@@ -386,21 +429,25 @@ def repair(text: str, table: PairTable) -> tuple[bool, str | None]:
     padded = f" {plain} "
     p = _points(padded)
     score = table.improbability(p)
-    lost = [(m.start(), m.end(), None) for m in re.finditer("\ufffd+", padded)]
     found: list[tuple[int, int, str | None]] = []
+    lost: list[tuple[int, int, str | None]] = []
+    controls: list[tuple[int, int, str | None]] = []
     rest: list[tuple[int, int]] = []
     if (score > 0).any():
         for a, b in segments(score):
             a, b = max(a, 1), min(b + 1, len(padded) - 1)
-            parts = utf8_parts(padded[a:b], table.knows)
+            run = padded[a:b]
+            parts = utf8_parts(run, table.knows)
             found += [(a + s, a + e, fixed) for s, e, fixed in parts]
-            if not parts and "\ufffd" not in padded[a:b]:
+            lost += [(a + m.start(), a + m.end(), None) for m in _LOST.finditer(run)]
+            if not parts and "\ufffd" not in run:
                 rest.append((a, b))
+                controls += [(a + m.start(), a + m.end(), None) for m in _C1.finditer(run)]
     quoted = [x for x in found + lost if _quoted(padded, *x)]
     if not found and not lost and rest:
         found = _narrow_inverse(table, padded, rest)
         if not found:
-            lost += [(m.start(), m.end(), None) for m in _C1.finditer(padded)]
+            lost += controls
     found = sorted(x for x in found if x not in quoted)
     lost = [x for x in lost if x not in quoted]
     if not found and not lost:
@@ -430,17 +477,24 @@ def suspects(rows: DataFrame) -> DataFrame:
 
 
 def pair_table(rows: DataFrame) -> PairTable:
-    """The statistics over the distinct texts of ``rows``; what comes to the driver has a fixed size whatever the corpus."""
+    """The statistics over the distinct texts of ``rows``. To the driver come the pairs, characters and words
+    that a share of the texts has, so their number is bounded by that share."""
     distinct = rows.select(F.xxhash64("text").alias("hash"), "text").dropDuplicates(["hash"])
-    counted = distinct.select("text").mapInArrow(_count_batches, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    both = np.zeros(PAIR_CELLS + CHAR_CELLS + WORD_CELLS + 1, np.int64)
-    both[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
-    return table_of(both)
+    counted = stored(distinct.select("text").mapInArrow(_count_batches, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    sums = {r.kind: r.n for r in counted.where(F.col("kind").isin(CHAR, TEXT)).groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    texts = sums.get(TEXT, 0)
+    least = F.when(F.col("kind") == PAIR, max(1.0, SEEN_PAIR * texts)).when(F.col("kind") == WORD, max(float(SEEN_LEAST), SEEN * texts)).otherwise(0.0)
+    seen = counted.where((F.col("kind") != TEXT) & (F.col("n") >= least)).toArrow()
+    return table_of(seen, texts)
 
 
-def table_of(both: np.ndarray) -> PairTable:
-    pairs, chars, words = np.split(both[:-1], [PAIR_CELLS, PAIR_CELLS + CHAR_CELLS])
-    return PairTable(pairs, chars, words, int(both[-1]))
+def table_of(counted: pa.Table, texts: int) -> PairTable:
+    """The table of (kind, key, n), each key once."""
+    kind, key, n = (counted.column(c).to_numpy() for c in ("kind", "key", "n"))
+    order = np.argsort(key, kind="stable")
+    kind, key, n = kind[order], key[order], n[order]
+    of = lambda k: (key[kind == k], n[kind == k])
+    return PairTable(*of(PAIR), *of(CHAR), of(WORD)[0], texts, int(n[kind == CHAR].sum()))
 
 
 def garbled(rows: DataFrame) -> DataFrame:
@@ -449,7 +503,6 @@ def garbled(rows: DataFrame) -> DataFrame:
     ``restored`` is null where something was lost. Repeated rows count once; null and
     empty texts are never garbled; an empty table gives an empty table.
     """
-    odd = suspects(rows)
-    t = pair_table(odd)
-    shared = odd.sparkSession.sparkContext.broadcast((t.pairs, t.chars, np.minimum(t.words, 127).astype(np.int8), t.texts))
-    return odd.mapInArrow(_repair_batches(shared), "field_name string, rec_id long, restored string").distinct()
+    t = pair_table(rows.where("text is not null and text <> ''"))
+    shared = rows.sparkSession.sparkContext.broadcast((t.pairs, t.pair_counts, t.chars, t.char_counts, t.words, t.texts, t.total))
+    return suspects(rows).mapInArrow(_repair_batches(shared), "field_name string, rec_id long, restored string").distinct()

@@ -20,10 +20,8 @@ CLEAN = [
 
 @pytest.fixture(scope="module")
 def table():
-    batch = next(mj._count_batches(iter([pa.record_batch([pa.array(CLEAN * 50)], names=["t"])])))
-    both = np.zeros(mj.PAIR_CELLS + mj.CHAR_CELLS + mj.WORD_CELLS + 1, np.int64)
-    both[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return mj.table_of(both)
+    counted = pa.Table.from_batches(mj._count_batches(iter([pa.record_batch([pa.array(CLEAN * 50)], names=["t"])])))
+    return mj.table_of(counted, 50 * len(CLEAN))
 
 
 @pytest.mark.parametrize("wrong", ["cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251"])
@@ -58,7 +56,26 @@ def test_long_lost_word_is_quick(table):
 
 @given(st.text(max_size=80))
 def test_never_fails(text):
-    mj.repair(text.encode("utf-8", "replace").decode(), mj.PairTable(np.zeros(mj.PAIR_CELLS, np.int64), np.zeros(mj.CHAR_CELLS, np.int64), np.zeros(mj.WORD_CELLS, np.int64), 0))
+    mj.repair(text.encode("utf-8", "replace").decode(), mj.table_of(pa.table({"kind": pa.array([], pa.int32()), "key": pa.array([], pa.int64()), "n": pa.array([], pa.int64())}), 0))
+
+
+def test_counts_are_exact(spark):
+    """Pairs, characters and texts against brute force; ASCII texts count, copies count once."""
+    texts = [*CLEAN, CLEAN[0], "plain text", "plain text", "été"]
+    t = mj.pair_table(spark.createDataFrame([(x,) for x in [*texts, None, ""]], "text string").where("text <> ''"))
+    distinct = set(texts)
+    pairs = [{(f" {x} "[i], f" {x} "[i + 1]) for i in range(len(x) + 1)} for x in distinct]
+    assert t.texts == len(distinct) and t.total == sum(map(len, pairs))
+    for a, b in set().union(*pairs):
+        if not (a + b).isascii():
+            assert t.counts(mj._points(a + b))[0] == sum((a, b) in p for p in pairs)
+    assert t.knows("e") and not t.knows("ß") and t.knows_word("façade") and not t.knows_word("zählt")
+
+
+def test_context_and_quotation_have_no_limit(table):
+    """A restored word is looked up whole however long it is, and a quoted one may be of any length."""
+    long = "ä" * 70 + "z"
+    assert mj.repair(f"“{long.encode().decode('latin-1')}” is what {long} became", table) == (False, None)
 
 
 def test_segments():
