@@ -6,9 +6,13 @@ letters come from several scripts is then rewritten in its dominant script, if e
 foreign letter has a look-alike there and the result occurs in the corpus as a token
 of one script. Letter case, visible accents and raised digits stay.
 
-For comparison, what the vocabulary could not vouch for (tokens that occur nowhere
-in one script, and tokens that are look-alikes as a whole) is reduced to prototypes
-letter by letter, so that two texts have one key exactly if they look the same.
+The repaired form decides whether two texts look the same. Only what the repair leaves
+open is compared letter by letter besides: tokens still of several scripts, as their
+candidates occur nowhere, and tokens of one script all of whose letters are look-alikes,
+as nothing in them shows their script. All other tokens stay as their form has them.
+
+``look_members`` gives the classes of texts that look the same and their members;
+``same_looking_pairs`` derives pairs of members from it.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.session import cut_lineage
+from pagemill.session import bounded_broadcast, stored
 
 # Letters of other scripts and the Latin letters they look like.
 CYRILLIC = "аaеeоoрpсcхxуyіiјjѕsһhԁdԛqԝwүy" "АAВBЕEКKМMНHОOРPСCТTХXУYІIЅSЈJԚQԜWҮY"
@@ -90,6 +94,29 @@ def prototype(text: str) -> str:
     return unicodedata.normalize("NFC", "".join(TO_LATIN.get(c, c) for c in unicodedata.normalize("NFD", text)))
 
 
+#: Letters of one script that look the same: each as the first of them.
+TWINS = {c: FROM_LATIN[name][latin] for c, latin in TO_LATIN.items() for name in ("cyrillic", "greek") if latin in FROM_LATIN[name] and script(c) == name and FROM_LATIN[name][latin] != c}
+
+
+@lru_cache(maxsize=200_000)
+def _token_key(token: str) -> str:
+    scripts, shared = set(), True
+    for c in unicodedata.normalize("NFD", token):
+        if c.isalpha():
+            scripts.add(script(c))
+            shared = shared and c in TO_LATIN
+    if len(scripts) > 1 or shared and scripts:
+        return prototype(token)
+    return "".join(TWINS.get(c, c) for c in token)
+
+
+def look_of(form: str) -> str:
+    """The key of a repaired text: only open tokens and those of look-alikes as a whole are reduced to Latin letters."""
+    if form.isascii():
+        return form
+    return unicodedata.normalize("NFC", _TOKEN.sub(lambda m: m[0] if m[0].isascii() else _token_key(m[0]), form))
+
+
 def _clean_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column(0)
@@ -112,49 +139,77 @@ def _finish_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 known = {s["token"]: s["word"] for s in swaps}
                 c = _TOKEN.sub(lambda m: known.get(m[0], m[0]), c)
             forms.append(c)
-            keys.append(prototype(c))
+            keys.append(look_of(c))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(forms, pa.string()), pa.array(keys, pa.string())], names=["text", "form", "look"])
 
 
-def text_forms(texts: DataFrame) -> DataFrame:
-    """(text, form, look) for each distinct non-null ``text`` of ``texts``.
+def odd_forms(odd: DataFrame, plain: DataFrame) -> DataFrame:
+    """(text, form, look) for each distinct text of ``odd``; ``plain`` has the other texts, which only add to the vocabulary.
 
-    ``form`` is the repaired text, ``look`` the key under which texts that look the
-    same are equal. Plain ASCII never leaves the JVM. Empty texts have an empty form,
-    as have texts that show nothing; very long texts are treated whole.
+    The vocabulary is scanned where it lies: the candidates of mixed tokens, few of all
+    words, are broadcast into the scan if they are small, and what matches is made distinct.
     """
-    distinct = texts.select("text").where("text is not null").distinct()
-    plain = F.col("text").rlike(PLAIN)
-    cleaned = cut_lineage(distinct.where(~plain).mapInArrow(_clean_batches, "text string, cleaned string, mixed array<string>"))
+    cleaned = stored(odd.select("text").distinct().mapInArrow(_clean_batches, "text string, cleaned string, mixed array<string>"))
     words = lambda df, c: df.select(F.explode(F.regexp_extract_all(c, F.lit(r"(\p{L}[\p{L}\p{M}]*)"), 1)).alias("word"))
     tokens = cleaned.select(F.explode("mixed").alias("token")).distinct()
-    candidates = tokens.mapInArrow(_candidate_batches, "token string, word string, rank int")
-    vocabulary = words(distinct.where(plain), "text").unionByName(words(cleaned, "cleaned"))
-    vouched = candidates.join(vocabulary, "word", "left_semi").groupBy("token").agg(F.min_by("word", "rank").alias("word"))
+    candidates = stored(tokens.mapInArrow(_candidate_batches, "token string, word string, rank int"))
+    wanted = stored(candidates.select("word").distinct())
+    vocabulary = words(plain, "text").unionByName(words(cleaned, "cleaned"))
+    known = vocabulary.join(bounded_broadcast(wanted), "word", "left_semi").distinct()
+    vouched = candidates.join(known, "word").groupBy("token").agg(F.min_by("word", "rank").alias("word"))
     swaps = cleaned.select("text", F.explode("mixed").alias("token")).join(vouched, "token").groupBy("text").agg(F.collect_list(F.struct("token", "word")).alias("swaps"))
     rest = cleaned.where("size(mixed) = 0").select("text", "cleaned", F.lit(None).cast("array<struct<token:string,word:string>>").alias("swaps"))
     repaired = cleaned.where("size(mixed) > 0").select("text", "cleaned").join(swaps, "text", "left").unionByName(rest)
-    done = repaired.mapInArrow(_finish_batches, "text string, form string, look string")
-    return done.unionByName(distinct.where(plain).select("text", F.col("text").alias("form"), F.col("text").alias("look")))
+    return repaired.mapInArrow(_finish_batches, "text string, form string, look string")
+
+
+def _is_plain() -> "F.Column":
+    return F.col("text").rlike(PLAIN)
+
+
+def text_forms(texts: DataFrame) -> DataFrame:
+    """(text, form, look) for each distinct non-null ``text`` of ``texts``.
+
+    ``form`` is the repaired text, ``look`` the key under which texts that look the
+    same are equal. Plain ASCII never leaves the JVM. Empty texts have an empty form,
+    as have texts that show nothing; very long texts are treated whole.
+    """
+    known = texts.select("text").where("text is not null")
+    plain = known.where(_is_plain())
+    return odd_forms(known.where(~_is_plain()), plain).unionByName(plain.distinct().select("text", F.col("text").alias("form"), F.col("text").alias("look")))
+
+
+def look_members(rows: DataFrame) -> DataFrame:
+    """(field_name, look, rec_id, text) of the rows in classes of two or more texts of a field that look the same.
+
+    A class is named by (field_name, look); its variants are its distinct texts, its
+    members the records that hold them. ``rows`` has field_name, rec_id and text; rows
+    with a null id or text are in no class, repeated rows may come repeated. Only texts
+    that aren't plain are ever brought together row by row: of plain texts, the distinct
+    ones are matched first, so that a label on every page is one row there.
+    """
+    rows = rows.where("rec_id is not null and text is not null").select("field_name", "rec_id", "text")
+    plain, odd = rows.where(_is_plain()), rows.where(~_is_plain())
+    forms = stored(odd_forms(odd, plain).select("text", "look"))
+    members = stored(odd.join(bounded_broadcast(forms), "text").select("field_name", "look", "rec_id", "text"))
+    # a class needs a text that isn't plain, so plain rows matter only beside such a one
+    looks = stored(members.select("field_name", F.col("look").alias("text")).distinct())
+    beside = stored(plain.select("field_name", "text").join(bounded_broadcast(looks), ["field_name", "text"], "left_semi").distinct())
+    labelled = plain.join(bounded_broadcast(beside), ["field_name", "text"], "left_semi").select("field_name", F.col("text").alias("look"), "rec_id", "text")
+    every = members.unionByName(labelled)
+    variants = members.select("field_name", "look", "text").unionByName(beside.select("field_name", F.col("text").alias("look"), "text"))
+    several = stored(variants.groupBy("field_name", "look").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("field_name", "look"))
+    return every.join(bounded_broadcast(several), ["field_name", "look"], "left_semi")
 
 
 def same_looking_pairs(rows: DataFrame) -> DataFrame:
     """(field_name, id_a, id_b), id_a < id_b, for unequal texts of one field that look the same.
 
-    ``rows`` has field_name, rec_id and text; rows with a null id or text take part in
-    nothing, repeated rows count once. Only differing variants are paired: equal
-    copies are never set against each other, so a label on every page costs nothing.
+    The members of ``look_members``, each with those of its class that hold another
+    variant: equal copies are never set against each other, so a label on every page
+    costs nothing. The rows are as many as the classes' pairs of records, by definition.
     """
-    rows = rows.where("rec_id is not null and text is not null").select("field_name", "rec_id", "text").distinct()
-    plain = F.col("text").rlike(PLAIN)
-    forms = cut_lineage(text_forms(rows).where(~plain).select("text", "look"))
-    odd = rows.where(~plain).join(forms, "text").select("field_name", "rec_id", "text", "look")
-    # A group needs a variant that isn't its own look, so plain rows matter only beside such a one.
-    looks = odd.groupBy("field_name", "look").agg(F.min("text").alias("low"), F.max("text").alias("high"))
-    beside = rows.where(plain).select("field_name", "rec_id", "text", F.col("text").alias("look")).join(looks.select("field_name", "look"), ["field_name", "look"], "left_semi")
-    members = odd.unionByName(beside.select("field_name", "rec_id", "text", "look"))
-    several = members.groupBy("field_name", "look").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("field_name", "look")
-    members = cut_lineage(members.join(several, ["field_name", "look"], "left_semi"))
+    members = stored(look_members(rows).distinct())
     variants = members.select("field_name", "look", "text").distinct()
     two = variants.select("field_name", "look", F.col("text").alias("text_a")).join(variants.select("field_name", "look", F.col("text").alias("text_b")), ["field_name", "look"]).where("text_a < text_b")
     side = lambda x: members.select("field_name", F.col("text").alias(f"text_{x}"), F.col("rec_id").alias(f"rec_{x}"))

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from pagemill.llm.lookalikes import PLAIN, clean, prototype, repairs, same_looking_pairs, text_forms
+from pagemill.llm.lookalikes import PLAIN, clean, prototype, look_members, look_of, repairs, same_looking_pairs, text_forms
 
 
 @pytest.mark.parametrize(
@@ -59,6 +59,27 @@ def test_forms_need_the_vocabulary(spark):
     assert got[""] == ("", "") and None not in got and len(got) == 5
 
 
+def test_only_open_tokens_are_reduced():
+    assert look_of("музей") == "музей" and look_of("Ложка") == "Ложка"  # one script, and it shows
+    assert look_of("сор") == "cop" and look_of("А") == "A" and look_of("ΑΒ") == "AB"  # nothing shows the script
+    assert look_of("музeй") == prototype("музeй")  # still of two scripts
+    assert look_of("ү з").startswith("y ") and look_of("үз") == look_of("уз")
+
+
+def test_repair_decides(spark):
+    """A mixed token is equal to the word that vouches for it, in its own script; without the word it is open."""
+    texts = ["музей", "музeй", "Расписание", "Paсписание", "жoрк", "жоpк"]
+    got = {r.text: (r.form, r.look) for r in text_forms(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert got["музeй"] == ("музей", "музей") and got["Paсписание"] == ("Расписание", "Расписание")
+    assert got["жoрк"][0] == "жoрк" and got["жoрк"][1] == got["жоpк"][1] == "жopк"
+
+
+def test_classes(spark):
+    rows = [("f", i, "Home") for i in range(300)] + [("f", 1000 + i, "Ноme") for i in range(300)] + [("f", 5000, "Away"), ("f", 5000, "Away"), ("g", 1, "Ноme")]
+    got = look_members(spark.createDataFrame(rows, "field_name string, rec_id long, text string")).distinct().collect()
+    assert len(got) == 600 and {(r.field_name, r.look) for r in got} == {("f", "Home")} and {r.text for r in got} == {"Home", "Ноme"}
+
+
 def test_pairs(spark):
     texts = ["Home", "Home", "Ноme", "Home​", "", None, "​", "the оld", "the old", "plain", "ﬁle", "file", "file", "été", "été", "ete"]
     rows = [("page.title", i, t, "x") for i, t in enumerate(texts)] + [("link.text", i, t, "x") for i, t in enumerate(texts[:4])] + [("page.title", 0, "Home", "x"), ("page.title", None, "Home", "x")]
