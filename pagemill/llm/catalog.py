@@ -51,10 +51,25 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), specs)
 
 
+def p7_constrained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same under all three capacities: a document for each 128 tokens of the limit, and three quarters of the attention cost of one full text."""
+    specs = [(r.spec_id, r.token_limit) for r in packing.spec_rows(table(spark, sf_dir, "size_specs"), "container")]
+    return packing.pack_texts(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), specs, max_documents=lambda limit: max(1, limit // 128), max_attention=lambda limit: max(1, 3 * limit * limit // 4))
+
+
+def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text back from its ids."""
+    decoded = tokens.decode_corpus(p6_ids(spark, sf_dir), "doc_id", "ids")
+    return decoded.select(F.col("key").alias("doc_id"), F.length("text").alias("length"), F.md5("text").alias("digest"))
+
+
+P6_DECODED = "select doc_id, length(coalesce(text, ''))::int as length, md5(coalesce(text, '')) as digest from documents"
+
+
 def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [tuple(r) for r in packing.spec_rows(table(spark, sf_dir, "size_specs"), "piece")]
     return pieces.split_texts(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), specs)
 
 
 def llm_queries() -> dict[str, tuple[Query, str | None]]:
-    return {"p2_found": (p2_found, None), "p3_found": (p3_found, None), "p5_found": (p5_found, None), "p4_found": (p4_found, None), "p6_ids": (p6_ids, None), "p7_containers": (p7_containers, None), "p8_pieces": (p8_pieces, None)}
+    return {"p2_found": (p2_found, None), "p3_found": (p3_found, None), "p5_found": (p5_found, None), "p4_found": (p4_found, None), "p6_ids": (p6_ids, None), "p6_decoded": (p6_decoded, P6_DECODED), "p7_containers": (p7_containers, None), "p7_constrained": (p7_constrained, None), "p8_pieces": (p8_pieces, None)}

@@ -7,15 +7,16 @@ least residual norm. The norm's weights are lexicographic, tokens before attenti
 cost before documents, so the best bin is found by search instead of by scanning:
 bins lie in classes of equal residual tokens, ordered by the other residuals.
 
-Packing is done in shards of the items, drawn by hash, so that no task holds all
-items. A shard's sizes are distributed as all sizes are; sharding costs at most
+Packing is done in shards of the parts, drawn by hash, so that no task holds all
+of them; there are as many shards as the parts of a spec need. A shard's sizes are distributed as all sizes are; sharding costs at most
 about one container's unused space for each shard.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.tokens import count_tokens
-from pagemill.session import cut_lineage
+from pagemill.session import stored
 
-#: Items of one shard, in the mean.
-SHARD_ITEMS = 50_000
+#: Parts of one shard, in the mean.
+SHARD_PARTS = 50_000
 
 
 def best_fit(sizes: Iterable[int], limit: int, max_documents: int | None = None, max_attention: int | None = None) -> list[int]:
@@ -72,23 +73,38 @@ def best_fit(sizes: Iterable[int], limit: int, max_documents: int | None = None,
     return placed
 
 
-def pack(items: DataFrame, specs: list[tuple[int, int]], key: str = "doc_id", size: str = "n_tokens", shard_items: int = SHARD_ITEMS, max_documents: int | None = None, max_attention: int | None = None) -> DataFrame:
+def part_limit(limit: int, max_attention: int | None = None) -> int:
+    """The tokens that one part may have: the limit, and no more than its own attention cost allows."""
+    return limit if max_attention is None else min(limit, isqrt(max_attention))
+
+
+#: A container's capacities beside its tokens, from its limit.
+Capacity = Callable[[int], int | None]
+
+
+def pack(items: DataFrame, specs: list[tuple[int, int]], key: str = "doc_id", size: str = "n_tokens", shard_parts: int = SHARD_PARTS, max_documents: Capacity = lambda limit: None, max_attention: Capacity = lambda limit: None) -> DataFrame:
     """Containers for every (spec_id, limit) of ``specs``: (spec_id, container_id, key, part_no, token_start, n_tokens).
 
-    Items of null, zero or negative size take part in none. An item above the limit
-    is cut into full parts and a rest, and nothing else is cut; ``part_no`` counts
-    from 0. Repeated rows are items of their own. ``items`` should be a stored table,
-    as it is counted first. Without items the result is empty.
+    Items of null, zero or negative size take part in none. An item above the limit, or
+    above what the attention capacity admits alone, is cut into full parts and a rest,
+    and nothing else is cut; ``part_no`` counts from 0. Repeated rows are items of their
+    own. ``items`` should be a stored table, as its parts are counted first. Without items
+    or specs the result is empty.
     """
-    spec = F.array(*[F.struct(F.lit(int(s)).alias("spec_id"), F.lit(int(t)).alias("token_limit")) for s, t in specs])
+    spec = F.array(*[F.struct(F.lit(int(s)).alias("spec_id"), F.lit(int(t)).alias("token_limit"), F.lit(int(part_limit(t, max_attention(t)))).alias("part")) for s, t in specs])
+    spec = spec if specs else spec.cast("array<struct<spec_id:int,token_limit:int,part:int>>")
     kept = items.select(F.col(key).alias("__key"), F.col(size).cast("long").alias("__size")).where("__size > 0")
-    shards = max(1, -(-kept.count() // shard_items))
     each = kept.withColumn("__spec", F.explode(spec)).select("__key", "__size", "__spec.*")
-    parts = each.withColumn("part_no", F.explode(F.sequence(F.lit(0), ((F.col("__size") - 1) / F.col("token_limit")).cast("int"))))
-    start = F.col("part_no").cast("long") * F.col("token_limit")
+    parts_of = F.ceil(F.col("__size") / F.col("part"))
+    counted = {r.spec_id: r.parts for r in each.groupBy("spec_id").agg(F.sum(parts_of).alias("parts")).collect()}
+    shards = F.lit(1)
+    for s, _ in specs:
+        shards = F.when(F.col("spec_id") == s, max(1, -(-counted.get(s, 0) // shard_parts))).otherwise(shards)
+    parts = each.withColumn("part_no", F.explode(F.sequence(F.lit(0), ((F.col("__size") - 1) / F.col("part")).cast("int"))))
+    start = F.col("part_no").cast("long") * F.col("part")
     rows = parts.select(
-        "spec_id", "token_limit", F.pmod(F.xxhash64("__key", "part_no"), F.lit(shards)).alias("shard"), F.col("__key").alias("key"), "part_no",
-        start.alias("token_start"), F.least(F.col("token_limit").cast("long"), F.col("__size") - start).alias("n_tokens"),
+        "spec_id", "token_limit", F.pmod(F.xxhash64("__key", "part_no"), shards.cast("long")).alias("shard"), F.col("__key").alias("key"), "part_no",
+        start.alias("token_start"), F.least(F.col("part").cast("long"), F.col("__size") - start).alias("n_tokens"),
     )
 
     def run(group: pa.Table) -> pa.Table:
@@ -96,7 +112,7 @@ def pack(items: DataFrame, specs: list[tuple[int, int]], key: str = "doc_id", si
         order = np.lexsort((group.column("part_no").to_numpy(), group.column("key").to_numpy(zero_copy_only=False), -n))
         group = group.take(pa.array(order))
         limit, shard = group.column("token_limit")[0].as_py(), group.column("shard")[0].as_py()
-        at = best_fit(n[order].tolist(), limit, max_documents, max_attention)
+        at = best_fit(n[order].tolist(), limit, max_documents(limit), max_attention(limit))
         container = np.asarray(at, np.int64) + (shard << 32)
         return pa.table({"spec_id": group.column("spec_id"), "container_id": container, "key": group.column("key"), "part_no": group.column("part_no"), "token_start": group.column("token_start"), "n_tokens": group.column("n_tokens")})
 
@@ -104,9 +120,9 @@ def pack(items: DataFrame, specs: list[tuple[int, int]], key: str = "doc_id", si
     return rows.groupBy("spec_id", "shard").applyInArrow(run, f"spec_id int, container_id long, key {kind}, part_no int, token_start long, n_tokens long").withColumnRenamed("key", key)
 
 
-def pack_texts(df: DataFrame, key: Column, text: Column, specs: list[tuple[int, int]], path: str | None = None) -> DataFrame:
+def pack_texts(df: DataFrame, key: Column, text: Column, specs: list[tuple[int, int]], path: str | None = None, **capacities: Capacity) -> DataFrame:
     """``pack`` of texts by their tokens; null and empty texts take part in no container."""
-    return pack(cut_lineage(count_tokens(df, key, text, path).where("n_tokens > 0")), specs, "key").withColumnRenamed("key", "doc_id")
+    return pack(stored(count_tokens(df, key, text, path).where("n_tokens > 0")), specs, "key", **capacities).withColumnRenamed("key", "doc_id")
 
 
 def spec_rows(size_specs: DataFrame, purpose: str, limit: int = 1000) -> list:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
-from pagemill.llm.tokens import BLOCK_CHARS, BlockIds, join_back, piece_sizes, tokenizer_path, word_blocks
+from pagemill.llm.tokens import BLOCK_CHARS, BlockIds, bytes_of, join_back, tokenizer_path, word_blocks
 from pagemill.session import cut_lineage
 
 #: Tokens under the rolling hash.
@@ -87,21 +87,19 @@ def cuts(n: int, limit: int, overlap: int, marks: np.ndarray, by_level: list[np.
 
 
 def _split(specs: list[tuple[int, int, int]], path: str):
-    def finish(b: BlockIds, block: dict) -> pa.Table:
+    def finish(b: BlockIds) -> pa.Table:
         ends = b.ends
         sizes = np.diff(ends, prepend=0)
         least = min(t for _, t, _ in specs)
         cols: list[list] = [[] for _ in range(8)]
         if (sizes > least).any():
             ids = b.ids
-            piece_bytes = piece_sizes(path)
-            words = block["words"]
-            codes, lengths = b.codes, np.cumsum(b.lengths)
             for i in np.flatnonzero(sizes > least):
                 own = ids[ends[i] - sizes[i] : ends[i]]
-                data = "".join([words[c] for c in codes[lengths[i] - b.lengths[i] : lengths[i]].tolist()]).encode("utf-8", "surrogatepass")
-                byte_at = np.concatenate(([0], np.cumsum(piece_bytes[own])))
-                level = boundary_levels(np.frombuffer(data, np.uint8), byte_at[:-1])
+                # the text follows from its ids
+                joined, piece_ends = bytes_of(own, path)
+                data, byte_at = joined.tobytes(), np.concatenate(([0], piece_ends))
+                level = boundary_levels(joined, byte_at[:-1])
                 by_level = [np.flatnonzero(level == lv) for lv in range(len(LEVELS))]
                 h = rolling_hash(own)
                 for spec, limit, overlap in specs:
@@ -139,4 +137,4 @@ def split_texts(df: DataFrame, key: Column, text: Column, specs: list[tuple[int,
         return df.sparkSession.createDataFrame([], SCHEMA)
     path = path or tokenizer_path()
     blocks = cut_lineage(word_blocks(df, key, text, block_chars))
-    return join_back(blocks, path, _split(specs, path), SCHEMA, with_words=True)
+    return join_back(blocks, path, _split(specs, path), SCHEMA)

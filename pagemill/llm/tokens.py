@@ -13,9 +13,11 @@ the other, and each distinct word needs to be encoded only once:
 3. ``join_back`` joins the ids to the blocks and puts them together by position,
    one block at a time.
 
-The two shuffles carry distinct words per block, never one row per token, and no
-key of either can become hot: a word occurs once in a block at most, and a block
-is bounded (a longer text is a block of its own).
+The two shuffles carry distinct words per block, never one row per token. A word
+occurs once in a block at most, and a block is bounded (a longer text is a block of
+its own); where there are so many blocks that a common word would still be a hot key,
+the blocks are cut into slices and a word is encoded once for each slice. The number of
+partitions follows the number of blocks, so that no task grows with the corpus.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ from pagemill.session import cut_lineage
 #: Characters after which a block of texts is closed.
 BLOCK_CHARS = 4_000_000
 
+#: Blocks of one task, and blocks that share one table of distinct words.
+TASK_BLOCKS, SLICE_BLOCKS = 8, 100_000
+
 #: Fixed value: Unicode's White_Space, which the pre-tokenizer's ``\s`` stands for.
 SPACE = "\\t\\n\\v\\f\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORD = f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
@@ -164,13 +169,20 @@ def _encode_batches(path: str):
     return run
 
 
-def encode_words(blocks: DataFrame, path: str) -> DataFrame:
+def partitions(blocks: DataFrame) -> tuple[int, int]:
+    """(partitions, slices) for the blocks of a stored table, which are counted."""
+    n = blocks.count()
+    return max(blocks.sparkSession.sparkContext.defaultParallelism, -(-n // TASK_BLOCKS)), 1 + n // SLICE_BLOCKS
+
+
+def encode_words(blocks: DataFrame, path: str, parts: int | None = None, slices: int = 1) -> DataFrame:
     """The distinct words of all blocks with their places: (of_block, pos, ids), ids packed.
 
-    Equal words come together by one shuffle and a sort, and each is encoded once.
+    Equal words come together by one shuffle and a sort, and each is encoded once (for each slice of the blocks).
     """
     words = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_batches(path), "of_block long, pos int, ids binary")
+    by = ["word"] if slices == 1 else ["word", F.pmod("block", F.lit(slices))]
+    return (words.repartition(parts, *by) if parts else words.repartition(*by)).sortWithinPartitions("word").mapInArrow(_encode_batches(path), "of_block long, pos int, ids binary")
 
 
 class BlockIds:
@@ -195,29 +207,28 @@ class BlockIds:
         return self._pool[np.repeat(self._start[self.codes] - self._upto[:-1], self._n) + np.arange(self._upto[-1])]
 
 
-def join_back(blocks: DataFrame, path: str, finish: Callable[[BlockIds, dict], pa.Table], schema: str, with_words: bool = False) -> DataFrame:
-    """``finish`` of each block with its ids; ``blocks`` should be a stored table, as it is read twice.
-
-    ``finish`` gets the block's row too, which has the words if ``with_words``.
-    """
+def join_back(blocks: DataFrame, path: str, finish: Callable[[BlockIds], pa.Table], schema: str) -> DataFrame:
+    """``finish`` of each block with its ids; ``blocks`` should be a stored table, as it is read three times."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         # Blocks of one name have the same words in the same places, so they share the ids.
         packed = right.column("ids").combine_chunks()
         packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
         pos = right.column("pos").to_numpy()
-        return pa.concat_tables(finish(BlockIds(r, pos, packed, id_type(path)), r) for r in left.to_pylist())
+        return pa.concat_tables(finish(BlockIds(r, pos, packed, id_type(path))) for r in left.to_pylist())
 
-    left = blocks if with_words else blocks.drop("words")
-    return left.groupBy("block").cogroup(encode_words(blocks, path).groupBy("of_block")).applyInArrow(run, schema)
+    parts, slices = partitions(blocks)
+    left = blocks.drop("words").repartition(parts, "block")
+    right = encode_words(blocks, path, parts, slices).repartition(parts, "of_block")
+    return left.groupBy("block").cogroup(right.groupBy("of_block")).applyInArrow(run, schema)
 
 
-def _ids_table(b: BlockIds, _: dict) -> pa.Table:
+def _ids_table(b: BlockIds) -> pa.Table:
     offsets = np.concatenate(([0], b.ends)).astype(np.int32)
     return pa.table({"key": pa.array(b.keys, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(b.ids.astype(np.int32)))})
 
 
-def _count_table(b: BlockIds, _: dict) -> pa.Table:
+def _count_table(b: BlockIds) -> pa.Table:
     return pa.table({"key": pa.array(b.keys, pa.int64()), "n_tokens": pa.array(np.diff(b.ends, prepend=0), pa.int64())})
 
 
@@ -237,27 +248,53 @@ def count_tokens(df: DataFrame, key: Column, text: Column, path: str | None = No
     return join_back(blocks, path or tokenizer_path(), _count_table, "key long, n_tokens long")
 
 
-def pieces_table(df: DataFrame, path: str | None = None) -> DataFrame:
-    """The vocabulary as (id, piece); its size is that of the vocabulary, whatever the corpus."""
-    ranks = load_ranks(path or tokenizer_path())
-    return df.sparkSession.createDataFrame([(i, bytearray(p)) for p, i in ranks.items()], "id int, piece binary")
+_pieces: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def pieces_of(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The id-to-piece table: all pieces' bytes one after the other, and where each id's piece ends; one for each worker process."""
+    if path not in _pieces:
+        by_id = dict(sorted((i, p) for p, i in load_ranks(path).items()))
+        size = max(by_id, default=-1) + 1
+        ends = np.cumsum([len(by_id.get(i, b"")) for i in range(size)], dtype=np.int64)
+        _pieces[path] = np.frombuffer(b"".join(by_id.values()), np.uint8), ends
+    return _pieces[path]
+
+
+def bytes_of(ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of ``ids`` joined by position: their bytes one after the other, and where each ends. Ids outside the vocabulary have none."""
+    pool, upto = pieces_of(path)
+    if len(upto) == 0 or len(ids) == 0:
+        return np.empty(0, np.uint8), np.zeros(len(ids), np.int64)
+    known = (ids >= 0) & (ids < len(upto))
+    at = np.where(known, ids, 0).astype(np.int64)
+    starts = np.where(at > 0, upto[at - 1], 0)
+    sizes = np.where(known, upto[at] - starts, 0)
+    ends = np.cumsum(sizes)
+    return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])], ends
 
 
 def decode_corpus(df: DataFrame, key: str = "key", ids: str = "ids", path: str | None = None) -> DataFrame:
-    """``key`` and ``text`` of encoded rows, through a join of positions with the table of pieces.
+    """``key`` and ``text`` of encoded rows, through the join of each position's id with the table of pieces.
 
-    The table of pieces has a row for each id of the vocabulary, so it is broadcast.
-    Bytes that aren't UTF-8 come out as U+FFFD; an empty list gives an empty text, a
-    null list a null text. Ids outside the vocabulary are left out.
+    The table has a row for each id of the vocabulary, whatever the corpus, so every task
+    holds it and a batch's positions are joined to it at once; no row is shuffled, and
+    repeated keys keep their rows apart. Bytes that aren't UTF-8 come out as U+FFFD; an
+    empty list gives an empty text, a null list a null text. Ids outside the vocabulary
+    and null ids are left out.
     """
-    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(ids).alias("ids"))
-    placed = rows.select("row", F.posexplode("ids").alias("pos", "id")).join(F.broadcast(pieces_table(df, path)), "id")
-    joined = placed.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", F.hex("piece").alias("h")))).alias("parts"))
-    texts = joined.select("row", F.unhex(F.array_join(F.transform("parts", lambda p: p["h"]), "")).alias("bytes"))
+    path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [None if none else (v or b"").decode("utf-8", "replace") for v, none in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["key", "text"])
-
-    return rows.join(texts, "row", "left").select("key", "bytes", F.col("ids").isNull().alias("none")).mapInArrow(run, f"key {dict(df.dtypes)[key]}, text string")
+            lists = b.column(1)
+            offsets = lists.offsets.to_numpy()
+            flat = lists.values.fill_null(-1).to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+            data, ends = bytes_of(flat, path)
+            cut = np.concatenate(([0], ends))[offsets - offsets[0]]
+            whole, none = data.tobytes(), lists.is_null().to_pylist()
+            texts = [None if no else whole[x:y].decode("utf-8", "replace") for x, y, no in zip(cut[:-1], cut[1:], none)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["key", "text"])
+
+    rows = df.select(F.col(key).alias("key"), F.col(ids).cast("array<int>").alias("ids"))
+    return rows.mapInArrow(run, f"key {dict(df.dtypes)[key]}, text string")

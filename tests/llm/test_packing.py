@@ -37,7 +37,7 @@ def test_item_that_fits_nowhere():
 def test_pack(spark):
     rows = [(i, (i * 37) % 50, "x") for i in range(300)] + [(1000, 205, "x"), (1001, 0, "x"), (1002, None, "x"), (1003, 100, "x")]
     df = spark.createDataFrame(rows, "doc_id long, n_tokens long, spec_id string")
-    got = pack(df, [(1, 100), (2, 20)], shard_items=100).collect()
+    got = pack(df, [(1, 100), (2, 20)], shard_parts=100).collect()
     for spec, limit in ((1, 100), (2, 20)):
         own = [r for r in got if r.spec_id == spec]
         fill, of = {}, {}
@@ -50,3 +50,17 @@ def test_pack(spark):
             v.sort(key=lambda r: r.part_no)
             assert all(r.n_tokens == limit for r in v[:-1]) and [r.token_start for r in v] == [limit * i for i in range(len(v))]
     assert pack(df.limit(0), [(1, 100)]).count() == 0
+
+
+def test_all_capacities_bind(spark):
+    df = spark.createDataFrame([(i, 1 + i % 60) for i in range(400)] + [(900, 250)], "doc_id long, n_tokens long")
+    documents, attention = lambda limit: 4, lambda limit: 3 * limit * limit // 4
+    got = pack(df, [(1, 100)], max_documents=documents, max_attention=attention).collect()
+    bins = {}
+    for r in got:
+        bins.setdefault(r.container_id, []).append(r.n_tokens)
+    assert all(sum(b) <= 100 and len(b) <= 4 and sum(n * n for n in b) <= 7500 for b in bins.values())
+    assert any(len(b) == 4 and sum(b) < 90 for b in bins.values())  # documents bind
+    assert sum(r.n_tokens for r in got) == sum(1 + i % 60 for i in range(400)) + 250
+    assert sorted(r.n_tokens for r in got if r.doc_id == 900) == [78, 86, 86]  # cut where its own attention cost asks for it
+    assert pack(df, []).count() == 0

@@ -49,3 +49,20 @@ def test_query_on_all_documents(spark, small):
     got = {r.doc_id: list(r.ids) for r in llm_queries()["p6_ids"][0](spark, small).collect()}
     encode = tokens.encoder(tokens.tokenizer_path()).encode_ordinary
     assert got == {d.doc_id: encode(d.text or "") for d in docs}
+
+
+def test_decoding_keeps_rows_apart(spark):
+    """Repeated keys, null, empty and unknown ids; rows come through a shuffle."""
+    texts = ["one two", "zwei 語", "", "x" * 5000]
+    df = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (2, texts[2]), (3, texts[3])], "doc_id long, text string")
+    ids = tokens.encode_corpus(df, F.col("doc_id"), F.col("text")).repartition(3, "key")
+    assert sorted((r.key, r.text) for r in tokens.decode_corpus(ids).collect()) == sorted(zip((1, 1, 2, 3), texts))
+    odd = spark.createDataFrame([(1, None), (2, [None, -5, 10**8])], "key long, ids array<int>")
+    assert {(r.key, r.text) for r in tokens.decode_corpus(odd).collect()} == {(1, None), (2, "")}
+
+
+def test_slices_change_nothing(spark):
+    df = spark.createDataFrame([(i, f"a b c {i} the") for i in range(60)], "doc_id long, text string")
+    blocks = tokens.word_blocks(df, F.col("doc_id"), F.col("text"), 50)
+    rows = lambda **k: sorted((r.of_block, r.pos, bytes(r.ids)) for r in tokens.encode_words(blocks, tokens.tokenizer_path(), **k).collect())
+    assert rows() == rows(parts=3, slices=4)
