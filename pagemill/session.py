@@ -34,14 +34,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def size_of(df: DataFrame) -> int:
+    """Catalyst's estimate of the bytes of ``df``; of a stored table, the bytes of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``df`` with a broadcast hint if Catalyst's size estimate is within ``limit``.
 
     Beyond the limit the frame comes back unchanged and the join shuffles, so a
     side that turns out larger than expected costs time but never memory.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(str(size)) <= limit else df
+    return F.broadcast(df) if size_of(df) <= limit else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
