@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import date
 from html import unescape
 from xml.parsers import expat
 
@@ -95,8 +95,8 @@ def may_be_feed(content_type: str | None) -> bool:
     return not kind or "rss" in kind or "atom" in kind or "xml" in kind or kind.startswith("text/")
 
 
-_LAYOUTS = ("%a, %d %b %Y %H:%M:%S %z", "%a, %d %b %Y %H:%M:%S")
-_ZONE_NAME = re.compile(r" [A-Z]{3,4}(?:[+-]\d{1,2})?$|(?<= )(?:[+-]\d\d)$")
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+_MAIL = re.compile(r"(?i:mon|tue|wed|thu|fri|sat|sun), +(\d{1,2}) +([A-Za-z]{3}) +(\d{4}) +(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d +(?:[+-]\d{4}|GMT[+-]\d{1,2}|[+-]\d{2}|ChST|MeST|WITA|[A-Z]{3}|[A-Z]{3,4}T)", re.A)
 _RFC3339 = re.compile(r"(\d{4}-\d\d-\d\d)T(\d\d):(\d\d):(\d\d)(?:[.,]\d+)?(?:Z|[+-](\d\d):(\d\d))")
 _DAY = re.compile(r"\d{4}-\d\d-\d\d")
 
@@ -110,9 +110,8 @@ def feed_date(stamp: str) -> str:
     try:
         if _DAY.fullmatch(stamp):
             return date.fromisoformat(stamp).isoformat()
-        if re.match(r"[A-Za-z]{3}, \d{1,2} [A-Za-z]{3} \d{4} \d\d:\d\d:\d\d (?:[A-Z]{3,4}|[+-]\d{4})$", stamp):
-            bare = _ZONE_NAME.sub("", stamp)
-            return datetime.strptime(bare, _LAYOUTS[0] if bare == stamp else _LAYOUTS[1]).strftime("%Y-%m-%d")
+        if (m := _MAIL.fullmatch(stamp)) and m[2].lower() in _MONTHS:
+            return date(int(m[3]), _MONTHS.index(m[2].lower()) + 1, int(m[1])).isoformat()
     except ValueError:
         pass
     return one_line(stamp)

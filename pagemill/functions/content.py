@@ -50,6 +50,7 @@ def route(ct: Column, body: Column) -> Column:
     return F.when(html, "html").when(is_textual(ct, body), "text").when(is_pdf(ct, body), "pdf").otherwise("binary")
 
 
+# Hints, error prefixes and what they are found by.
 def status_hint(status: Column, browser: Column) -> Column:
     """The hint for a failed status, null below 400."""
     return (
@@ -63,6 +64,11 @@ def status_hint(status: Column, browser: Column) -> Column:
     )
 
 
+def status_error(status: Column, url: Column, browser: Column) -> Column:
+    """What is said of a failed status, or the empty string."""
+    return F.when(status >= 400, F.concat(F.lit("http "), status.cast("string"), F.lit(" fetching "), text(url), F.lit(" ("), status_hint(status, browser), F.lit(")"))).otherwise("")
+
+
 def retryable(status: Column, error: Column) -> Column:
     return F.coalesce(status.isin(502, 503, 504), F.lit(False)) | F.contains(text(error), F.lit("connection reset")) | F.contains(text(error), F.lit("unexpected EOF"))
 

@@ -64,7 +64,7 @@ MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct",
 _RFC3339 = r"^(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:[.,]\d+)?(?:Z|[+-](?:[01]\d|2[0-3]):[0-5]\d)$"
 _DATE = r"^(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]))$"
 _DATETIME = r"^(\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])) +(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:[.,]\d+)?$"
-_MAIL = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun), +(\d{2}) +(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) +(\d{4}) +(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d +(?:[+-]\d{4}|[A-Z]{3,4})$"
+_MAIL = r"^(?i:Mon|Tue|Wed|Thu|Fri|Sat|Sun), +(\d{2}) +(?i:(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)) +(\d{4}) +(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d +(?:[+-]\d{4}|GMT[+-]\d{1,2}|[+-]\d{2}|ChST|MeST|WITA|[A-Z]{3}|[A-Z]{3,4}T)$"
 
 
 def _real(day: Column) -> Column:
@@ -73,7 +73,7 @@ def _real(day: Column) -> Column:
 
 def _lexical_date(s: Column, patterns: list[str], mail: str) -> Column:
     found = [F.when(s.rlike(p), _real(F.regexp_extract(s, p, 1))) for p in patterns]
-    month = F.lpad(F.array_position(F.array(*map(F.lit, MONTHS)), F.regexp_extract(s, mail, 2)).cast("string"), 2, "0")
+    month = F.lpad(F.array_position(F.array(*map(F.lit, MONTHS)), F.initcap(F.regexp_extract(s, mail, 2))).cast("string"), 2, "0")
     day = F.lpad(F.regexp_extract(s, mail, 1), 2, "0")
     return F.coalesce(*found, F.when(s.rlike(mail), _real(F.concat_ws("-", F.regexp_extract(s, mail, 3), month, day))))
 
@@ -87,4 +87,4 @@ def short_date(c: Column) -> Column:
 def feed_date(c: Column) -> Column:
     """The calendar date of a feed entry's stamp; one-digit days are accepted, other text stays on one line."""
     s = trim_space(c)
-    return F.coalesce(_lexical_date(s, [_RFC3339, _DATE], _MAIL.replace(r"(\d{2}) +(Jan", r"(\d{1,2}) +(Jan")), one_line(s))
+    return F.coalesce(_lexical_date(s, [_RFC3339, _DATE], _MAIL.replace(r"(\d{2}) +(?i:", r"(\d{1,2}) +(?i:")), one_line(s))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from pagemill.functions.text import text, trim_space
 # Ports that are never fetched, and parameters that only track.
 BLOCKED_PORTS = (22, 23, 25, 110, 143, 445, 465, 587, 993, 995, 1433, 3306, 3389, 5432, 5900, 6379, 11211, 27017)
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "fbclid", "gclid", "dclid", "gbraid", "wbraid", "msclkid", "mc_cid", "mc_eid", "igshid")
-URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?([^?#]*)(\?[^#]*)?(#.*)?$"
+URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]*)(?::(\d*))?((?:/[^?#]*)?)(\?[^#]*)?(#.*)?$"
 
 # IPv4 ranges that are never fetched: private and local use, documentation, multicast, reserved.
 BLOCKED_IPV4 = (
@@ -20,17 +22,22 @@ BLOCKED_IPV4 = (
 
 
 def url_part(url: Column, k: int) -> Column:
-    """1 scheme, 2 host, 3 port, 4 path, 5 query with '?', 6 fragment with '#'; empty where there is none or no URL."""
-    return F.regexp_extract(trim_space(url), URL, k)
+    """1 scheme, 2 host (without the brackets of an address), 3 port, 4 path, 5 query with '?', 6 fragment with '#'; empty where there is none or no URL."""
+    part = F.regexp_extract(trim_space(url), URL, k)
+    return F.regexp_replace(part, r"^\[|\]$", "") if k == 2 else part
 
 
 def admission_error(url: Column) -> Column:
     """Why a URL may not be fetched, or the empty string."""
-    scheme, host, port = F.lower(url_part(url, 1)), url_part(url, 2), url_part(url, 3)
+    u = trim_space(url)
+    scheme, host, port = F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)), url_part(url, 2), url_part(url, 3)
+    # fixed values: the texts of the errors
     return (
-        F.when(~scheme.isin("http", "https"), "url must be http or https")
-        .when(host == "", "url has no host")
-        .when(F.try_to_number(port, F.lit("99999")).cast("int").isin(*BLOCKED_PORTS), F.concat(F.lit("port "), port, F.lit(" is blocked")))
+        F.when(u.rlike(r"[\x00-\x1f\x7f]|^:|^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*[ <>\"]"), "invalid url")
+        .when(~scheme.isin("http", "https"), F.concat(F.lit('unsupported scheme "'), scheme, F.lit('" (only http/https)')))
+        .when(~u.rlike(URL), F.when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://."), "invalid url").otherwise("url has no host"))
+        .when((host == "") & (port == ""), "url has no host")
+        .when(port.isin(*map(str, BLOCKED_PORTS)), F.concat(F.lit("port "), port, F.lit(" is not permitted (it is a well-known non-web service port)")))
         .otherwise("")
     )
 
@@ -42,7 +49,7 @@ def _escape(c: Column) -> Column:
 
 def cache_key(url: Column) -> Column:
     """The URL without tracking parameters, the others sorted by name; unchanged if it has none. Pairs with bad escapes go."""
-    query = F.substring(url_part(url, 5), 2, 1_000_000)
+    query = F.regexp_replace(url_part(url, 5), r"^\?", "")
     pairs = F.transform(
         F.split(query, "&"),
         lambda p, i: F.struct(
@@ -73,8 +80,15 @@ def domain_permitted(url: Column, include: Column, exclude: Column) -> Column:
 
 def ipv4_number(ip: Column) -> Column:
     """The address as a number, null if it isn't dotted IPv4."""
-    sound = ip.rlike(r"^((25[0-5]|2[0-4]\d|1?\d?\d)(\.(?!$)|$)){4}$")
-    return F.when(sound, F.aggregate(F.split(ip, r"\."), F.lit(0).cast("long"), lambda a, x: a * 256 + x.cast("long")))
+    sound = ip.rlike(r"^(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}$")
+    byte = lambda k: F.split_part(ip, F.lit("."), F.lit(k)).cast("long")
+    return F.when(sound, ((byte(1) * 256 + byte(2)) * 256 + byte(3)) * 256 + byte(4))
+
+
+def within(number: Column, ranges: list[tuple[int, int]]) -> Column:
+    """Whether a number lies in one of the ranges; the number is worked out once, whatever it is made of. Null for null."""
+    inside = lambda n: reduce(lambda a, r: a | n.between(*r), ranges, F.lit(False))
+    return F.when(number.isNotNull(), F.exists(F.array(number), inside))
 
 
 def _range(cidr: str) -> tuple[int, int]:
@@ -86,11 +100,7 @@ def _range(cidr: str) -> tuple[int, int]:
 
 def ipv4_blocked(ip: Column) -> Column:
     """Whether an address may not be dialled; what is no IPv4 address may not."""
-    n = ipv4_number(ip)
-    inside = F.lit(False)
-    for lo, hi in map(_range, BLOCKED_IPV4):
-        inside = inside | n.between(lo, hi)
-    return F.coalesce(inside, F.lit(True))
+    return F.coalesce(within(ipv4_number(ip), list(map(_range, BLOCKED_IPV4))), F.lit(True))
 
 
 def bare_css_url(value: Column) -> Column:

@@ -7,11 +7,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import trim_space
-from pagemill.functions.urls import BLOCKED_IPV4, ipv4_blocked, ipv4_number
+from pagemill.functions.urls import BLOCKED_IPV4, ipv4_blocked, ipv4_number, within
 
 # IPv6 ranges that are never dialled, with those that carry IPv4 addresses.
 BLOCKED_IPV6 = ("::/128", "::1/128", "64:ff9b::/96", "64:ff9b:1::/48", "100::/64", "2001::/23", "2001:db8::/32", "2002::/16", "fc00::/7", "fe80::/10", "ff00::/8")
@@ -43,11 +43,8 @@ def host_allowed(host: Column, allow: AllowList) -> Column:
 
 
 def ipv4_allowed(ip: Column, allow: AllowList) -> Column:
-    n, inside = ipv4_number(ip), F.lit(False)
-    for net in map(ipaddress.ip_network, allow.nets):
-        if net.version == 4:
-            inside = inside | n.between(int(net[0]), int(net[-1]))
-    return F.coalesce(inside, F.lit(False))
+    ranges = [(int(net[0]), int(net[-1])) for net in map(ipaddress.ip_network, allow.nets) if net.version == 4]
+    return F.coalesce(within(ipv4_number(ip), ranges), F.lit(False))
 
 
 def permitted(host: Column, ip: Column, allow: AllowList) -> Column:
@@ -78,3 +75,29 @@ def addresses(df: DataFrame, ip: Column, keep: list[Column], allow: AllowList =
     picked = df.select(ip.cast("string").alias("__ip"), *keep)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[1:])
     return picked.mapInArrow(run, f"{kinds}, blocked boolean, allowed boolean")
+
+
+def allow_table(spark: SparkSession, allow: AllowList) -> DataFrame:
+    """An allow list as (kind, host, lo, hi): names, and the IPv4 ranges as numbers; its size is that of the list."""
+    rows = [("host", h, None, None) for h in allow.hosts]
+    rows += [("net", None, int(n[0]), int(n[-1])) for n in map(ipaddress.ip_network, allow.nets) if n.version == 4]
+    return spark.createDataFrame(rows, "kind string, host string, lo long, hi long")
+
+
+def permitted_targets(targets: DataFrame, host: Column, ips: Column, allow: AllowList) -> DataFrame:
+    """``targets`` with ``dial``: the first of the addresses ``ips`` of each host that may be dialled, null if none may.
+
+    A host is admitted if any of its addresses is, in the order they were resolved.
+    """
+    first = F.filter(F.coalesce(ips, F.array().cast("array<string>")), lambda ip: permitted(host, ip, allow))
+    return targets.withColumn("dial", F.get(first, 0))
+
+
+# What callers are told of a refused host, and what only the log is.
+BLOCKED = "web_fetch: host is blocked by SSRF protection; add it to allow_local_hosts in config.json or PAGEMILL_ALLOW_LOCAL_HOSTS to permit"
+BLOCKED_DETAIL = 'ssrf block: "%s" resolves only to private/reserved addresses and is not on the allowlist'
+
+
+def blocked_texts(host: Column, dial: Column) -> Column:
+    """The struct (error, detail) of a target without an address to dial, empty for others; ``detail`` names the host and belongs in logs only."""
+    return F.struct(F.when(dial.isNull(), BLOCKED).otherwise("").alias("error"), F.when(dial.isNull(), F.format_string(BLOCKED_DETAIL, host)).otherwise("").alias("detail"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions import content
-from pagemill.functions.text import one_line, text, title_line
+from pagemill.functions.text import one_line, text, title_line, trim_space
 from pagemill.functions.urls import url_part
 
 # List limits, and the notes of the listings.
@@ -48,14 +48,37 @@ def first_links(links: DataFrame) -> DataFrame:
     return links.where("url is not null").groupBy("page_id", "url").agg(F.min("pos").alias("pos"), F.min_by("text", F.struct("pos", "link_id")).alias("text"))
 
 
-def link_listing(links: DataFrame) -> DataFrame:
-    """(page_id, listing): a page's links as text, the first ones up to the limit."""
+def _listing(count: Column, word: str, page: Column, limit: int, entries: Column) -> Column:
+    note = F.when(count >= limit, CAPPED.format(limit)).otherwise("")
+    full = F.concat(count.cast("string"), F.lit(f" {word}(s) on "), text(page), F.lit(":\n"), note, F.array_join(entries, ""))
+    return F.when(count > 0, trim_space(full)).otherwise(F.concat(F.lit(f"No {word}s found on "), text(page), F.lit(".")))
+
+
+def link_listing(pages: DataFrame, links: DataFrame) -> DataFrame:
+    """(page_id, listing): the links of each page as text, the first ones up to the limit; pages without links say so."""
     shown = F.row_number().over(Window.partitionBy("page_id").orderBy("pos", "url"))
     kept = first_links(links).withColumn("n", shown).where(F.col("n") <= MAX_LINKS)
-    entry = F.concat(F.lit("\n"), "url", F.when(text(F.col("text")) != "", F.concat(F.lit("\n   text: "), one_line(F.col("text")))).otherwise(""))
+    entry = F.concat(F.lit("\n"), "url", F.when(one_line(F.col("text")) != "", F.concat(F.lit("\n   text: "), one_line(F.col("text")))).otherwise(""))
     lists = kept.groupBy("page_id").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("n", entry.alias("e")))).alias("es"))
-    note = F.when(F.col("n") >= MAX_LINKS, CAPPED.format(MAX_LINKS)).otherwise("")
-    return lists.select("page_id", F.concat(F.format_string("%d link(s):\n", "n"), note, F.array_join(F.transform("es", lambda e: e["e"]), "\n")).alias("listing"))
+    each = pages.groupBy("page_id").agg(F.min("cache_key").alias("page")).join(lists, "page_id", "left")
+    return each.select("page_id", _listing(F.coalesce("n", F.lit(0)), "link", F.col("page"), MAX_LINKS, F.transform("es", lambda x: x["e"])).alias("listing"))
+
+
+def image_listing(pages: DataFrame) -> DataFrame:
+    """(page_id, listing): the images of each page as text, keyed by their handles, the first ones up to the limit."""
+    none = F.array().cast(dict(pages.dtypes)["images"])
+    images = F.slice(F.coalesce("images", none), 1, MAX_IMAGES)
+
+    def entry(im: Column) -> Column:
+        w, h, alt, caption = one_line(im["width"]), one_line(im["height"]), one_line(im["alt"]), one_line(im["caption"])
+        some = lambda test, *parts: F.when(test, F.concat(*parts)).otherwise("")
+        return F.concat(
+            F.lit("\n[image:"), im["id"].cast("string"), F.lit("] "), text(im["url"]), some((w != "") & (h != ""), F.lit(" ("), w, F.lit("×"), h, F.lit(")")),
+            some(F.lower(url_part(im["url"], 4)).endswith(".svg"), F.lit("\n   svg — web_fetch_image cannot decode it; web_fetch_raw can save the source")),
+            some(alt != "", F.lit("\n   alt: "), alt), some((caption != "") & (caption != alt), F.lit("\n   caption: "), caption), some(text(im["source_page"]) != "", F.lit("\n   source: "), im["source_page"]),
+        )
+
+    return pages.select("page_id", _listing(F.size(images), "image", F.col("cache_key"), MAX_IMAGES, F.transform(images, entry)).alias("listing"))
 
 
 def image_rows(pages: DataFrame) -> DataFrame:
@@ -136,7 +159,7 @@ def raw_bodies(pages: DataFrame) -> DataFrame:
 
 
 def page_size(raw: Column, body: Column, images: Column) -> Column:
-    """Bytes that a cached page counts as: body, text, and each image's strings with a fixed share."""
+    """Bytes that a cached page counts as, without its links: body, text, and each image's strings with a fixed share."""
     each = F.aggregate(
         F.coalesce(images, F.array()), F.lit(0).cast("long"),
         lambda a, im: a + 32 + sum(F.octet_length(text(im[k])) for k in ("url", "alt", "caption", "width", "height", "source_page")),
@@ -144,26 +167,56 @@ def page_size(raw: Column, body: Column, images: Column) -> Column:
     return F.coalesce(F.octet_length(raw), F.lit(0)) + F.octet_length(text(body)) + each
 
 
-def cache_listing(pages: DataFrame, as_of: Column, scope: str = "host") -> DataFrame:
-    """(scope, listing): the cached pages of each scope, latest first, with their sizes and ages at ``as_of``."""
-    size = F.octet_length(text(F.col("markdown")))
-    age = F.concat((F.unix_timestamp(as_of) - F.unix_timestamp(F.col("fetched_at").cast("timestamp"))).cast("string"), F.lit("s"))
+def sized_pages(pages: DataFrame, links: DataFrame) -> DataFrame:
+    """``pages``, repeated ids once, with ``size``: the bytes of a page and of its first five thousand distinct links, each with a share of 16."""
+    shown = F.row_number().over(Window.partitionBy("page_id").orderBy("pos", "url"))
+    kept = first_links(links).withColumn("n", shown).where(F.col("n") <= MAX_LINKS)
+    of_links = kept.groupBy("page_id").agg(F.sum(F.octet_length("url") + F.octet_length(text(F.col("text"))) + 16).alias("__links"))
+    joined = pages.dropDuplicates(["page_id"]).join(of_links, "page_id", "left")
+    return joined.withColumn("size", page_size(F.col("raw_gzip"), F.col("markdown"), F.col("images")) + F.coalesce("__links", F.lit(0))).drop("__links")
+
+
+def age(seconds: Column) -> Column:
+    """Seconds as hours, minutes and seconds: 1h2m3s."""
+    h, m, s = F.floor(seconds / 3600), F.floor(F.pmod(seconds, F.lit(3600)) / 60), F.pmod(seconds, F.lit(60))
+    parts = lambda *xs: F.concat(*[p for c, unit in xs for p in (c.cast("long").cast("string"), F.lit(unit))])
+    return F.when(seconds >= 3600, parts((h, "h"), (m, "m"), (s, "s"))).when(seconds >= 60, parts((m, "m"), (s, "s"))).otherwise(parts((seconds, "s")))
+
+
+def cache_lines(sized: DataFrame, as_of: Column, scope: str = "host") -> DataFrame:
+    """(scope, page_id, stored, line): a row for each cached page of each scope, and one with null ``page_id`` for the scope's head line.
+
+    A listing is the head, then the lines by ``stored``, latest first. Rows are never
+    gathered, so a scope may have any number of pages. Times after ``as_of`` have no age.
+    """
+    seconds = F.greatest(F.unix_timestamp(as_of) - F.unix_timestamp(F.col("fetched_at").cast("timestamp")), F.lit(0))
     head = title_line(F.col("title"))
-    line = F.concat(F.lit("  "), "cache_key", F.format_string("  (%.1f KiB, %s old)", F.bround(size / 1024.0, 1), age), F.when(head != "", F.concat(F.lit("  — "), head)).otherwise(""))
-    rows = pages.dropDuplicates(["page_id"]).select(scope, size.alias("size"), F.struct((-F.unix_micros(F.col("fetched_at").cast("timestamp"))).alias("at"), F.col("page_id").alias("id"), line.alias("line")).alias("e"))
-    lists = rows.groupBy(scope).agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.array_sort(F.collect_list("e")).alias("es"))
-    return lists.select(scope, F.concat(F.format_string("web cache: %d entries, %.1f KiB total\n", "n", F.bround(F.col("total") / 1024.0, 1)), F.array_join(F.transform("es", lambda e: e["line"]), "\n")).alias("listing"))
+    kib = lambda c: F.format_string("%.1f", F.bround(c / 1024.0, 1))
+    line = F.concat(F.lit("  "), text(F.col("cache_key")), F.lit("  ("), kib(F.col("size")), F.lit(" KiB, "), age(F.coalesce(seconds, F.lit(0))), F.lit(" old)"), F.when(head != "", F.concat(F.lit("  — "), head)).otherwise(""))
+    rows = sized.select(scope, "page_id", F.col("fetched_at").alias("stored"), line.alias("line"))
+    heads = sized.groupBy(scope).agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+    totals = heads.select(scope, F.lit(None).cast("long").alias("page_id"), F.lit(None).cast(dict(rows.dtypes)["stored"]).alias("stored"), F.concat(F.format_string("web cache: %d entries, ", "n"), kib(F.col("total")), F.lit(" KiB total")).alias("line"))
+    return totals.unionByName(rows)
+
+
+def clean_path(path: Column) -> Column:
+    """A relative path without empty and dot parts, each '..' taken back with what it leaves; leading ones stay. '.' for nothing."""
+    parts = F.aggregate(
+        F.split(text(path), "/"), F.array().cast("array<string>"),
+        lambda a, x: F.when(x.isin("", "."), a).when((x == "..") & (F.size(a) > 0) & (F.element_at(F.concat(F.array(F.lit("..")), a), -1) != ".."), F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(x))),
+    )
+    return F.when(F.size(parts) == 0, ".").otherwise(F.array_join(parts, "/"))
 
 
 def save_path_error(path: Column) -> Column:
-    """Why a path may not be written under a workspace, by its text alone, or ''. Links and existing files are the writer's to check."""
-    p = text(path)
-    parts = F.split(p, "/")
-    depth = F.aggregate(
-        parts, F.struct(F.lit(0).alias("d"), F.lit(0).alias("low")),
-        lambda a, x: F.struct((a["d"] + F.when(x == "..", -1).when(x.isin("", "."), 0).otherwise(1)).alias("d"), F.least(a["low"], a["d"] + F.when(x == "..", -1).otherwise(0)).alias("low")),
-    )
+    """Why a path may not be written under a workspace, by its text alone, or ''. Links and existing files are the writer's to check (``pagemill.sinks``).
+
+    The workspace's own .git and what lies in it are refused, as written.
+    """
+    clean = clean_path(path)
+    # fixed values: the texts of the errors
     return (
-        F.when(p == "", "path is required").when(p.startswith("/"), "path must be relative to the workspace").when(depth["low"] < 0, "path escapes the workspace")
-        .when(F.exists(parts, lambda x: F.lower(x) == ".git"), "path may not lie in .git").when(depth["d"] == 0, "path names no file").otherwise("")
+        F.when(text(path).startswith("/"), "save_path must be relative to the workspace, not absolute")
+        .when((clean == "..") | clean.startswith("../"), "save_path escapes the workspace")
+        .when((clean == ".git") | clean.startswith(".git/"), "writing to .git/ is not permitted").otherwise("")
     )

@@ -7,37 +7,63 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import content, urls
 from pagemill.functions import text as tx
-from pagemill.operators import admission, pages, search, stateful
+from pagemill.operators import admission, feeds, pages, search, stateful
 from pagemill.session import table
 
 _WS = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _TRIM = lambda c: f"regexp_replace(coalesce({c}, ''), '^{_WS}+|{_WS}+$', '', 'g')"
 _LINE = lambda c: _TRIM(f"regexp_replace(coalesce({c}, ''), '{_WS}+', ' ', 'g')")
+# Stamps in SQL: the day of the layouts that are read, of those that are real dates.
+_MONTHS = "['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec']"
+_CLOCK = r"([01]\d|2[0-3]):[0-5]\d:[0-5]\d"
+_ISO = r"^\d{4}-\d\d-\d\dT" + _CLOCK + r"([.,]\d+)?(Z|[+-]([01]\d|2[0-3]):[0-5]\d)$"
+_POSTED = r"^(?i:mon|tue|wed|thu|fri|sat|sun), +(DAY) +([A-Za-z]{3}) +(\d{4}) +" + _CLOCK + r" +([+-]\d{4}|GMT[+-]\d{1,2}|[+-]\d{2}|ChST|MeST|WITA|[A-Z]{3}|[A-Z]{3,4}T)$"
+
+
+def _written_day(c: str, digits: str, plain: str) -> str:
+    """SQL for the day that the stamp ``c`` is written with, or null: ISO stamps, ``plain`` ones, and mail dates with days of ``digits``."""
+    s, mail = _TRIM(c), _POSTED.replace("DAY", digits)
+    part = lambda k: f"regexp_extract({s}, '{mail}', {k})"
+    month = f"list_position({_MONTHS}, lower({part(2)}))"
+    real = lambda day: f"case when try_cast({day} as date) is not null then {day} end"
+    return f"""coalesce(case when regexp_matches({s}, '{_ISO}') or regexp_matches({s}, '{plain}') then {real(s + "[:10]")} end,
+case when regexp_matches({s}, '{mail}') and {month} > 0 then {real(f"({part(3)} || '-' || lpad({month}::varchar, 2, '0') || '-' || lpad({part(1)}, 2, '0'))")} end)"""
+
+
+_DAY_ONLY = r"^\d{4}-\d\d-\d\d$"
+_FEED_DATE = lambda c: f"coalesce({_written_day(c, r'\d{1,2}', _DAY_ONLY)}, {_LINE(c)})"
+_CUT = lambda s: f"list_max(list_filter(range(0, 21), lambda k: strlen(({s})[:k]) <= 20 and k <= length({s})))"
+_SHORT_DATE = lambda c: f"coalesce({_written_day(c, r'\d{2}', _DAY_ONLY[:-1] + '( +' + _CLOCK + r'([.,]\d+)?)?$')}, ({_CAP(c)})[:{_CUT(_CAP(c))}] || case when strlen(({_CAP(c)})[:{_CUT(_CAP(c))}]) < 20 and length({_CAP(c)}) > {_CUT(_CAP(c))} then '�' else '' end)"
+_QUOTED = lambda c: f"chr(34) || replace(replace(replace(replace(replace({c}, chr(92), chr(92) || chr(92)), chr(34), chr(92) || chr(34)), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't') || chr(34)"
 _CAP = lambda c: f"case when length({_LINE(c)}) > 300 then {_LINE(c)}[:300] || '…' else {_LINE(c)} end"
 
 
 def url_parts(spark: SparkSession, d: str) -> DataFrame:
-    u = F.col("url")
-    return table(spark, d, "links").select("link_id", urls.url_part(u, 1).alias("scheme"), urls.url_part(u, 2).alias("host"), urls.url_part(u, 4).alias("path"))
+    """Parts of the links' addresses, every seventh with an address in brackets instead of its host."""
+    u = F.when(F.col("link_id") % 7 == 0, F.regexp_replace("url", "^([a-z]+://)[^/]*", "$1[2001:db8::7]:8080")).otherwise(F.col("url"))
+    return table(spark, d, "links").select("link_id", urls.url_part(u, 1).alias("scheme"), urls.url_part(u, 2).alias("host"), urls.url_part(u, 3).alias("port"), urls.url_part(u, 4).alias("path"))
 
 
-URL_PARTS = r"""select link_id, coalesce(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*)://', 1), '') as scheme,
-coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '') as host,
-coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '') as path from links"""
-
-PORTS = (80, 22, 443, 3306, 8080, 6379, 25)
+URL_PARTS = r"""with l as (select link_id, url, regexp_matches(url, '^[a-z]+://') and link_id % 7 = 0 as b from links)
+select link_id, coalesce(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*)://', 1), '') as scheme,
+case when b then '2001:db8::7' else coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '') end as host,
+case when b then '8080' else coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?[^/?#:]*:(\d*)', 1), '') end as port,
+coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '') as path from l"""
 
 
 def url_admission(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("event_id")
-    scheme = F.element_at(F.array(*map(F.lit, ("http", "https", "ftp"))), (n % 3 + 1).cast("int"))
-    port = F.element_at(F.array(*map(F.lit, PORTS)), (n % 7 + 1).cast("int"))
-    url = F.concat(scheme, F.lit("://h"), (n % 11).cast("string"), F.lit(".test:"), port.cast("string"), F.lit("/x"))
-    return table(spark, d, "events").select("event_id", urls.admission_error(url).alias("error"))
+    """Admission of the links' addresses: as they are, with other schemes, with ports on names and on bracketed addresses, without a host."""
+    n, u = F.col("link_id"), F.col("url")
+    port = F.element_at(F.array(*map(F.lit, PORTS)), (n % len(PORTS) + 1).cast("int"))
+    with_port = lambda host: F.regexp_replace(u, "^([a-z]+://)([^/]*)", F.concat(F.lit("$1"), F.lit(host), F.lit(":"), port))
+    made = F.when(n % 6 == 1, F.regexp_replace(u, "^[a-z]+:", "FTP:")).when(n % 6 == 2, with_port("$2")).when(n % 6 == 3, with_port("[::1]")).when(n % 6 == 4, "https:///no/host").when(n % 6 == 5, F.concat(F.lit("  "), u, F.lit("\n"))).otherwise(u)
+    return table(spark, d, "links").select("link_id", urls.admission_error(made).alias("error"))
 
 
-URL_ADMISSION = f"""with e as (select event_id, event_id % 3 as s, (array{list(PORTS)})[(event_id % 7 + 1)::int] as p from events)
-select event_id, case when s = 2 then 'url must be http or https' when p in {urls.BLOCKED_PORTS} then 'port ' || p || ' is blocked' else '' end as error from e"""
+PORTS = ("80", "22", "443", "3306", "8080", "022", "25", "11211", "27017", "3000", "993")
+URL_ADMISSION = r"""with l as (select link_id, url, (array['80', '22', '443', '3306', '8080', '022', '25', '11211', '27017', '3000', '993'])[(link_id % 11 + 1)::int] as p from links)
+select link_id, case when link_id % 6 = 4 then 'url has no host' when url is null or url = '' or not regexp_matches(url, '^[a-z]+://') then 'unsupported scheme "" (only http/https)'
+when link_id % 6 = 1 then 'unsupported scheme "ftp" (only http/https)' when link_id % 6 in (2, 3) and p in ('22', '3306', '25', '11211', '27017', '993') then 'port ' || p || ' is not permitted (it is a well-known non-web service port)' else '' end as error from l"""
 
 
 def cache_key(spark: SparkSession, d: str) -> DataFrame:
@@ -76,9 +102,20 @@ def search_format(spark: SparkSession, d: str) -> DataFrame:
     return search.result_listing(search.ranked_results(table(spark, d, "queries"), table(spark, d, "results")))
 
 
-SEARCH_FORMAT = f"""with {_RANKED}, e as (select query_id, query_text, place, chr(10) || place || '. ' || {_CAP("title")} || chr(10) || '   ' || {_LINE("url")} || chr(10)
-|| case when {_LINE("snippet")} = '' then '' else '   ' || {_CAP("snippet")} || chr(10) end as e from ranked where place <= max_results)
-select query_id, {_TRIM("'Search results for ' || chr(34) || replace(min(query_text), chr(34), chr(92) || chr(34)) || chr(34) || ':' || chr(10) || string_agg(e, '' order by place)")} as listing from e group by query_id"""
+_ANSWERS = f"""{_RANKED}, t as (select *, {_SHORT_DATE("published")} as day from ranked where place <= max_results),
+e as (select query_id, query_text, place, chr(10) || place || '. ' || {_CAP("title")} || case when day <> '' then ' (' || day || ')' else '' end || chr(10) || '   ' || {_LINE("url")} || chr(10)
+|| case when {_LINE("snippet")} = '' then '' else '   ' || {_CAP("snippet")} || chr(10) end as e from t),
+f as (select query_id, {_TRIM(f"'Search results for ' || {_QUOTED('min(query_text)')} || ':' || chr(10) || string_agg(e, '' order by place)")} as listing from e group by query_id)"""
+SEARCH_FORMAT = f"with {_ANSWERS} select query_id, listing from f"
+
+
+def search_answers(spark: SparkSession, d: str) -> DataFrame:
+    """What is said to every query: its results, that there are none, or what is wrong with it."""
+    return search.answers(table(spark, d, "queries"), table(spark, d, "results"))
+
+
+SEARCH_ANSWERS = f"""with {_ANSWERS}
+select n.query_id, case when n.error <> '' then n.error else coalesce(f.listing, 'No results for ' || {_QUOTED("n.query_text")} || '. Try broader or different terms, or relax any freshness/domain filters.') end as listing from n left join f on f.query_id = n.query_id"""
 
 
 def iso_dates(spark: SparkSession, d: str) -> DataFrame:
@@ -96,10 +133,14 @@ def feed_summary(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "rss_items").select("item_id", tx.one_line(tx.plain_of_markup(F.col("description")), 400).alias("summary"))
 
 
-_PLAIN = r"regexp_replace(regexp_replace(coalesce(description, ''), '(?is)<(script|style|noscript|template)\b.*?</(script|style|noscript|template)\s*>', chr(10), 'g'), '(?s)<[^>]*>', ' ', 'g')"
-for _name, _char in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'")):
-    _PLAIN = f"replace({_PLAIN}, '{_name}', {_char})"
-FEED_SUMMARY = f"with p as (select item_id, {_LINE(_PLAIN)} as s from rss_items) select item_id, case when length(s) > 400 then s[:400] || '…' else s end as summary from p"
+def _plain(c: str) -> str:
+    out = f"regexp_replace(regexp_replace(coalesce({c}, ''), '(?is)<(script|style|noscript|template)\\b.*?</(script|style|noscript|template)\\s*>', chr(10), 'g'), '(?s)<[^>]*>', ' ', 'g')"
+    for name, char in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'")):
+        out = f"replace({out}, '{name}', {char})"
+    return out
+
+
+FEED_SUMMARY = f"with p as (select item_id, {_LINE(_plain('description'))} as s from rss_items) select item_id, case when length(s) > 400 then s[:400] || '…' else s end as summary from p"
 
 
 def page_title(spark: SparkSession, d: str) -> DataFrame:
@@ -152,11 +193,25 @@ PAGE_LINKS = """select page_id, url, pos, text from (select *, row_number() over
 
 
 def links_format(spark: SparkSession, d: str) -> DataFrame:
-    return pages.link_listing(table(spark, d, "links"))
+    return pages.link_listing(table(spark, d, "rendered"), table(spark, d, "links"))
+
+
+LINKS_FORMAT = f"""with f as ({PAGE_LINKS}), k as (select *, row_number() over (partition by page_id order by pos, url) as n from f),
+t as (select page_id, count(*) as n, string_agg(chr(10) || url || case when {_LINE("text")} <> '' then chr(10) || '   text: ' || {_LINE("text")} else '' end, '' order by n) as e from k where n <= 5000 group by page_id),
+p as (select page_id, min(cache_key) as page from rendered group by page_id)
+select p.page_id, case when t.n is null then 'No links found on ' || page || '.' else {_TRIM("t.n || ' link(s) on ' || page || ':' || chr(10) || case when t.n >= 5000 then '(list capped at 5000 — the page may contain more; use web_fetch_raw to inspect the full source)' || chr(10) else '' end || e")} end as listing from p left join t on p.page_id = t.page_id"""
 
 
-LINKS_FORMAT = f"""with f as ({PAGE_LINKS}), k as (select *, row_number() over (partition by page_id order by pos, url) as n from f)
-select page_id, count(*) || ' link(s):' || chr(10) || string_agg(chr(10) || url || case when coalesce(text, '') <> '' then chr(10) || '   text: ' || {_LINE("text")} else '' end, chr(10) order by n) as listing from k where n <= 5000 group by page_id"""
+def images_format(spark: SparkSession, d: str) -> DataFrame:
+    return pages.image_listing(table(spark, d, "rendered"))
+
+
+IMAGES_FORMAT = f"""with e as (select page_id, cache_key, coalesce(len(images), 0) as n, coalesce(images, []) as images from rendered)
+select page_id, case when n = 0 then 'No images found on ' || cache_key || '.' else {_TRIM("n || ' image(s) on ' || cache_key || ':' || chr(10) || array_to_string(list_transform(images, lambda m: chr(10) || '[image:' || m.id || '] ' || coalesce(m.url, '')"
+    f" || case when {_LINE('m.width')} <> '' and {_LINE('m.height')} <> '' then ' (' || {_LINE('m.width')} || '×' || {_LINE('m.height')} || ')' else '' end"
+    r" || case when regexp_matches(lower(coalesce(m.url, '')), '^[^?#]*\.svg([?#]|$)') then chr(10) || '   svg — web_fetch_image cannot decode it; web_fetch_raw can save the source' else '' end"
+    f" || case when {_LINE('m.alt')} <> '' then chr(10) || '   alt: ' || {_LINE('m.alt')} else '' end || case when {_LINE('m.caption')} <> '' and {_LINE('m.caption')} <> {_LINE('m.alt')} then chr(10) || '   caption: ' || {_LINE('m.caption')} else '' end"
+    " || case when coalesce(m.source_page, '') <> '' then chr(10) || '   source: ' || m.source_page else '' end), '')")} end as listing from e"""
 
 
 def link_fanout(spark: SparkSession, d: str) -> DataFrame:
@@ -186,20 +241,29 @@ def content_route(spark: SparkSession, d: str) -> DataFrame:
     return pages.routed_pages(table(spark, d, "rendered"))
 
 
-CONTENT_ROUTE = f"""with t as (select page_id, lower(coalesce(content_type, '')) as c, {_TRIM("split_part(lower(content_type), ';', 1)")} as b from rendered)
-select page_id, case when b = '' then 'binary' else b end as type, case when contains(c, 'html') then 'html' when b = '' or starts_with(b, 'text/') or b in {content.TEXT_TYPES} or ends_with(b, '+json') or ends_with(b, '+xml') then 'text' when b = 'application/pdf' then 'pdf' else 'binary' end as route from t"""
+def type_route(spark: SparkSession, d: str) -> DataFrame:
+    """The route by type alone, as of pages without a body; ``content_route`` looks into bodies, which SQL can't decompress."""
+    ct = F.col("content_type")
+    return table(spark, d, "rendered").select("page_id", content.display_type(ct).alias("type"), content.route(ct, F.lit(None).cast("binary")).alias("route"))
+
+
+TYPE_ROUTE = f"""with t as (select page_id, lower(coalesce(content_type, '')) as c, {_TRIM("split_part(lower(content_type), ';', 1)")} as b from rendered)
+select page_id, case when b = '' then 'binary' else b end as type, case when contains(c, 'html') then 'html' when b = '' or starts_with(b, 'text/') or b in ('application/json', 'application/xml', 'application/xhtml+xml', 'application/javascript', 'application/ecmascript', 'image/svg+xml')
+or ends_with(b, '+json') or ends_with(b, '+xml') then 'text' when b = 'application/pdf' then 'pdf' else 'binary' end as route from t"""
 
 
 def status_hint(spark: SparkSession, d: str) -> DataFrame:
-    status = F.element_at(F.array(*map(F.lit, (200, 401, 403, 404, 410, 418, 429, 500, 502, 503))), (F.col("event_id") % 10 + 1).cast("int"))
-    return table(spark, d, "events").select("event_id", content.status_hint(status, F.col("user_id") % 2 == 0).alias("hint"), content.retryable(status, F.lit("")).alias("retry"))
+    """What is said of the statuses of pages, raised by two hundred on every second page, so that all classes of failures occur."""
+    status = F.col("status") + F.when(F.col("page_id") % 2 == 0, 200).otherwise(0)
+    browser = F.col("page_id") % 3 == 0
+    return table(spark, d, "rendered").select("page_id", content.status_error(status, F.col("cache_key"), browser).alias("error"), content.retryable(status, F.lit("")).alias("retry"))
 
 
-STATUS_HINT = """with e as (select event_id, user_id % 2 = 0 as b, (array[200, 401, 403, 404, 410, 418, 429, 500, 502, 503])[(event_id % 10 + 1)::int] as s from events)
-select event_id, case when s < 400 then null when s in (401, 403) and b then 'access denied — the site is blocking this fetch even with the browser user_agent; try another source'
+STATUS_HINT = """with e as (select page_id, cache_key, page_id % 3 = 0 as b, status + case when page_id % 2 = 0 then 200 else 0 end as s from rendered)
+select page_id, case when s is null or s < 400 then '' else 'http ' || s || ' fetching ' || coalesce(cache_key, '') || ' (' || case when s in (401, 403) and b then 'access denied — the site is blocking this fetch even with the browser user_agent; try another source'
 when s in (401, 403) then 'access denied — the site may be blocking automated clients; retry with user_agent: "browser", or try another source'
 when s in (404, 410) then 'page not found — check the URL; the page may have moved or been removed' when s = 429 then 'rate limited by the site — wait before retrying this host'
-when s >= 500 then 'server error — usually transient; retrying later may succeed' else 'client error' end as hint, s in (502, 503, 504) as retry from e"""
+when s >= 500 then 'server error — usually transient; retrying later may succeed' else 'client error' end || ')' end as error, coalesce(s in (502, 503, 504), false) as retry from e"""
 
 ERRORS = ("stopped after 10 redirects", "dial tcp: no such host", "context deadline exceeded", "connect: connection refused", "tls: bad certificate", "read: connection reset")
 
@@ -220,7 +284,8 @@ def ipv4_blocked(spark: SparkSession, d: str) -> DataFrame:
 
 
 _N = "(event_id * 7 % 256)::bigint * 16777216 + (event_id * 13 % 256) * 65536 + (event_id % 256) * 256 + event_id * 31 % 256"
-IPV4_BLOCKED = f"with e as (select event_id, ({_N})::bigint as n from events) select event_id, n as number, " + " or ".join(f"n between {lo} and {hi}" for lo, hi in map(urls._range, urls.BLOCKED_IPV4)) + " as blocked from e"
+IPV4_BLOCKED = f"with e as (select event_id, ({_N})::bigint as n from events) select event_id, n as number, " + """n < 16777216 or n between 167772160 and 184549375 or n between 1681915904 and 1686110207 or n between 2130706432 and 2147483647 or n between 2851995648 and 2852061183 or n between 2886729728 and 2887778303
+or n between 3221225472 and 3221225727 or n between 3221225984 and 3221226239 or n between 3232235520 and 3232301055 or n between 3323068416 and 3323199487 or n between 3325256704 and 3325256959 or n between 3405803776 and 3405804031 or n >= 3758096384 as blocked from e"""
 
 
 ALLOW = (" 10.0.0.0/9", "127.1.2.3", "Host.Test", "", "224.0.0.0/5", "fd00::/8")
@@ -233,7 +298,7 @@ def allow_list(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", admission.permitted(host, ip, admission.parse_allow_list(list(ALLOW))).alias("permitted"))
 
 
-ALLOW_LIST = f"with e as ({IPV4_BLOCKED}) select event_id, not blocked or event_id % 17 = 0 or " + " or ".join(f"number between {lo} and {hi}" for lo, hi in map(urls._range, ("10.0.0.0/9", "127.1.2.3/32", "224.0.0.0/5"))) + " as permitted from e"
+ALLOW_LIST = f"with e as ({IPV4_BLOCKED}) select event_id, not blocked or event_id % 17 = 0 or " + "number between 167772160 and 176160767 or number = 2130772483 or number between 3758096384 and 3892314111 as permitted from e"
 
 
 #: Prefixes of addresses, each followed by the event's number in hexadecimal, or in IPv4 notation where they end with a dot.
@@ -284,45 +349,46 @@ SESSION_CWD = """with s as (select user_id, event_id as sid, case when event_id
 select e.event_id, coalesce(s.cwd, '/host') as cwd from events e asof left join s on e.user_id = s.user_id and e.event_id >= s.sid"""
 
 
-def _feed_listing(rows: DataFrame, key: str, date: Column, summary: Column) -> DataFrame:
-    title, link, date, summary = tx.title_line(F.col("title")), tx.text(F.col("link")), tx.feed_date(date), tx.one_line(tx.plain_of_markup(summary), 400)
-    line = lambda c: F.when(c != "", F.concat(F.lit("  "), c, F.lit("\n"))).otherwise("")
-    dated = F.when(date != "", F.concat(F.lit(" — "), date)).otherwise("")
-    entry = F.concat(F.lit("- **"), F.when(title == "", "(untitled)").otherwise(title), F.lit("**"), dated, F.lit("\n"), line(link), line(summary))
-    numbered = rows.dropDuplicates([key]).select("feed_url", key, entry.alias("e")).withColumn("n", F.expr(f"row_number() over (partition by feed_url order by {key})"))
-    lists = numbered.groupBy("feed_url").agg(F.count("*").alias("total"), F.array_sort(F.collect_list(F.when(F.col("n") <= 100, F.struct("n", "e")))).alias("es"))
-    note = F.when(F.col("total") > 100, " (showing the first 100)").otherwise("")
-    return lists.select("feed_url", F.concat(F.format_string("Feed with %d entries", "total"), note, F.lit(":\n"), F.array_join(F.transform("es", lambda x: x["e"]), "\n")).alias("listing"))
-
-
-def _given(first: str, second: str) -> Column:
-    return F.when(tx.text(F.col(first)) == "", F.col(second)).otherwise(F.col(first))
-
-
 def feed_page(spark: SparkSession, d: str) -> DataFrame:
     """Each RSS feed's entries in order, with the date, link and summary that the entry gives, the first hundred and how many there are."""
-    return _feed_listing(table(spark, d, "rss_items"), "item_id", _given("pub_date", "dc_date"), F.col("description"))
+    c = F.col
+    return feeds.listings(table(spark, d, "rss_items"), "feed_url", "item_id", c("title"), c("link"), feeds.given(c("pub_date"), c("dc_date")), c("description"))
 
 
 def atom_page(spark: SparkSession, d: str) -> DataFrame:
     """The same of each Atom feed."""
-    return _feed_listing(table(spark, d, "atom_entries"), "entry_id", _given("published", "updated"), F.col("summary"))
+    c = F.col
+    return feeds.listings(table(spark, d, "atom_entries"), "feed_url", "entry_id", c("title"), c("link"), feeds.given(c("published"), c("updated")), c("summary"))
 
 
-FEED_PAGE = f"""with r as (select distinct on (item_id) * from rss_items), k as (select feed_url, row_number() over (partition by feed_url order by item_id) as n, '- **' || case when {_LINE("title")} = '' then '(untitled)' else {_CAP("title")} end || '**' || chr(10) || case when coalesce(link, '') <> '' then '  ' || link || chr(10) else '' end as e from r)
-select feed_url, 'Feed with ' || count(*) || ' entries' || case when count(*) > 100 then ' (showing the first 100)' else '' end || ':' || chr(10) || string_agg(e, chr(10) order by n) filter (n <= 100) as listing from k group by feed_url"""
+def _feed_sql(source: str, key: str, first: str, second: str, markup: str) -> str:
+    line = _LINE(_plain(markup))
+    return f"""with r as (select distinct on ({key}) * from {source}),
+s as (select *, {line} as s0, case when {first} is null or {first} = '' then coalesce({second}, '') else {first} end as stamp from r), t as (select *, {_FEED_DATE("stamp")} as day, case when length(s0) > 400 then s0[:400] || '…' else s0 end as said from s),
+k as (select feed_url, row_number() over (partition by feed_url order by {key}) as n, chr(10) || '- **' || case when {_LINE("title")} = '' then '(untitled)' else {_CAP("title")} end || '**' || case when day <> '' then ' — ' || day else '' end
+|| case when {_TRIM("link")} <> '' then chr(10) || '  ' || {_TRIM("link")} else '' end || case when said <> '' then chr(10) || '  ' || said else '' end || chr(10) as e from t)
+select feed_url, {_TRIM("'Feed with ' || count(*) || ' entries' || case when count(*) > 100 then ' (showing the first 100)' else '' end || ':' || chr(10) || string_agg(e, '' order by n) filter (n <= 100)")} as listing from k group by feed_url"""
 
 
-PATHS = ("out/a.txt", "", "/etc/x", "../x", "a/../../x", "a/../b.txt", ".git/config", "a/.GIT/hooks", "a/..", "./b")
+FEED_PAGE = _feed_sql("rss_items", "item_id", "pub_date", "dc_date", "description")
+ATOM_PAGE = _feed_sql("atom_entries", "entry_id", "published", "updated", "summary")
 
 
 def save_paths(spark: SparkSession, d: str) -> DataFrame:
-    p = F.element_at(F.array(*map(F.lit, PATHS)), (F.col("event_id") % 10 + 1).cast("int"))
-    return table(spark, d, "events").select("event_id", pages.save_path_error(p).alias("error"))
+    """Save paths made of the pages' addresses: as they are, absolute, climbing out and back, into the workspace's .git and another's."""
+    n, p = F.col("page_id"), F.regexp_replace("cache_key", "^[a-z]+://", "")
+    made = (
+        F.when(n % 8 == 0, p).when(n % 8 == 1, F.concat(F.lit("/"), p)).when(n % 8 == 2, F.concat(F.lit("../"), p)).when(n % 8 == 3, F.concat(F.lit("a/./..//b/../"), p)).when(n % 8 == 4, F.concat(F.lit("a/../.git/"), p))
+        .when(n % 8 == 5, F.concat(F.lit("sub/.git/"), p)).when(n % 8 == 6, F.concat(F.lit(".gitignore/"), p)).otherwise(F.concat(p, F.regexp_replace(p, "[^/]+", ".."), F.lit("/../..")))
+    )
+    return table(spark, d, "rendered").select("page_id", pages.clean_path(made).alias("clean"), pages.save_path_error(made).alias("error"))
 
 
-_PATH_ERRORS = ("", "path is required", "path must be relative to the workspace", "path escapes the workspace", "path escapes the workspace", "", "path may not lie in .git", "path may not lie in .git", "path names no file", "")
-SAVE_PATHS = f"select event_id, (array{list(_PATH_ERRORS)})[(event_id % 10 + 1)::int] as error from events"
+# a page's address has neither dot parts nor doubled slashes; each of its parts is left by one '..' of the last case, the first of which joins the last part
+SAVE_PATHS = """with r as (select page_id, page_id % 8 as k, regexp_replace(cache_key, '^[a-z]+://', '') as p, rtrim(regexp_replace(cache_key, '^[a-z]+://', ''), '/') as q from rendered)
+select page_id, case when k in (0, 1, 3) then q when k = 2 then '../' || q when k = 4 then '.git/' || q when k = 5 then 'sub/.git/' || q when k = 6 then '.gitignore/' || q
+else case when len(string_split(p, '/')) = 1 then '../..' else '..' end end as clean,
+case when k = 1 then 'save_path must be relative to the workspace, not absolute' when k in (2, 7) then 'save_path escapes the workspace' when k = 4 then 'writing to .git/ is not permitted' else '' end as error from r"""
 
 ATTRIBUTES = ("url('a.png')", ' url( "b.png" ) ', "c.png", "d.png 1x, e.png 2x", "f.png,g.png", "")
 
@@ -337,19 +403,25 @@ ATTRIBUTE_URLS = """select event_id, (array['a.png', 'b.png', 'c.png', 'd.png 1x
 
 
 def page_size(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "rendered").select("page_id", pages.page_size(F.col("raw_gzip"), F.col("markdown"), F.col("images")).alias("size"))
+    return pages.sized_pages(table(spark, d, "rendered"), table(spark, d, "links")).select("page_id", "size")
 
 
-PAGE_SIZE = """with i as (select page_id, raw_gzip, markdown, images from rendered) select page_id, (coalesce(octet_length(raw_gzip), 0) + strlen(coalesce(markdown, ''))
-+ coalesce(list_sum(list_transform(images, lambda m: 32 + strlen(coalesce(m.url, '')) + strlen(coalesce(m.alt, '')) + strlen(coalesce(m.caption, '')) + strlen(coalesce(m.width, '')) + strlen(coalesce(m.height, '')) + strlen(coalesce(m.source_page, '')))), 0))::bigint as size from i"""
+_SIZES = f"""f as ({PAGE_LINKS}), k as (select *, row_number() over (partition by page_id order by pos, url) as n from f), ls as (select page_id, sum(strlen(url) + strlen(coalesce(text, '')) + 16) as z from k where n <= 5000 group by page_id),
+sized as (select r.*, (coalesce(octet_length(raw_gzip), 0) + strlen(coalesce(markdown, '')) + coalesce(list_sum(list_transform(images, lambda m: 32 + strlen(coalesce(m.url, '')) + strlen(coalesce(m.alt, ''))
++ strlen(coalesce(m.caption, '')) + strlen(coalesce(m.width, '')) + strlen(coalesce(m.height, '')) + strlen(coalesce(m.source_page, '')))), 0) + coalesce(ls.z, 0))::bigint as size from (select distinct on (page_id) * from rendered) r left join ls on r.page_id = ls.page_id)"""
+PAGE_SIZE = f"with {_SIZES} select page_id, size from sized"
 
 
 def cache_list(spark: SparkSession, d: str) -> DataFrame:
-    return pages.cache_listing(table(spark, d, "rendered"), F.lit("2026-01-01 00:00:00").cast("timestamp"))
+    """Each host's cache as lines, with the head that counts them; the day is one after most pages came."""
+    sized = pages.sized_pages(table(spark, d, "rendered"), table(spark, d, "links"))
+    return pages.cache_lines(sized, F.lit("2026-01-01 00:00:00").cast("timestamp")).drop("stored")
 
 
-CACHE_LIST = f"""with r as (select distinct on (page_id) *, strlen(coalesce(markdown, '')) as z from rendered), k as (select *, round_even(z / 1024.0, 1) as kib, (epoch(timestamp '2026-01-01 00:00:00')::bigint - floor(epoch(fetched_at))::bigint) as age from r)
-select host, 'web cache: ' || count(*) || ' entries, ' || printf('%.1f', round_even(sum(z) / 1024.0, 1)) || ' KiB total' || chr(10) || string_agg('  ' || cache_key || '  (' || printf('%.1f', kib) || ' KiB, ' || age || 's old)' || case when {_CAP("title")} <> '' then '  — ' || {_CAP("title")} else '' end, chr(10) order by fetched_at desc, page_id) as listing from k group by host"""
+_AGE = "case when a >= 3600 then (a // 3600) || 'h' || (a % 3600 // 60) || 'm' || (a % 60) || 's' when a >= 60 then (a // 60) || 'm' || (a % 60) || 's' else a || 's' end"
+CACHE_LIST = f"""with {_SIZES}, l as (select *, greatest(coalesce(epoch(timestamp '2026-01-01 00:00:00')::bigint - floor(epoch(fetched_at))::bigint, 0), 0) as a from sized)
+select host, page_id, '  ' || coalesce(cache_key, '') || '  (' || printf('%.1f', round_even(size / 1024.0, 1)) || ' KiB, ' || {_AGE} || ' old)' || case when {_CAP("title")} <> '' then '  — ' || {_CAP("title")} else '' end as line from l
+union all select host, null, 'web cache: ' || count(*) || ' entries, ' || printf('%.1f', round_even(sum(size) / 1024.0, 1)) || ' KiB total' from l group by host"""
 
 
 def raw_bytes(spark: SparkSession, d: str) -> DataFrame:
@@ -359,10 +431,10 @@ def raw_bytes(spark: SparkSession, d: str) -> DataFrame:
 def reference_queries() -> dict:
     return {
         "url_parts": (url_parts, URL_PARTS), "url_admission": (url_admission, URL_ADMISSION), "cache_key": (cache_key, CACHE_KEY), "query_normalize": (query_normalize, QUERY_NORMALIZE),
-        "search_topk": (search_topk, SEARCH_TOPK), "search_format": (search_format, SEARCH_FORMAT), "iso_dates": (iso_dates, ISO_DATES), "feed_summary": (feed_summary, FEED_SUMMARY), "feed_page": (feed_page, FEED_PAGE), "atom_page": (atom_page, None),
+        "search_topk": (search_topk, SEARCH_TOPK), "search_format": (search_format, SEARCH_FORMAT), "search_answers": (search_answers, SEARCH_ANSWERS), "iso_dates": (iso_dates, ISO_DATES), "feed_summary": (feed_summary, FEED_SUMMARY), "feed_page": (feed_page, FEED_PAGE), "atom_page": (atom_page, ATOM_PAGE),
         "page_title": (page_title, PAGE_TITLE), "cap_text": (cap_text, CAP_TEXT), "fetch_all_windows": (fetch_all_windows, WINDOWS), "fetch_window": (fetch_window, FETCH_WINDOW), "page_links": (page_links, PAGE_LINKS),
         "links_format": (links_format, LINKS_FORMAT), "link_fanout": (link_fanout, LINK_FANOUT), "images_harvest": (images_harvest, IMAGES_HARVEST), "cache_key_dedupe": (cache_key_dedupe, CACHE_DEDUPE),
-        "content_route": (content_route, CONTENT_ROUTE), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "address_admission": (address_admission, None), "image_scale": (image_scale, IMAGE_SCALE),
+        "content_route": (content_route, None), "type_route": (type_route, TYPE_ROUTE), "images_format": (images_format, IMAGES_FORMAT), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "address_admission": (address_admission, None), "image_scale": (image_scale, IMAGE_SCALE),
         "save_paths": (save_paths, SAVE_PATHS), "attribute_urls": (attribute_urls, ATTRIBUTE_URLS), "page_size": (page_size, PAGE_SIZE), "cache_list": (cache_list, CACHE_LIST), "raw_bytes": (raw_bytes, None),
         "rate_limit": (rate_limit, None), "lru_hits": (lru_hits, None), "session_cwd": (session_cwd, SESSION_CWD),
     }

@@ -42,8 +42,8 @@ def summary(s: str | None) -> str:
 
 
 def listing(entries: list[tuple]) -> str:
-    texts = [f"- **{one_line(t, 300) or '(untitled)'}**" + (f" — {d}" if d else "") + "\n" + (f"  {u}\n" if u else "") + (f"  {s}\n" if s else "") for t, u, d, s in entries[:100]]
-    return f"Feed with {len(entries)} entries{' (showing the first 100)' if len(entries) > 100 else ''}:\n" + "\n".join(texts)
+    texts = [f"\n- **{one_line(t, 300) or '(untitled)'}**" + (f" — {d}" if d else "") + "\n" + (f"  {u}\n" if u else "") + (f"  {s}\n" if s else "") for t, u, d, s in entries[:100]]
+    return f"Feed with {len(entries)} entries{' (showing the first 100)' if len(entries) > 100 else ''}:\n{''.join(texts)}".strip()
 
 
 @pytest.mark.parametrize(("query", "name", "key", "dates", "body"), [(feed_page, "rss_items", "item_id", ("pub_date", "dc_date"), "description"), (atom_page, "atom_entries", "entry_id", ("published", "updated"), "summary")])
