@@ -26,7 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.session import bounded_broadcast, stored
+from pagemill.session import bounded_broadcast, size_of, stored
+
+#: Bytes (as stored, compressed) up to which tables of forms, looks and candidates are broadcast.
+LOOK_LIMIT = 1 << 20
 
 # Letters of other scripts and the Latin letters they look like.
 CYRILLIC = "аaеeоoрpсcхxуyіiјjѕsһhԁdԛqԝwүy" "АAВBЕEКKМMНHОOРPСCТTХXУYІIЅSЈJԚQԜWҮY"
@@ -155,7 +158,9 @@ def odd_forms(odd: DataFrame, plain: DataFrame) -> DataFrame:
     candidates = stored(tokens.mapInArrow(_candidate_batches, "token string, word string, rank int"))
     wanted = stored(candidates.select("word").distinct())
     vocabulary = words(plain, "text").unionByName(words(cleaned, "cleaned"))
-    known = vocabulary.join(bounded_broadcast(wanted), "word", "left_semi").distinct()
+    small = size_of(wanted) <= LOOK_LIMIT
+    # a large set of candidates meets the distinct words, not each word of each text
+    known = vocabulary.join(F.broadcast(wanted), "word", "left_semi").distinct() if small else vocabulary.distinct().join(wanted, "word", "left_semi")
     vouched = candidates.join(known, "word").groupBy("token").agg(F.min_by("word", "rank").alias("word"))
     swaps = cleaned.select("text", F.explode("mixed").alias("token")).join(vouched, "token").groupBy("text").agg(F.collect_list(F.struct("token", "word")).alias("swaps"))
     rest = cleaned.where("size(mixed) = 0").select("text", "cleaned", F.lit(None).cast("array<struct<token:string,word:string>>").alias("swaps"))
@@ -191,15 +196,15 @@ def look_members(rows: DataFrame) -> DataFrame:
     rows = rows.where("rec_id is not null and text is not null").select("field_name", "rec_id", "text")
     plain, odd = rows.where(_is_plain()), rows.where(~_is_plain())
     forms = stored(odd_forms(odd, plain).select("text", "look"))
-    members = stored(odd.join(bounded_broadcast(forms), "text").select("field_name", "look", "rec_id", "text"))
+    members = stored(odd.join(bounded_broadcast(forms, LOOK_LIMIT), "text").select("field_name", "look", "rec_id", "text"))
     # a class needs a text that isn't plain, so plain rows matter only beside such a one
     looks = stored(members.select("field_name", F.col("look").alias("text")).distinct())
-    beside = stored(plain.select("field_name", "text").join(bounded_broadcast(looks), ["field_name", "text"], "left_semi").distinct())
-    labelled = plain.join(bounded_broadcast(beside), ["field_name", "text"], "left_semi").select("field_name", F.col("text").alias("look"), "rec_id", "text")
+    beside = stored(plain.select("field_name", "text").join(bounded_broadcast(looks, LOOK_LIMIT), ["field_name", "text"], "left_semi").distinct())
+    labelled = plain.join(bounded_broadcast(beside, LOOK_LIMIT), ["field_name", "text"], "left_semi").select("field_name", F.col("text").alias("look"), "rec_id", "text")
     every = members.unionByName(labelled)
     variants = members.select("field_name", "look", "text").unionByName(beside.select("field_name", F.col("text").alias("look"), "text"))
     several = stored(variants.groupBy("field_name", "look").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("field_name", "look"))
-    return every.join(bounded_broadcast(several), ["field_name", "look"], "left_semi")
+    return every.join(bounded_broadcast(several, LOOK_LIMIT), ["field_name", "look"], "left_semi")
 
 
 def same_looking_pairs(rows: DataFrame) -> DataFrame:

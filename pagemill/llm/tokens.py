@@ -36,8 +36,8 @@ from pagemill.session import cut_lineage
 #: Characters after which a block of texts is closed.
 BLOCK_CHARS = 4_000_000
 
-#: Blocks of one task, and blocks that share one table of distinct words.
-TASK_BLOCKS, SLICE_BLOCKS = 8, 100_000
+#: Blocks of one task while that makes no more tasks than this, else the most blocks of one task; blocks that share one table of distinct words.
+TASK_BLOCKS, TASKS, MOST_TASK_BLOCKS, SLICE_BLOCKS = 4, 4096, 64, 100_000
 
 #: Fixed value: Unicode's White_Space, which the pre-tokenizer's ``\s`` stands for.
 SPACE = "\\t\\n\\v\\f\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -172,7 +172,7 @@ def _encode_batches(path: str):
 def partitions(blocks: DataFrame) -> tuple[int, int]:
     """(partitions, slices) for the blocks of a stored table, which are counted."""
     n = blocks.count()
-    return max(blocks.sparkSession.sparkContext.defaultParallelism, -(-n // TASK_BLOCKS)), 1 + n // SLICE_BLOCKS
+    return max(blocks.sparkSession.sparkContext.defaultParallelism, min(-(-n // TASK_BLOCKS), TASKS), -(-n // MOST_TASK_BLOCKS)), 1 + n // SLICE_BLOCKS
 
 
 def encode_words(blocks: DataFrame, path: str, parts: int | None = None, slices: int = 1) -> DataFrame:
