@@ -117,25 +117,31 @@ def gunzip(raw: bytes | None) -> bytes | None:
 BATCH_BYTES = 16 << 20
 
 
-def _with_bodies(batches):
+def with_bodies(pages: DataFrame, keep: list[str], raw: Column | None = None) -> DataFrame:
+    """The columns ``keep`` and the decompressed ``body``; batches are cut where bodies grow large."""
     import pyarrow as pa
 
-    for b in batches:
-        start, bodies, held = 0, [], 0
-        for raw in b.column(2).to_pylist():
-            bodies.append(gunzip(raw))
-            held += len(bodies[-1] or b"")
-            if held >= BATCH_BYTES or start + len(bodies) == b.num_rows:
-                part = b.slice(start, len(bodies))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bodies, pa.binary())], names=["page_id", "content_type", "body"])
-                start, bodies, held = start + len(bodies), [], 0
+    picked = pages.select((F.col("raw_gzip") if raw is None else raw).alias("__raw"), *keep)
+
+    def run(batches):
+        for b in batches:
+            start, bodies, held = 0, [], 0
+            for x in b.column(0).to_pylist():
+                bodies.append(gunzip(x))
+                held += len(bodies[-1] or b"")
+                if held >= BATCH_BYTES or start + len(bodies) == b.num_rows:
+                    part = b.slice(start, len(bodies))
+                    yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(bodies, pa.binary())], names=[*keep, "body"])
+                    start, bodies, held = start + len(bodies), [], 0
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[1:])
+    return picked.mapInArrow(run, f"{kinds}, body binary")
 
 
 def routed_pages(pages: DataFrame) -> DataFrame:
     """(page_id, type, route) of each page; only bodies that the route depends on are decompressed."""
     ct = F.col("content_type")
-    needed = F.when(content.asks_body(ct), F.col("raw_gzip"))
-    rows = pages.select("page_id", "content_type", needed.alias("raw")).mapInArrow(_with_bodies, "page_id long, content_type string, body binary")
+    rows = with_bodies(pages, ["page_id", "content_type"], F.when(content.asks_body(ct), F.col("raw_gzip")))
     return rows.select("page_id", content.display_type(ct).alias("type"), content.route(ct, F.col("body")).alias("route"))
 
 
