@@ -330,9 +330,17 @@ case when z < 1024 then z || ' B' when z < 1048576 then printf('%.1f KiB', z / 1
 
 
 def rate_limit(spark: SparkSession, d: str) -> DataFrame:
+    """Ten calls of an event type in eight seconds, an event every tenth of a second, with a pause of nine seconds after each thousand."""
     calls = table(spark, d, "events")
-    out = stateful.rate_limited(calls, F.col("event_type"), F.col("event_id") * 100, F.col("event_id"), 10, 8000)
-    return out.select(F.col("id").alias("event_id"), "allowed")
+    at = F.col("event_id") * 100 + F.floor(F.col("event_id") / 1000) * 9000
+    return stateful.rate_limited(calls, F.col("event_type"), at, F.col("event_id"), 10, 8000).select(F.col("id").alias("event_id"), "allowed")
+
+
+RATE_LIMIT = """with recursive e as (select event_id, event_type as k, event_id * 100 + event_id // 1000 * 9000 as ms, row_number() over (partition by event_type order by event_id) as n from events),
+w as (select event_id, k, n, true as allowed, [ms] as used from e where n = 1
+union all select e.event_id, e.k, e.n, len(list_filter(w.used, lambda u: u + 8000 > e.ms)) < 10, case when len(list_filter(w.used, lambda u: u + 8000 > e.ms)) < 10 then list_append(list_filter(w.used, lambda u: u + 8000 > e.ms), e.ms) else w.used end
+from w join e on e.k = w.k and e.n = w.n + 1)
+select event_id, allowed from w"""
 
 
 def lru_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -340,6 +348,32 @@ def lru_hits(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("id").alias("event_id"), "outcome")
 
 
+# a read hits if fewer than eight other entries were read since the entry's last read
+LRU_HITS = """with e as (select event_id, event_type as k, user_id, row_number() over (partition by event_type order by event_id) as n from events), p as (select *, lag(n) over (partition by k, user_id order by n) as prev from e),
+x as (select p.event_id, count(distinct m.user_id) as others from p join e m on m.k = p.k and m.n > p.prev and m.n < p.n group by p.event_id)
+select p.event_id, case when p.prev is not null and coalesce(x.others, 0) < 8 then 'hit' else 'miss' end as outcome from p left join x on p.event_id = x.event_id"""
+
+
+def ttl_hits(spark: SparkSession, d: str) -> DataFrame:
+    """Reads of a cache that never fills, whose entries expire three thousand events after they were stored."""
+    out = stateful.cache_hits(table(spark, d, "events"), F.col("event_type"), F.col("event_id"), F.col("event_id"), F.col("user_id").cast("string"), 1 << 30, 3000)
+    return out.select(F.col("id").alias("event_id"), "outcome")
+
+
+TTL_HITS = """with recursive e as (select event_id, event_type as k, user_id as u, row_number() over (partition by event_type, user_id order by event_id) as n from events),
+w as (select event_id, k, u, n, 'miss' as outcome, event_id as stored from e where n = 1
+union all select e.event_id, e.k, e.u, e.n, case when e.event_id - w.stored > 3000 then 'expired' else 'hit' end, case when e.event_id - w.stored > 3000 then e.event_id else w.stored end from w join e on e.k = w.k and e.u = w.u and e.n = w.n + 1)
+select event_id, outcome from w"""
+
+
+def cache_trace(spark: SparkSession, d: str) -> DataFrame:
+    """A cache bounded by entries, bytes and age for each event type, with refreshes, listings and clearings among its reads. No SQL: each outcome depends on all before it."""
+    n = F.col("event_id")
+    op = F.when(n % 997 == 0, "clear").when(n % 101 == 0, "list").when(n % 37 == 0, "refresh")
+    out = stateful.cache_hits(table(spark, d, "events"), F.col("event_type"), n * 1000, n, F.col("user_id").cast("string"), 32, 600_000, n * 7919 % 5000, 64_000, op)
+    return out.select(F.col("id").alias("event_id"), "outcome")
+
+
 def session_cwd(spark: SparkSession, d: str) -> DataFrame:
     e = stateful.as_of(table(spark, d, "events"), "user_id", ["event_id"], F.col("event_type") == "signup", F.when(F.col("event_id") % 2 == 0, "").otherwise(F.concat(F.lit("/w/"), F.col("event_id").cast("string"))))
     return e.select("event_id", F.coalesce(F.when(F.col("current") != "", F.col("current")), F.lit("/host")).alias("cwd"))
@@ -436,5 +470,5 @@ def reference_queries() -> dict:
         "links_format": (links_format, LINKS_FORMAT), "link_fanout": (link_fanout, LINK_FANOUT), "images_harvest": (images_harvest, IMAGES_HARVEST), "cache_key_dedupe": (cache_key_dedupe, CACHE_DEDUPE),
         "content_route": (content_route, None), "type_route": (type_route, TYPE_ROUTE), "images_format": (images_format, IMAGES_FORMAT), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "address_admission": (address_admission, None), "image_scale": (image_scale, IMAGE_SCALE),
         "save_paths": (save_paths, SAVE_PATHS), "attribute_urls": (attribute_urls, ATTRIBUTE_URLS), "page_size": (page_size, PAGE_SIZE), "cache_list": (cache_list, CACHE_LIST), "raw_bytes": (raw_bytes, None),
-        "rate_limit": (rate_limit, None), "lru_hits": (lru_hits, None), "session_cwd": (session_cwd, SESSION_CWD),
+        "rate_limit": (rate_limit, RATE_LIMIT), "lru_hits": (lru_hits, LRU_HITS), "ttl_hits": (ttl_hits, TTL_HITS), "cache_trace": (cache_trace, None), "session_cwd": (session_cwd, SESSION_CWD),
     }

@@ -33,3 +33,30 @@ def test_cache(spark):
             cache = [x for x in cache if x[0] != e] + [old if fresh else [e, t]]
             cache = cache[-capacity:]
         assert got == want
+
+
+def test_idle_gaps_cut_keys(spark):
+    """Segments begin where a key was idle long enough, wherever that is in the buckets of time, and nowhere else."""
+    rows = [(k, t, i) for k in ("a", None) for i, t in enumerate([0, 50, 99, 200, 6500, 6501, 6700, 6750, 13_000, 13_099, 13_198, 20_000])]
+    df = spark.createDataFrame(rows, "key string, at long, id long")
+    got = {(r.key, r.at): r.segment for r in stateful.idle_segments(df, 100).collect()}
+    for k in ("a", None):
+        segments = [got[k, t] for t in (0, 50, 99, 200, 6500, 6501, 6700, 6750, 13_000, 13_099, 13_198, 20_000)]
+        # a bucket is cut at its first gap only
+        assert segments == [None, None, None, 200, 6500, 6500, 6500, 6500, 13_000, 13_000, 13_000, 20_000]
+
+
+def test_bytes_and_operations(spark):
+    ops = [("read", "a", 40), ("read", "b", 40), ("read", "a", 0), ("read", "c", 40), ("read", "b", 1), ("list", None, 0), ("read", "big", 500), ("list", None, 0), ("read", "a", 10), ("refresh", "a", 20), ("list", None, 0), ("clear", None, 0), ("read", "a", 1), (None, "a", 1)]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(ops)], "i long, op string, e string, z long")
+    got = [r.outcome for r in sorted(stateful.cache_hits(df, F.lit("s"), F.col("i"), F.col("i"), F.col("e"), 8, 0, F.col("z"), 100, F.col("op")).collect(), key=lambda r: r.id)]
+    assert got == ["miss", "miss", "hit", "miss", "miss", "3 entries, 81 bytes", "miss", "1 entries, 500 bytes", "miss", "refresh", "1 entries, 20 bytes", "cleared 1", "miss", "hit"]
+    off = stateful.cache_hits(df, F.lit("s"), F.col("i"), F.col("i"), F.col("e"), 0)
+    assert {r.outcome for r in off.collect()} == {"miss"}
+
+
+def test_load_through(spark):
+    cached = spark.createDataFrame([("k", 100, "old"), ("k", 200, "new"), ("stale", 1, "x")], "cache_key string, at long, title string").select("cache_key", F.timestamp_seconds("at").alias("stored"), "title")
+    asked = spark.createDataFrame([(1, "k", None), (2, "k", "browser"), (3, "stale", ""), (4, "none", None), (5, "k", None)], "request_id long, cache_key string, user_agent string")
+    hits, misses = stateful.load_through(asked, cached, F.timestamp_seconds(F.lit(700)), 600)
+    assert sorted((r.request_id, r.page.title) for r in hits.collect()) == [(1, "new"), (5, "new")] and sorted(r.request_id for r in misses.collect()) == [2, 3, 4]
