@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagemill.operators.timestamps import found_instants
 from pagemill.plans.documents import document_queries
+from pagemill.plans.exchange import exchange_queries
 from pagemill.plans.reference import reference_queries
 from pagemill.session import table
 
@@ -20,4 +21,4 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def core_queries() -> dict[str, tuple[Query, str | None]]:
-    return {"p1_found": (p1_found, None), **reference_queries(), **document_queries()}
+    return {"p1_found": (p1_found, None), **reference_queries(), **document_queries(), **exchange_queries()}

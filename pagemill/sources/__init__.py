@@ -1 +1 @@
-"""See the modules of this package."""
+"""Where rows come from beside tables: fetched pages (http), search backends (backends), settings (settings), host frames (frames)."""
