@@ -11,6 +11,9 @@ cut as the overlap asks for.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -57,7 +60,7 @@ def rolling_hash(ids: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(32))
 
 
-def cuts(n: int, limit: int, overlap: int, marks: np.ndarray, by_level: list[np.ndarray]) -> list[tuple[int, int]]:
+def cuts(n: int, limit: int, overlap: int, marks: Sequence[int], by_level: list[Sequence[int]]) -> list[tuple[int, int]]:
     """The ends of the pieces of a text of ``n`` tokens, with their levels.
 
     ``marks`` and ``by_level`` (the positions of each level) are sorted and relative
@@ -69,16 +72,17 @@ def cuts(n: int, limit: int, overlap: int, marks: np.ndarray, by_level: list[np.
     out, at = [], 0
     while n - at > longest:
         lo, hi = at + shortest, at + longest
-        k = int(marks.searchsorted(lo))
-        target = int(marks[k]) if k < len(marks) and marks[k] <= hi else hi
+        k = bisect_left(marks, lo)
+        target = marks[k] if k < len(marks) and marks[k] <= hi else hi
         best, level = None, 0
         for lv in range(len(LEVELS) - 1, 0, -1):
             reach = REACH[lv] * room
             own = by_level[lv]
-            k = int(own.searchsorted(target))
-            near = [int(p) for p in own[max(0, k - 1) : k + 1] if lo <= p <= hi and abs(p - target) <= reach]
-            if near:
-                best, level = min(near, key=lambda p: (abs(p - target), p)), lv
+            k = bisect_left(own, target)
+            below = own[k - 1] if k > 0 and own[k - 1] >= lo and target - own[k - 1] <= reach else None
+            above = own[k] if k < len(own) and own[k] <= hi and own[k] - target <= reach else None
+            if below is not None or above is not None:
+                best, level = below if above is None or below is not None and target - below <= above - target else above, lv
                 break
         at = target if best is None else best
         out.append((at, level))
@@ -100,14 +104,14 @@ def _split(specs: list[tuple[int, int, int]], path: str):
                 joined, piece_ends = bytes_of(own, path)
                 data, byte_at = joined.tobytes(), np.concatenate(([0], piece_ends))
                 level = boundary_levels(joined, byte_at[:-1])
-                by_level = [np.flatnonzero(level == lv) for lv in range(len(LEVELS))]
+                by_level = [np.flatnonzero(level == lv).tolist() for lv in range(len(LEVELS))]
                 h = rolling_hash(own)
                 for spec, limit, overlap in specs:
                     if sizes[i] <= limit:
                         continue
                     every = max(2, (limit - overlap) // 8)
                     start = 0
-                    for no, (end, lv) in enumerate(cuts(len(own), limit, overlap, np.flatnonzero(h % np.uint64(every) == 0), by_level)):
+                    for no, (end, lv) in enumerate(cuts(len(own), limit, overlap, np.flatnonzero(h % np.uint64(every) == 0).tolist(), by_level)):
                         text = data[byte_at[start] : byte_at[end]].decode("utf-8", "replace")
                         for col, v in zip(cols, (spec, b.keys[i], no, start, end, end - start, LEVELS[lv], text)):
                             col.append(v)
