@@ -33,6 +33,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,8 +135,8 @@ def page_lines(text: str, is_html: bool) -> list[Line]:
             heading = raw.startswith("# ")
             code = fenced or raw.startswith(("    ", "\t"))
             held = fenced or raw.startswith(("|", "    ", "\t", ">", "[image:", "!["))
-            shown = _LINK.sub(r"\1", raw)
-            shown = _MARK.sub("", shown) if not fenced else shown
+            shown = _LINK.sub(r"\1", raw) if "](" in raw else raw
+            shown = _MARK.sub("", shown) if not fenced and not raw[:1].isalpha() else shown
             if _RULE.match(shown):
                 continue
         shown = _SPACE.sub(" ", shown).strip()
@@ -188,9 +189,8 @@ def core_text(text: str) -> str:
 
 def hash_of(token: str) -> int:
     """A token as a signed 64-bit number: what is compared and kept of it."""
-    import xxhash
-
-    return int.from_bytes(xxhash.xxh64_digest(token.encode("utf-8", "surrogatepass")), "big", signed=True)
+    h = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >> 63 else h
 
 
 #: Bits of a line and of a token's places on a page.
