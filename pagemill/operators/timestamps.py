@@ -39,8 +39,8 @@ RFC822_ZONES = {"UT": 0, "GMT": 0, "Z": 0, "EST": -300, "EDT": -240, "CST": -360
 _DAY = r"(?P<d>\d{1,2})"
 _NAME = r"(?P<mon>[^\W\d_]{3,12})\.?"
 _WEEKDAY = r"(?:[^\W\d_]{2,12}\.?,? )?"
-_TIME = r"(?P<H>\d{1,2}):(?P<M>\d{2})(?::(?P<S>\d{2})(?:[.,]\d+)?)?"
-_TIME2 = r"(?P<H>\d{2}):(?P<M>\d{2})(?::(?P<S>\d{2})(?:[.,]\d+)?)?"
+_TIME = r"(?P<H>\d{1,2}):(?P<M>\d{2})(?::(?P<S>\d{2})(?:[.,](?P<frac>\d+))?)?"
+_TIME2 = r"(?P<H>\d{2}):(?P<M>\d{2})(?::(?P<S>\d{2})(?:[.,](?P<frac>\d+))?)?"
 _AMPM = r" ?(?P<ap>[ap])\.?m\.?"
 _OFFSET = r"(?P<sign>[+\-−])(?P<oh>\d{1,2})(?::?(?P<om>\d{2}))?"
 _ISO_ZONE = rf"(?: ?(?:(?P<zulu>z)|{_OFFSET}))?(?: ?\[(?P<beside>[^\]]+)\]| (?P<region>[a-z_]+(?:/[a-z_+\-0-9]+)+)| (?P<abbr>[a-z]{{2,5}}))?"
@@ -48,9 +48,9 @@ _MAIL_ZONE = rf"(?: (?:(?:(?:gmt|utc|ut)(?=[+\-−]))?{_OFFSET}|(?P<region>[a-z_
 
 #: The branches, most specific first. Stamps reach them trimmed, with inner white space as single spaces.
 _BRANCHES = (
-    r"(?P<epoch>\d{10,17})(?:\.\d*)?",
+    r"(?P<epoch>\d{10,19})(?:\.(?P<frac>\d*))?",
     rf"(?P<y>\d{{4}})(?P<sep>[-/])(?P<m>\d{{1,2}})(?P=sep)(?P<d>\d{{1,2}})(?:t| |, | at ){_TIME}{_ISO_ZONE}",
-    rf"(?P<y>\d{{4}})(?P<m>\d{{2}})(?P<d>\d{{2}})[t ](?P<H>\d{{2}}):?(?P<M>\d{{2}})(?::?(?P<S>\d{{2}})(?:[.,]\d+)?)?{_ISO_ZONE}",
+    rf"(?P<y>\d{{4}})(?P<m>\d{{2}})(?P<d>\d{{2}})[t ](?P<H>\d{{2}}):?(?P<M>\d{{2}})(?::?(?P<S>\d{{2}})(?:[.,](?P<frac>\d+))?)?{_ISO_ZONE}",
     rf"(?P<y>\d{{4}})-?w(?P<week>\d{{2}})-?(?P<wd>\d)[t ]{_TIME2}{_ISO_ZONE}",
     rf"(?P<y>\d{{4}})-?(?P<yd>\d{{3}})[t ]{_TIME2}{_ISO_ZONE}",
     rf"{_WEEKDAY}{_DAY}[ \-]{_NAME}[ \-](?P<y>\d{{4}}|\d{{2}}),? {_TIME}{_MAIL_ZONE}",
@@ -137,8 +137,31 @@ def _local_instant(local: int, zone: str | None) -> int | None:
     return found
 
 
-def parse_stamp(stamp: str | None, tz_name: str | None = None, date_order: str | None = None, _re: list = []) -> int | None:
+def parse_stamp(stamp: str | None, tz_name: str | None = None, date_order: str | None = None) -> int | None:
     """The whole UTC second that one stamp denotes, or None if it doesn't denote exactly one."""
+    found = parse_instant(stamp, tz_name, date_order)
+    return None if found is None else found[0]
+
+
+def parse_instant(stamp: str | None, tz_name: str | None = None, date_order: str | None = None, extended: bool = False, _re: list = []) -> tuple[int, int] | None:
+    """(UTC second, nanoseconds) that one stamp denotes, or None if it doesn't denote exactly one. Digits beyond nanoseconds are cut off.
+
+    ``extended`` reads more: a leap second as the second after it, 24:00 as the next day's
+    midnight, bare numbers of nanoseconds, and two-digit years from 50 on as 19xx.
+    """
+    second = _second_of(stamp, tz_name, date_order, extended, _re)
+    if second is None:
+        return None
+    g = second[1]
+    nanos = int(((g["frac"] or "") + "0" * 9)[:9])
+    if g["epoch"]:
+        n = len(g["epoch"])
+        digits = 0 if n < 12 else 3 if n < 15 else 6 if n < 18 else 9
+        nanos = int((g["epoch"][n - digits :] + (g["frac"] or "") + "0" * 9)[:9])
+    return second[0], nanos
+
+
+def _second_of(stamp: str | None, tz_name: str | None, date_order: str | None, extended: bool, _re: list) -> tuple[int, dict] | None:
     if not stamp:
         return None
     if not _re:
@@ -149,15 +172,22 @@ def parse_stamp(stamp: str | None, tz_name: str | None = None, date_order: str |
     g = g.groupdict()
     if g["epoch"]:
         n = g["epoch"]
-        return int(n) // (1 if len(n) < 12 else 1_000 if len(n) < 15 else 1_000_000)
+        if len(n) > 17:
+            return (int(n) // 1_000_000_000, g) if extended else None
+        return int(n) // (1 if len(n) < 12 else 1_000 if len(n) < 15 else 1_000_000), g
     y = int(g["y"])
     if len(g["y"]) == 2:
-        y += 2000
+        y += 1900 if extended and y >= 50 else 2000
     hour, minute, second = int(g["H"]), int(g["M"]), int(g["S"] or 0)
     if g["ap"]:
         if not 1 <= hour <= 12:
             return None
         hour = hour % 12 + 12 * (g["ap"] in "pP")
+    later = 0
+    if extended and hour == 24 and minute == second == 0 and not int(g["frac"] or 0):
+        hour, later = 0, 86400
+    if extended and second == 60 and minute == 59:
+        second, later = 59, later + 1
     if hour > 23 or minute > 59 or second > 59:
         return None
     if g["yd"]:
@@ -188,6 +218,12 @@ def parse_stamp(stamp: str | None, tz_name: str | None = None, date_order: str |
             return None
         day = day_number(y, m, int(g["d"]))
     local = day * 86400 + hour * 3600 + minute * 60 + second
+    utc = _utc_of(local, g, tz_name)
+    return None if utc is None else (utc + later, g)
+
+
+def _utc_of(local: int, g: dict, tz_name: str | None) -> int | None:
+    """A local second in UTC by what the stamp says of its zone, else by its site's zone."""
     if g["zulu"]:
         return local
     if g["sign"]:
@@ -217,10 +253,26 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([*b.columns[3:], out], names=[*b.schema.names[3:], "utc_second"])
 
 
-def normalise_stamps(df: DataFrame, stamp: Column, tz_name: Column, date_order: Column, keep: list[Column]) -> DataFrame:
-    """The columns ``keep`` and ``utc_second`` (long, null where the stamp isn't one instant), a row for each row of ``df``."""
+def _instant_batches(extended: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [parse_instant(*x, extended) for x in zip(*(b.column(i).to_pylist() for i in range(3)))]
+            cols = [pa.array([f and f[0] for f in found], pa.int64()), pa.array([f and f[1] for f in found], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*b.columns[3:], *cols], names=[*b.schema.names[3:], "utc_second", "nanos"])
+
+    return run
+
+
+def normalise_stamps(df: DataFrame, stamp: Column, tz_name: Column, date_order: Column, keep: list[Column], fractions: bool = False, extended: bool = False) -> DataFrame:
+    """The columns ``keep`` and ``utc_second`` (long, null where the stamp isn't one instant), a row for each row of ``df``.
+
+    With ``fractions`` there is ``nanos`` (int), too; ``extended`` is that of ``parse_instant``.
+    """
     picked = df.select(stamp.cast("string").alias("__stamp"), tz_name.cast("string").alias("__zone"), date_order.cast("string").alias("__order"), *keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[3:])
+    if fractions or extended:
+        found = picked.mapInArrow(_instant_batches(extended), f"{schema}, utc_second long, nanos int")
+        return found if fractions else found.drop("nanos")
     return picked.mapInArrow(_parse_batches, f"{schema}, utc_second long")
 
 

@@ -66,6 +66,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Tables that ``stored`` has written from this driver.
+_written: list[str] = []
+
+
+def drop_stored(spark: SparkSession) -> int:
+    """Deletes the tables that ``stored`` has written; for when no result that was built on them is read any more. How many there were."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_written)
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a Parquet table in the checkpoint folder and read from there.
 
@@ -79,5 +93,6 @@ def stored(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="pagemill-stored-")
     path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

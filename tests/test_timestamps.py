@@ -7,6 +7,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from pagemill.operators import timestamps as ts
 from pagemill.operators.timestamps import day_number, found_instants, parse_stamp
 
 
@@ -98,3 +101,21 @@ def test_tables(spark):
     got = {tuple(r) for r in found_instants(results, rss, atom, sites).collect()}
     assert got == {("result.published", 1, 1716564434), ("result.published", None, 1712328214), ("rss.pub_date", 7, 1716512400)}
     assert found_instants(results.limit(0), rss.limit(0), atom, sites.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("stamp", "plain", "extended"),
+    [
+        ("2024-05-06T07:08:09.123456789123Z", (1714979289, 123456789), (1714979289, 123456789)), ("1714979289.5", (1714979289, 500_000_000), (1714979289, 500_000_000)), ("1714979289123.25", (1714979289, 123_250_000), (1714979289, 123_250_000)),
+        ("1714979289123456", (1714979289, 123_456_000), (1714979289, 123_456_000)), ("1714979289123456789", None, (1714979289, 123_456_789)), ("2016-12-31T23:59:60Z", None, (1483228800, 0)), ("2024-05-06T24:00Z", None, (1715040000, 0)),
+        ("2024-05-06T24:00:01Z", None, None), ("Sun, 06 Nov 94 08:49:37 GMT", (utc(2094, 11, 6, 8, 49, 37), 0), (784111777, 0)), ("Sun, 06 Nov 24 08:49:37 GMT", (1730882977, 0), (1730882977, 0)),
+    ],
+)
+def test_instants(stamp, plain, extended):
+    assert ts.parse_instant(stamp) == plain and ts.parse_instant(stamp, extended=True) == extended
+
+
+def test_fractions(spark):
+    df = spark.createDataFrame([(1, "2024-05-06T07:08:09.5Z"), (2, None), (3, "no date")], "i long, s string")
+    got = ts.normalise_stamps(df, F.col("s"), F.lit(None), F.lit(None), [F.col("i")], fractions=True).collect()
+    assert [tuple(r) for r in sorted(got)] == [(1, 1714979289, 500_000_000), (2, None, None), (3, None, None)]
