@@ -104,14 +104,13 @@ _DAY = re.compile(r"\d{4}-\d\d-\d\d")
 def feed_date(stamp: str) -> str:
     """The day as written (in the stamp's own zone) of the layouts that feeds use, else the stamp on one line."""
     stamp = trim(stamp)
-    m = _RFC3339.fullmatch(stamp)
-    if m and int(m[2]) < 24 and int(m[3]) < 60 and int(m[4]) < 60 and (m[5] is None or int(m[5]) <= 24 and int(m[6]) < 60):
-        stamp = m[1]
+    m, mail = _RFC3339.fullmatch(stamp), _MAIL.fullmatch(stamp)
+    sound = m is not None and int(m[2]) < 24 and int(m[3]) < 60 and int(m[4]) < 60 and (m[5] is None or int(m[5]) < 24 and int(m[6]) < 60)
     try:
-        if _DAY.fullmatch(stamp):
-            return date.fromisoformat(stamp).isoformat()
-        if (m := _MAIL.fullmatch(stamp)) and m[2].lower() in _MONTHS:
-            return date(int(m[3]), _MONTHS.index(m[2].lower()) + 1, int(m[1])).isoformat()
+        if sound or _DAY.fullmatch(stamp):
+            return date.fromisoformat(stamp[:10]).isoformat()
+        if mail and mail[2].lower() in _MONTHS:
+            return date(int(mail[3]), _MONTHS.index(mail[2].lower()) + 1, int(mail[1])).isoformat()
     except ValueError:
         pass
     return one_line(stamp)

@@ -125,6 +125,11 @@ def test_feeds():
     assert "101 entries (showing the first 100):" in feeds.listing(many) and "**99**" in feeds.listing(many) and "**100**" not in feeds.listing(many)
 
 
+@pytest.mark.parametrize(("stamp", "want"), [("2023-02-30T10:00:00Z", "2023-02-30T10:00:00Z"), ("2023-02-28T24:00:00Z", "2023-02-28T24:00:00Z"), (" 2023-02-28T23:00:00.5+02:00 ", "2023-02-28"), ("Fri, 31 feb 2023 10:00:00 GMT", "Fri, 31 feb 2023 10:00:00 GMT"), ("fri, 3 FEB 2023  10:00:00 +0200", "2023-02-03"), ("last\n week", "last week")])
+def test_feed_dates(stamp, want):
+    assert feeds.feed_date(stamp) == want
+
+
 def _pdf(stream: bytes, flate: bool, extra: bytes = b"") -> bytes:
     data = zlib.compress(stream) if flate else stream
     return (
