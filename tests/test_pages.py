@@ -4,7 +4,6 @@ import gzip
 import hashlib
 import zlib
 
-from pagemill.llm.boilerplate import page_text
 from pagemill.operators import pages
 from pagemill.plans.reference import content_route
 
@@ -39,4 +38,3 @@ def test_bodies_of_several_members(spark):
     want = (len(whole), hashlib.md5(whole).hexdigest())
     assert [got[i] for i in range(1, 7)] == [want] * 4 + [(None, None)] * 2
     assert len(parts[0]) <= got[7][0] < len(whole)
-    assert page_text(None, raw, "text/html; charset=utf-8") == (whole.decode(), True)
