@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.documents.charset import decode
 from pagemill.llm.lookalikes import clean, prototype
 from pagemill.operators.pages import gunzip
 from pagemill.session import BROADCAST_LIMIT, bounded_broadcast, stored
@@ -70,7 +71,6 @@ _DIGITS = re.compile(r"\d+")
 _LABEL = re.compile(r"^([^:：|›»]{1,28}?\S)\s?[:：](?=\s|[^\x00-\x7f])")
 _TRAIL = re.compile(r"^([^›»/|]{1,30}?) [›»/] ")
 _NAME = re.compile(r"\b[A-Z][\w’']*")
-_CHARSET = re.compile(rb"charset\s*=\s*[\"']?([\w\-]+)", re.I)
 _STOP = re.compile(r"[.!?…](?=\s|$)|[。！？]")
 _H1 = re.compile(r"<h1\b", re.I)
 
@@ -95,14 +95,7 @@ def page_text(markdown: str | None, raw_gzip: bytes | None, content_type: str |
     body = gunzip(raw_gzip)
     if body is None:
         return None, True
-    m = _CHARSET.search((content_type or "").encode("utf-8", "replace")) or _CHARSET.search(body[:2048])
-    name = m[1].decode("ascii").lower() if m else "utf-8"
-    if name in ("iso-8859-1", "latin1", "ascii", "us-ascii"):
-        name = "cp1252"
-    try:
-        return body.decode(name, "replace"), True
-    except LookupError:
-        return body.decode("utf-8", "replace"), True
+    return decode(body, content_type), True
 
 
 def token_of(text: str) -> str:

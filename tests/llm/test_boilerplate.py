@@ -81,5 +81,10 @@ def test_lines():
     assert [x.no for x in bp.page_lines("<div>\n<script>\nvar a='<p>x</p>'\n</script>\n<p>shown</p>", True)] == [4]
 
 
+def test_bodies_of_several_members():
+    parts = [b"<html>one\n", b"", b"two\n" * 5000]
+    assert bp.page_text(None, b"".join(map(gzip.compress, parts)), "text/html; charset=utf-8") == (b"".join(parts).decode(), True)
+
+
 def test_empty(spark):
     assert bp.boilerplate_lines(spark.createDataFrame([], PAGES)).count() == 0
