@@ -23,7 +23,7 @@ def windows(pages: DataFrame, key: str, body: str, size: int = 20_000) -> DataFr
 
 
 def page_view(url: Column, final_url: Column, title: Column, ct: Column, body: Column, images: Column, inline: Column, capped: Column, truncated: Column, offset: int = 0, size: int = 20_000) -> Column:
-    """A page as text: header lines, one window of the body, and how to go on."""
+    """A page as text: header lines, one window of the body, and how to go on. The texts of the lines."""
     size = 20_000 if size <= 0 else size
     total = F.length(text(body))
     start = F.least(F.lit(max(offset, 0)), total)
@@ -48,6 +48,7 @@ def first_links(links: DataFrame) -> DataFrame:
     return links.where("url is not null").groupBy("page_id", "url").agg(F.min("pos").alias("pos"), F.min_by("text", F.struct("pos", "link_id")).alias("text"))
 
 
+# The texts of the listings of links and images.
 def _listing(count: Column, word: str, page: Column, limit: int, entries: Column) -> Column:
     note = F.when(count >= limit, CAPPED.format(limit)).otherwise("")
     full = F.concat(count.cast("string"), F.lit(f" {word}(s) on "), text(page), F.lit(":\n"), note, F.array_join(entries, ""))
@@ -192,7 +193,7 @@ def age(seconds: Column) -> Column:
 def cache_lines(sized: DataFrame, as_of: Column, scope: str = "host") -> DataFrame:
     """(scope, page_id, stored, line): a row for each cached page of each scope, and one with null ``page_id`` for the scope's head line.
 
-    A listing is the head, then the lines by ``stored``, latest first. Rows are never
+    Fixed values: the texts of the lines. A listing is the head, then the lines by ``stored``, latest first. Rows are never
     gathered, so a scope may have any number of pages. Times after ``as_of`` have no age.
     """
     seconds = F.greatest(F.unix_timestamp(as_of) - F.unix_timestamp(F.col("fetched_at").cast("timestamp")), F.lit(0))

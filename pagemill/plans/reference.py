@@ -315,6 +315,10 @@ def address_admission(spark: SparkSession, d: str) -> DataFrame:
     return found.select("event_id", "blocked", "allowed", (~F.col("blocked") | F.col("allowed")).alias("permitted"))
 
 
+ADDRESS_ADMISSION = """with e as (select event_id, event_id % 12 as k, event_id * 13 % 256 as q, event_id % 65536 as h from events),
+f as (select event_id, k in (1, 2, 3, 5, 6, 8, 10, 11) or k = 7 and h < 2 as blocked, k = 1 or k in (3, 8) and q < 128 as allowed from e) select event_id, blocked, allowed, not blocked or allowed as permitted from f"""
+
+
 def image_scale(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("event_id")
     w, h, size = (n * 37 % 9000).cast("int"), (n * 11 % 5000 + 1).cast("int"), (n * 4001 % 20_000_000).cast("long")
@@ -468,7 +472,7 @@ def reference_queries() -> dict:
         "search_topk": (search_topk, SEARCH_TOPK), "search_format": (search_format, SEARCH_FORMAT), "search_answers": (search_answers, SEARCH_ANSWERS), "iso_dates": (iso_dates, ISO_DATES), "feed_summary": (feed_summary, FEED_SUMMARY), "feed_page": (feed_page, FEED_PAGE), "atom_page": (atom_page, ATOM_PAGE),
         "page_title": (page_title, PAGE_TITLE), "cap_text": (cap_text, CAP_TEXT), "fetch_all_windows": (fetch_all_windows, WINDOWS), "fetch_window": (fetch_window, FETCH_WINDOW), "page_links": (page_links, PAGE_LINKS),
         "links_format": (links_format, LINKS_FORMAT), "link_fanout": (link_fanout, LINK_FANOUT), "images_harvest": (images_harvest, IMAGES_HARVEST), "cache_key_dedupe": (cache_key_dedupe, CACHE_DEDUPE),
-        "content_route": (content_route, None), "type_route": (type_route, TYPE_ROUTE), "images_format": (images_format, IMAGES_FORMAT), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "address_admission": (address_admission, None), "image_scale": (image_scale, IMAGE_SCALE),
+        "content_route": (content_route, None), "type_route": (type_route, TYPE_ROUTE), "images_format": (images_format, IMAGES_FORMAT), "status_hint": (status_hint, STATUS_HINT), "error_class": (error_class, ERROR_CLASS), "ipv4_blocked": (ipv4_blocked, IPV4_BLOCKED), "allow_list": (allow_list, ALLOW_LIST), "address_admission": (address_admission, ADDRESS_ADMISSION), "image_scale": (image_scale, IMAGE_SCALE),
         "save_paths": (save_paths, SAVE_PATHS), "attribute_urls": (attribute_urls, ATTRIBUTE_URLS), "page_size": (page_size, PAGE_SIZE), "cache_list": (cache_list, CACHE_LIST), "raw_bytes": (raw_bytes, None),
         "rate_limit": (rate_limit, RATE_LIMIT), "lru_hits": (lru_hits, LRU_HITS), "ttl_hits": (ttl_hits, TTL_HITS), "cache_trace": (cache_trace, None), "session_cwd": (session_cwd, SESSION_CWD),
     }
