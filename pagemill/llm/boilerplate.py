@@ -287,15 +287,12 @@ def classes(kept: DataFrame, rows: DataFrame, pages_of_host: DataFrame) -> DataF
     grouped = several.groupBy("host", "vector").agg(F.count("*").alias("size"), F.max("pages").alias("support"), F.max("of_host").alias("of_host"), F.bool_or((F.col("body") > 0) & ~outside).alias("paragraphs"))
     supported = grouped.where((F.col("support") >= SHARE * F.col("of_host")) & (~F.col("paragraphs") | (F.col("support") >= PARAGRAPHS * F.col("of_host"))))
     members = several.join(supported.select("host", "vector", "size"), ["host", "vector"]).select("host", "token", "vector", "size", "pages", (outside | (F.col("body") == 0)).alias("nested"), F.col("of_host"))
-    members = stored(members)
     large = members.where(F.col("size") >= CLASS_SIZE)
     placed = _occurrences(rows).join(large.select("host", "token", "vector"), ["host", "token"])
     sequence = placed.groupBy("host", "vector", "page").agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("first", "token")))["token"]).alias("sequence"))
     orders = sequence.groupBy("host", "vector", "sequence").agg(F.count("*").alias("n")).groupBy("host", "vector").agg((F.max("n") >= ORDERED * F.sum("n")).alias("ordered"))
-    judged = large.join(orders, ["host", "vector"]).select("host", "token", "pages", "of_host", "nested", "ordered")
-    small = members.where(F.col("size") < CLASS_SIZE).select("host", "token", "pages", "of_host", "nested", F.lit(False).alias("ordered"))
-    valid = F.col("ordered") | (F.col("nested") & (F.col("pages") >= PAGES)) | (F.col("pages") >= F.greatest(F.lit(float(PAGES)), PARAGRAPHS * F.col("of_host")))
-    return judged.unionByName(small).where(valid).select("host", "token")
+    valid = F.coalesce("ordered", F.lit(False)) | (F.col("nested") & (F.col("pages") >= PAGES)) | (F.col("pages") >= F.greatest(F.lit(float(PAGES)), PARAGRAPHS * F.col("of_host")))
+    return members.join(orders, ["host", "vector"], "left").where(valid).select("host", "token")
 
 
 def templates(rows: DataFrame, pages_of_host: DataFrame) -> DataFrame:
