@@ -248,7 +248,10 @@ class PairTable:
     character stands first; pairs, characters and words as sorted numbers, those of pairs and characters with counts."""
 
     def __init__(self, pairs: np.ndarray, pair_counts: np.ndarray, chars: np.ndarray, char_counts: np.ndarray, words: np.ndarray, texts: int, total: int):
-        self.pairs, self.pair_counts, self.chars, self.char_counts, self.words, self.texts, self.total = pairs, pair_counts, chars, char_counts, words, max(1, texts), max(1, total)
+        self.pairs, self.pair_counts, self.words, self.texts, self.total = pairs, pair_counts, words, max(1, texts), max(1, total)
+        self.chars, self.char_counts = chars, char_counts
+        self.firsts = np.zeros(0x110000, np.int64)
+        self.firsts[chars] = char_counts
         self.trust = max(2.0, RARE * self.texts)
         self.seen = max(SEEN_LEAST, SEEN * self.texts)
 
@@ -260,10 +263,14 @@ class PairTable:
         return np.where(keys[at] == wanted, counts[at], 0)
 
     def counts(self, p: np.ndarray) -> np.ndarray:
-        return self._look_up(self.pairs, self.pair_counts, _codes(p))
+        """The texts of each adjacent pair; 0 within ASCII, which isn't counted."""
+        out = np.zeros(max(0, len(p) - 1), np.int64)
+        odd = np.flatnonzero((p[:-1] > 127) | (p[1:] > 127))
+        out[odd] = self._look_up(self.pairs, self.pair_counts, (p[odd].astype(np.int64) << 21) | p[odd + 1].astype(np.int64))
+        return out
 
     def knows(self, c: str) -> bool:
-        return self._look_up(self.chars, self.char_counts, np.array([ord(c)]))[0] >= self.seen
+        return self.firsts[ord(c)] >= self.seen
 
     def knows_word(self, word: str) -> bool:
         key = word_key(word)
@@ -274,7 +281,7 @@ class PairTable:
         """The negative discounted mutual information of each adjacent pair; pairs within ASCII and
         pairs that many texts have count as probable at least slightly, lost and control characters never."""
         n = self.counts(p).astype(np.float64)
-        c = self._look_up(self.chars, self.char_counts, p.astype(np.int64)) + 1.0
+        c = self.firsts[p] + 1.0
         mutual = np.log((n + 0.01) * self.total / (c[:-1] * c[1:]))
         share = n / (n + self.trust)
         score = share * -np.clip(mutual, -UNKNOWN, UNKNOWN) + (1 - share) * UNKNOWN
