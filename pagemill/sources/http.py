@@ -19,10 +19,11 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from pagemill.documents.address import resolve
 from pagemill.functions.urls import BLOCKED_IPV4, BLOCKED_PORTS
-from pagemill.operators.admission import BLOCKED, BLOCKED_IPV6, AllowList
+from pagemill.operators.admission import BLOCKED, BLOCKED_IPV6, AllowList, parse_allow_list
 
 # Limits of one fetch, and what requests say they accept.
 MAX_BYTES, REDIRECTS, RETRY_AFTER = 2 << 20, 10, 1.0
@@ -216,3 +217,38 @@ def fetched_images(requests: DataFrame, keep: list[str], edge: int = 0, most: in
 
     kinds = ", ".join(f"`{k}` {dict(got.dtypes)[k]}" for k in keep)
     return got.mapInArrow(run, f"{kinds + ', ' if kinds else ''}final_url string, data binary, mime string, width int, height int, resized boolean, orig_w int, orig_h int, error string")
+
+
+class PageReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        self.urls = options.get("urls", "").split()
+        self.agent = options.get("user_agent")
+        self.most = int(options.get("max_bytes", MAX_BYTES))
+        self.allow = parse_allow_list(options.get("allow_local_hosts", "").split(","))
+        self.parts = max(1, min(int(options.get("concurrency", "4")), len(self.urls)))
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(k) for k in range(self.parts)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for url in self.urls[partition.value :: self.parts]:
+            row = fetch(url, self.agent, self.most, allow=self.allow)
+            yield (url, *(row[n] for n, _ in FIELDS))
+
+
+class PageSource(DataSource):
+    """``spark.read.format("webpages")`` after ``spark.dataSource.register(PageSource)``: a row for each of the addresses in the option ``urls``, parted by white space.
+
+    Other options: user_agent, max_bytes, allow_local_hosts (parted by commas), concurrency.
+    For addresses in a table there is ``fetched``.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "webpages"
+
+    def schema(self) -> str:
+        return f"url string, {SCHEMA}"
+
+    def reader(self, schema) -> PageReader:
+        return PageReader(self.options)

@@ -8,8 +8,9 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill import registry, sinks
+from pagemill import pipeline, registry, sinks
 from pagemill.operators.admission import AllowList, blocked_texts, parse_allow_list, permitted_targets
+from pagemill.operators.pages import gunzip
 from pagemill.sources import backends, frames, http as web
 from pagemill.sources.settings import Settings, load_settings
 
@@ -32,6 +33,9 @@ class Handler(http.server.BaseHTTPRequestHandler):
             status = 503 if sum(p == "/flaky" for p, _ in Handler.seen) == 1 else 200
         elif self.path.startswith("/status/"):
             status = int(self.path[8:])
+        elif self.path.startswith("/html"):
+            headers = {"Content-Type": "text/html"}
+            body = b"<html><head><title>T</title></head><body><article><p>The words of this page are enough to be its main content.</p><a href='/x'>X</a><img src='i.png' alt='A'></article></body></html>"
         elif self.path == "/large":
             body = b"x" * 5000
         self.send_response(status)
@@ -168,3 +172,28 @@ def test_said_of_saved(spark):
     assert row == "Saved unrendered source to a/b\nunknown type, 12 bytes (final: f)\n…source was capped at the fetch byte limit before saving"
     image = F.struct(F.lit("f").alias("final_url"), F.lit("image/png").alias("mime"), F.lit(3).alias("width"), F.lit(2).alias("height"), F.lit(b"x" * 1536).alias("data"), F.lit(True).alias("resized"), F.lit(6).alias("orig_w"), F.lit(4).alias("orig_h"))
     assert spark.range(1).select(sinks.image_text(F.lit("u"), image).alias("t")).first().t == "Fetched u (final: f)\nimage/png, 3×2, 1.5 KiB (resized from 6×4)"
+
+
+def test_page_source(spark, base):
+    spark.dataSource.register(web.PageSource)
+    rows = spark.read.format("webpages").option("urls", f"{base}/page {base}/status/404 http://10.0.0.1/").option("allow_local_hosts", "127.0.0.1").load().collect()
+    assert sorted((r.url[-5:], r.status, r.error[:8]) for r in rows) == [(".0.1/", None, "web_fetc"), ("/page", 200, ""), ("s/404", 404, "http 404")]
+
+
+def test_pipeline(spark, base):
+    now = F.timestamp_seconds(F.lit(1_000_000))
+    df = spark.createDataFrame([(1, f"{base}/html?utm_source=a", None), (2, f"{base}/html", None), (3, "ftp://x/", None), (4, f"{base}/status/404", None), (5, f"{base}/large", "browser")], "request_id long, url string, user_agent string")
+    Handler.seen.clear()
+    settings = Settings(fetch_max_bytes=4000)
+    pages, fresh = pipeline.load_pages(df, pipeline.empty_cache(df), now, settings, wait=lambda s: None)
+    texts = {r.request_id: r.text for r in pipeline.page_texts(pages, 60).collect()}
+    assert texts[1].startswith(f"# T\n{base}/html?utm_source=a\nFinal-URL: {base}/html") and "Images: 1 (shown as" in texts[1] and "more chars; continue with offset=60]" in texts[1]
+    assert texts[3] == 'web_fetch failed: unsupported scheme "ftp" (only http/https)' and "http 404" in texts[4] and texts[5].endswith("more chars; continue with offset=60]")
+    assert sorted(p for p, _ in Handler.seen) == ["/html", "/large", "/status/404"]  # one fetch for both addresses of a page
+    assert {(r.request_id, r.pos, r.url, r.text) for r in pipeline.page_links(pages).collect()} == {(k, 1, f"{base}/x", "X") for k in (1, 2)}
+    assert {(r.request_id, r.id, r.url, r.alt) for r in pipeline.page_images(pages).collect()} == {(k, 1, f"{base}/i.png", "A") for k in (1, 2)}
+    kept = fresh.collect()
+    assert sorted(r.body_truncated for r in kept) == [False, True] and all(gunzip(r.raw_gzip) for r in kept)
+    Handler.seen.clear()
+    again, none = pipeline.load_pages(df.where("request_id = 2"), fresh, now, settings)
+    assert again.collect()[0].title == "T" and none.count() == 0 and Handler.seen == []
