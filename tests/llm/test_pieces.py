@@ -61,3 +61,23 @@ def test_no_specs_and_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pieces.split_texts(df, F.col("doc_id"), F.col("text"), SPECS).count() == 0
     assert pieces.split_texts(df, F.col("doc_id"), F.col("text"), []).count() == 0
+
+
+def test_few_pieces_change(spark):
+    """Over many texts with two words inserted in the middle: all before the edit stay, and few pieces after it differ."""
+    texts = []
+    for seed in range(20):
+        words = prose(100 + seed, 1500).split(" ")
+        at = len(words) // 2
+        texts += [" ".join(words), " ".join([*words[:at], "inserted", "words", *words[at:]])]
+    of = {}
+    for r in rows(spark, texts):
+        of.setdefault((r.spec_id, r.doc_id), []).append(r.text)
+    for spec, _, _ in SPECS:
+        changed = []
+        for k in range(0, len(texts), 2):
+            a, b = of[spec, k], of[spec, k + 1]
+            same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+            tail = next((i for i, (x, y) in enumerate(zip(a[::-1], b[::-1])) if x != y), min(len(a), len(b)))
+            changed.append(max(0, len(a) - same - tail))
+        assert sorted(changed)[len(changed) // 2] <= 2 and sorted(changed)[int(0.8 * len(changed))] <= 5
