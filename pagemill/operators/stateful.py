@@ -167,7 +167,21 @@ def load_through(requests: DataFrame, cached: DataFrame, as_of: Column, ttl_s: i
     return hits, misses
 
 
-def as_of(events: DataFrame, scope: str, order: list[str], starts: Column, value: Column) -> DataFrame:
-    """``events`` with ``current``: the value of the scope's last starting event so far, '' included, null before any."""
-    w = Window.partitionBy(scope).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return events.withColumn("current", F.last(F.when(starts, F.struct(value.alias("v"))), ignorenulls=True).over(w)["v"])
+def as_of(events: DataFrame, scope: str, order: list[str], starts: Column, value: Column, bucket: Column | None = None) -> DataFrame:
+    """``events`` with ``current``: the value of the scope's last starting event so far, '' included, null before any.
+
+    ``bucket`` cuts a scope into groups of their own, so that a hot one is spread over
+    tasks: it must not decrease in the order. The last value of each bucket is carried to
+    those after it, which are few rows for a scope. It changes no row.
+    """
+    started = F.when(starts, F.struct(value.alias("v")))
+    so_far = lambda *by: F.last(started, ignorenulls=True).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    if bucket is None:
+        return events.withColumn("current", so_far(scope)["v"])
+    timed = events.withColumn("__b", bucket)
+    ends = timed.groupBy(F.col(scope).alias("__scope"), F.col("__b").alias("__of")).agg(F.max_by(started, F.when(starts, F.struct(*order))).alias("end"))
+    carried = F.last("end", ignorenulls=True).over(Window.partitionBy("__scope").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1))
+    before = ends.select("__scope", "__of", carried.alias("__before"))
+    own = timed.withColumn("__own", so_far(scope, "__b"))
+    joined = own.join(before, F.col(scope).eqNullSafe(F.col("__scope")) & F.col("__b").eqNullSafe(F.col("__of")))
+    return joined.withColumn("current", F.coalesce("__own", "__before")["v"]).drop("__b", "__own", "__scope", "__of", "__before")

@@ -379,7 +379,7 @@ def cache_trace(spark: SparkSession, d: str) -> DataFrame:
 
 
 def session_cwd(spark: SparkSession, d: str) -> DataFrame:
-    e = stateful.as_of(table(spark, d, "events"), "user_id", ["event_id"], F.col("event_type") == "signup", F.when(F.col("event_id") % 2 == 0, "").otherwise(F.concat(F.lit("/w/"), F.col("event_id").cast("string"))))
+    e = stateful.as_of(table(spark, d, "events"), "user_id", ["event_id"], F.col("event_type") == "signup", F.when(F.col("event_id") % 2 == 0, "").otherwise(F.concat(F.lit("/w/"), F.col("event_id").cast("string"))), F.floor(F.col("event_id") / 4096))
     return e.select("event_id", F.coalesce(F.when(F.col("current") != "", F.col("current")), F.lit("/host")).alias("cwd"))
 
 

@@ -60,3 +60,11 @@ def test_load_through(spark):
     asked = spark.createDataFrame([(1, "k", None), (2, "k", "browser"), (3, "stale", ""), (4, "none", None), (5, "k", None)], "request_id long, cache_key string, user_agent string")
     hits, misses = stateful.load_through(asked, cached, F.timestamp_seconds(F.lit(700)), 600)
     assert sorted((r.request_id, r.page.title) for r in hits.collect()) == [(1, "new"), (5, "new")] and sorted(r.request_id for r in misses.collect()) == [2, 3, 4]
+
+
+def test_as_of_in_buckets(spark):
+    rows = [(k, i, i % 7 == 3 and k != "none", None if i % 3 == 0 else f"v{i}") for k in ("a", "none", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, i long, s boolean, v string")
+    plain, cut = (sorted((str(r.k), r.i, str(r.current)) for r in stateful.as_of(df, "k", ["i"], F.col("s"), F.col("v"), b).collect()) for b in (None, F.floor(F.col("i") / 5)))
+    key = lambda r: r[:2]
+    assert sorted(plain, key=key) == sorted(cut, key=key) and len({r[2] for r in cut}) > 4
