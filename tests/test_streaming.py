@@ -43,3 +43,18 @@ def test_as_of(spark, calls, tmp_path):
     got = streamed(spark, calls, lambda s: keyed.as_of_stream(s, F.col("k"), F.col("t"), F.col("i"), F.col("s"), F.col("e")), tmp_path)
     key = lambda r: (r[0], r[1])
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_frames(spark, tmp_path):
+    """A host's lines as they come; what is no frame is left out."""
+    from pagemill.registry import default_registry
+    from pagemill.sources import frames
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"type":"tool_call","id":"1","name":"no"}\nnot json\n{"type":"shutdown"}\n{"type":"tool_call","id":"2","name":"web_fetch"}\n{"broken\n')
+    lines = spark.readStream.text(str(tmp_path / "in"))
+    read = frames.read_frames(lines, F.lit("c"), F.xxhash64("value"), F.col("value"))
+    out = str(tmp_path / "out")
+    frames.refusals(read, default_registry()).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    got = sorted(r.reply for r in spark.read.parquet(out).collect())
+    assert len(got) == 2 and got[0] == '{"type":"shutdown_ack"}' and 'no handler for tool \\"no\\"' in got[1]
