@@ -91,3 +91,15 @@ def test_pairs(spark):
     got = [tuple(r) for r in same_looking_pairs(df).collect()]
     assert set(got) == want and len(got) == len(want)
     assert same_looking_pairs(df.limit(0)).count() == 0
+
+
+def test_plans_agree(spark, monkeypatch):
+    """Whether tables are broadcast or shuffled changes no row."""
+    from pagemill.llm import lookalikes
+
+    texts = ["Home", "Ноme", "Home​", "the оld", "the old", "музей", "музeй", "жoрк", "жоpк", "ﬁle", "file", "été", None, ""] * 3
+    df = spark.createDataFrame([("f", i, t) for i, t in enumerate(texts)], "field_name string, rec_id long, text string")
+    rows = lambda: sorted(map(tuple, same_looking_pairs(df).collect()))
+    want = rows()
+    monkeypatch.setattr(lookalikes, "LOOK_LIMIT", 0)
+    assert rows() == want and len(want) > 20
