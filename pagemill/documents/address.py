@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from urllib.parse import quote
 
 from pagemill.documents.dom import trim
@@ -12,6 +13,7 @@ _BAD = re.compile("[\x00-\x1f\x7f]|%(?![0-9A-Fa-f]{2})")
 _SAFE_PATH = "!$&'()*+,;=:@/[]%~-._"
 
 
+@lru_cache(maxsize=10_000)
 def split(url: str) -> tuple[str, str | None, str, str | None, str | None] | None:
     """(scheme, authority, path, query, fragment), or None if ``url`` is no reference."""
     m = _PARTS.fullmatch(url)

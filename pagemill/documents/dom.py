@@ -51,10 +51,17 @@ class Node:
         while stack:
             n = stack.pop()
             yield n
-            stack.extend(reversed(n.children))
+            if n.children:
+                stack += n.children[::-1]
 
     def all(self, *tags: str) -> Iterator[Node]:
-        return (n for n in self.walk() if n.tag in tags and n is not self)
+        stack = self.children[::-1]
+        while stack:
+            n = stack.pop()
+            if n.tag in tags:
+                yield n
+            if n.children:
+                stack += n.children[::-1]
 
     def up(self, tag: str, levels: int) -> Node | None:
         n = self.parent
@@ -66,7 +73,14 @@ class Node:
 
     def words(self) -> str:
         """All text below the node."""
-        return "".join(n.text for n in self.walk() if n.tag is None)
+        out, stack = [], [self]
+        while stack:
+            n = stack.pop()
+            if n.tag is None:
+                out.append(n.text)
+            elif n.children:
+                stack += n.children[::-1]
+        return "".join(out)
 
     def replace(self, other: Node) -> None:
         if self.parent is not None:
@@ -158,6 +172,9 @@ _SPACE, _OUTER = re.compile(f"[{SPACE}]+"), re.compile(f"^[{SPACE}]+|[{SPACE}]+$
 
 def one_line(text: str) -> str:
     """White space collapsed and trimmed."""
+    # Python's own notion of white space has four control characters more
+    if "\x1c" not in text and "\x1d" not in text and "\x1e" not in text and "\x1f" not in text:
+        return " ".join(text.split())
     return _SPACE.sub(" ", text).strip(" ")
 
 

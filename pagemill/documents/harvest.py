@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import astuple, dataclass
 
 from pagemill.documents.address import image_target, link_target, path_of, resolve
@@ -16,6 +17,15 @@ PREVIEW_PROPERTIES = ("og:image", "og:image:url", "og:image:secure_url")
 PREVIEW_NAMES = ("twitter:image", "twitter:image:src")
 
 
+_MAY_BE_IMAGE = re.compile(r"\.(?:jpe?g|png|gif|webp|bmp|svg|avif)|%", re.I)
+#: What markup must hold somewhere for a document to name any image.
+_NAMES_IMAGES = re.compile(r"<img|<source|<noscript|image|data-b|" + _MAY_BE_IMAGE.pattern, re.I)
+
+
+def may_have_images(markup: str) -> bool:
+    return _NAMES_IMAGES.search(markup) is not None
+
+
 @dataclass(slots=True)
 class Image:
     id: int
@@ -129,7 +139,8 @@ def all_images(root: Node, base: str, limit: int = MAX_IMAGES) -> list[Image]:
         elif n.tag == "source":
             add(image_target(first_of_set(n.get("srcset")) or first_of_set(n.get("data-srcset")), base))
         elif n.tag == "a":
-            url = link_target(n.get("href"), base)
+            href = n.get("href")
+            url = link_target(href, base) if _MAY_BE_IMAGE.search(href) else ""
             if url and path_of(url).lower().endswith(IMAGE_ENDS):
                 add(url, Image(0, url, alt=one_line(n.words())))
         elif n.tag == "noscript":

@@ -55,6 +55,24 @@ def link_density(n: Node) -> float:
     return linked / total if total else 0.0
 
 
+def densities(root: Node) -> dict[int, float]:
+    """``link_density`` of every element below ``root`` by identity, from one pass over the tree; text nodes count without outer white space."""
+    order, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        order.append(n)
+        stack += n.children
+    total: dict[int, float] = {}
+    linked: dict[int, float] = {}
+    for n in reversed(order):
+        if n.tag is None:
+            total[id(n)], linked[id(n)] = len(one_line(n.text)), 0.0
+            continue
+        total[id(n)] = sum(total[id(c)] for c in n.children)
+        linked[id(n)] = total[id(n)] * (0.3 if n.get("href").startswith("#") else 1) if n.tag == "a" else sum(linked[id(c)] for c in n.children)
+    return {k: linked[k] / t if t else 0.0 for k, t in total.items()}
+
+
 def _paragraph_like(n: Node) -> bool:
     """A division without blocks of its own is a paragraph."""
     return n.tag == "div" and not any(c.tag in KINDS or c.tag in ("p", "table", "section", "figure", "ul", "ol", "dl") for c in n.children)
@@ -76,7 +94,8 @@ def scores(root: Node) -> dict[int, tuple[Node, float]]:
                 found[id(up)] = [up, KINDS.get(up.tag, 0) + _weight(up)]
             found[id(up)][1] += points / (1 if level == 0 else 2 if level == 1 else level * 3)
             up, level = up.parent, level + 1
-    return {k: (n, s * (1 - link_density(n))) for k, (n, s) in found.items()}
+    density = densities(root)
+    return {k: (n, s * (1 - density.get(k, density[id(root)]))) for k, (n, s) in found.items()}
 
 
 def _siblings(top: Node, scored: dict[int, tuple[Node, float]], best: float) -> Node:

@@ -26,6 +26,7 @@ NO_TEXT_LAYER = "[application/pdf content, {} bytes — no extractable text laye
 NOT_TEXT = "[{} content, {} bytes — not rendered as text]"
 PDF_HEAD = "[PDF document, {} pages — extracted text layer]\n\n"
 
+_HEADER_CELL = re.compile("<th", re.I)
 #: An image's mark in a tree that becomes Markdown; its first and last characters are for private use and stand on no page's own behalf.
 _MARK = re.compile("\ue0f0(\\d+)\ue0f1")
 
@@ -66,8 +67,8 @@ def _page(title: str = "", markdown: str = "", images: list | None = None, inlin
 def _html(text: str, base: str, inline_images: bool) -> dict:
     root = parse(text)
     links = harvest.links(root, base)
-    everywhere = [] if inline_images else harvest.all_images(root, base)
-    tables = table_section(root)
+    everywhere = harvest.all_images(root, base) if not inline_images and harvest.may_have_images(text) else []
+    tables = table_section(root) if _HEADER_CELL.search(text) else ""
     title, content = main_content(root)
     if content is None:
         return _page("", plain_of_markup(text), everywhere, False, links)
