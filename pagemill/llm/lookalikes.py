@@ -156,9 +156,9 @@ def odd_forms(odd: DataFrame, plain: DataFrame) -> DataFrame:
     words = lambda df, c: df.select(F.explode(F.regexp_extract_all(c, F.lit(r"(\p{L}[\p{L}\p{M}]*)"), 1)).alias("word"))
     tokens = cleaned.select(F.explode("mixed").alias("token")).distinct()
     candidates = stored(tokens.mapInArrow(_candidate_batches, "token string, word string, rank int"))
-    wanted = stored(candidates.select("word").distinct())
+    wanted = candidates.select("word").distinct()
     vocabulary = words(plain, "text").unionByName(words(cleaned, "cleaned"))
-    small = size_of(wanted) <= LOOK_LIMIT
+    small = size_of(candidates) <= LOOK_LIMIT
     # a large set of candidates meets the distinct words, not each word of each text
     known = vocabulary.join(F.broadcast(wanted), "word", "left_semi").distinct() if small else vocabulary.distinct().join(wanted, "word", "left_semi")
     vouched = candidates.join(known, "word").groupBy("token").agg(F.min_by("word", "rank").alias("word"))
@@ -198,13 +198,14 @@ def look_members(rows: DataFrame) -> DataFrame:
     forms = stored(odd_forms(odd, plain).select("text", "look"))
     members = stored(odd.join(bounded_broadcast(forms, LOOK_LIMIT), "text").select("field_name", "look", "rec_id", "text"))
     # a class needs a text that isn't plain, so plain rows matter only beside such a one
-    looks = stored(members.select("field_name", F.col("look").alias("text")).distinct())
-    beside = stored(plain.select("field_name", "text").join(bounded_broadcast(looks, LOOK_LIMIT), ["field_name", "text"], "left_semi").distinct())
+    looks = members.select("field_name", F.col("look").alias("text")).distinct()
+    within = (lambda df: F.broadcast(df)) if size_of(members) <= LOOK_LIMIT else (lambda df: df)  # both tables are no larger than the members
+    beside = stored(plain.select("field_name", "text").distinct().join(within(looks), ["field_name", "text"], "left_semi"))
     labelled = plain.join(bounded_broadcast(beside, LOOK_LIMIT), ["field_name", "text"], "left_semi").select("field_name", F.col("text").alias("look"), "rec_id", "text")
     every = members.unionByName(labelled)
     variants = members.select("field_name", "look", "text").unionByName(beside.select("field_name", F.col("text").alias("look"), "text"))
-    several = stored(variants.groupBy("field_name", "look").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("field_name", "look"))
-    return every.join(bounded_broadcast(several, LOOK_LIMIT), ["field_name", "look"], "left_semi")
+    several = variants.groupBy("field_name", "look").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("field_name", "look")
+    return every.join(within(several), ["field_name", "look"], "left_semi")
 
 
 def same_looking_pairs(rows: DataFrame) -> DataFrame:
