@@ -1,4 +1,4 @@
-"""Encoded images: kind, size, and scaling down of PNG images."""
+"""Encoded images: kind, size, and scaling down of PNG and GIF images."""
 
 from __future__ import annotations
 
@@ -172,6 +172,151 @@ def write_png(rgba: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 6, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + chunk(b"IEND", b"")
 
 
+def _lzw_decoded(data: bytes, least: int, wanted: int) -> bytes:
+    """Up to ``wanted`` colour indices of a GIF's compressed data, whose codes begin with ``least`` bits."""
+    clear, end = 1 << least, (1 << least) + 1
+    table: list[bytes] = []
+    width, out, size = least + 1, [], 0
+    last: bytes | None = None
+    held = bits = 0
+    for byte in data:
+        held |= byte << bits
+        bits += 8
+        while bits >= width:
+            code, held, bits = held & (1 << width) - 1, held >> width, bits - width
+            if code == clear:
+                table, width, last = [bytes([k]) for k in range(clear)] + [b"", b""], least + 1, None
+                continue
+            if code == end or size >= wanted:
+                return b"".join(out)[:wanted]
+            if last is None or code < len(table):
+                if code >= len(table):
+                    raise ValueError("GIF data is broken")
+                entry = table[code]
+            elif code == len(table):
+                entry = last + last[:1]
+            else:
+                raise ValueError("GIF data is broken")
+            out.append(entry)
+            size += len(entry)
+            if last is not None and len(table) < 4096:
+                table.append(last + entry[:1])
+                if len(table) == 1 << width and width < 12:
+                    width += 1
+            last = entry
+    return b"".join(out)[:wanted]
+
+
+def _lzw_encoded(indices: bytes, least: int) -> bytes:
+    clear, end = 1 << least, (1 << least) + 1
+    out, held, bits, width = bytearray(), 0, 0, least + 1
+
+    def put(code: int) -> None:
+        nonlocal held, bits
+        held |= code << bits
+        bits += width
+        while bits >= 8:
+            out.append(held & 255)
+            held >>= 8
+            bits -= 8
+
+    table: dict[tuple[int, int], int] = {}
+    put(clear)
+    run = indices[0]
+    for k in indices[1:]:
+        code = table.get((run, k))
+        if code is not None:
+            run = code
+            continue
+        put(run)
+        if len(table) + end + 1 < 4096:
+            table[run, k] = len(table) + end + 1
+            if len(table) + end == 1 << width and width < 12:
+                width += 1
+        else:
+            put(clear)
+            table, width = {}, least + 1
+        run = k
+    put(run)
+    put(end)
+    if bits:
+        out.append(held & 255)
+    return bytes(out)
+
+
+def _blocks(body: bytes, at: int) -> tuple[bytes, int]:
+    """The data of length-prefixed blocks from a place on, and the place after them."""
+    parts = []
+    while at < len(body) and body[at]:
+        parts.append(body[at + 1 : at + 1 + body[at]])
+        at += 1 + body[at]
+    return b"".join(parts), at + 1
+
+
+def read_gif(body: bytes) -> np.ndarray:
+    """The first picture on its canvas, as ``read_png`` gives it; ValueError for what isn't a GIF."""
+    if body[:6] not in (b"GIF87a", b"GIF89a") or len(body) < 13:
+        raise ValueError("no GIF that can be read")
+    w, h, flags = struct.unpack("<HHB", body[6:11])
+    if size_error(w, h):
+        raise ValueError(size_error(w, h))
+    at, colours, clear = 13, None, None
+    if flags & 0x80:
+        n = 3 << (flags & 7) + 1
+        colours, at = np.frombuffer(body[at : at + n], np.uint8), at + n
+    while at + 1 < len(body):
+        if body[at] == 0x21:
+            if body[at + 1] == 0xF9 and len(body) > at + 6 and body[at + 3] & 1:
+                clear = body[at + 6]
+            _, at = _blocks(body, at + 2)
+        elif body[at] == 0x2C and len(body) > at + 10:
+            x, y, pw, ph, own = struct.unpack("<HHHHB", body[at + 1 : at + 10])
+            at += 10
+            if own & 0x80:
+                n = 3 << (own & 7) + 1
+                colours, at = np.frombuffer(body[at : at + n], np.uint8), at + n
+            if colours is None or x + pw > w or y + ph > h or at >= len(body) or not 2 <= body[at] <= 8:
+                raise ValueError("GIF is broken")
+            data, _ = _blocks(body, at + 1)
+            flat = np.frombuffer(_lzw_decoded(data, body[at], pw * ph), np.uint8)
+            if len(flat) < pw * ph:
+                raise ValueError("GIF is cut off")
+            part = flat.reshape(ph, pw)
+            if own & 0x40:
+                order = [*range(0, ph, 8), *range(4, ph, 8), *range(2, ph, 4), *range(1, ph, 2)]
+                part = part[np.argsort(order)]
+            palette = np.zeros((256, 4), np.uint8)
+            palette[: len(colours) // 3, :3] = colours[: len(colours) // 3 * 3].reshape(-1, 3)
+            palette[:, 3] = 255
+            if clear is not None:
+                palette[clear] = 0
+            out = np.zeros((h, w, 4), np.uint8)
+            out[y : y + ph, x : x + pw] = palette[part]
+            return out
+        else:
+            break
+    raise ValueError("GIF without a picture")
+
+
+#: Levels of red, green and blue in the palette of written GIFs; the last entry is clear.
+_LEVELS = (6, 7, 6)
+
+
+def write_gif(rgba: np.ndarray) -> bytes:
+    """One picture in a fixed palette of evenly spread colours; what is less than half opaque is clear."""
+    h, w = rgba.shape[:2]
+    step = [np.rint(np.arange(n) * 255 / (n - 1)).astype(np.uint8) for n in _LEVELS]
+    palette = np.zeros((256, 3), np.uint8)
+    grid = np.stack(np.meshgrid(*step, indexing="ij"), axis=-1).reshape(-1, 3)
+    palette[: len(grid)] = grid
+    r, g, b = (np.rint(rgba[..., c] * ((n - 1) / 255)).astype(np.int64) for c, n in enumerate(_LEVELS))
+    index = np.where(rgba[..., 3] < 128, 255, (r * _LEVELS[1] + g) * _LEVELS[2] + b).astype(np.uint8)
+    data = _lzw_encoded(index.tobytes(), 8)
+    blocks = b"".join(bytes([len(x)]) + x for x in (data[k : k + 255] for k in range(0, len(data), 255)))
+    head = b"GIF89a" + struct.pack("<HHBBB", w, h, 0xF7, 0, 0) + palette.tobytes() + b"\x21\xf9\x04\x01\0\0\xff\0"
+    return head + b"\x2c" + struct.pack("<HHHHB", 0, 0, w, h, 0) + b"\x08" + blocks + b"\0;"
+
+
 def _weights(old: int, new: int) -> np.ndarray:
     """How much each old line adds to each new one, by the cubic kernel of Catmull and Rom stretched to the scale."""
     scale = max(1.0, old / new)
@@ -195,8 +340,8 @@ def resample(rgba: np.ndarray, w: int, h: int) -> np.ndarray:
 def fetched_image(content_type: str | None, body: bytes, edge: int = 0, most: int = 5 << 20) -> dict:
     """An image ready for use, or why it isn't: data, mime, width, height, resized, orig_w, orig_h, error.
 
-    PNG images are scaled down to ``edge``; for the other kinds the decoders are missing
-    here, which the error says. What is larger than ``most`` bytes is an error that
+    PNG and GIF images are scaled down to ``edge`` and keep their kind (of a GIF, the first
+    picture); for the other kinds the decoders are missing here, which the error says. What is larger than ``most`` bytes is an error that
     suggests an edge.
     """
     out = dict.fromkeys(("data", "mime", "width", "height", "resized", "orig_w", "orig_h", "error"))
@@ -212,10 +357,12 @@ def fetched_image(content_type: str | None, body: bytes, edge: int = 0, most: in
     data, (w, h), resized = body, size, False
     if 0 < edge < max(size):
         try:
-            if image_kind(None, body) != "image/png":
+            own = image_kind(None, body)
+            if own not in ("image/png", "image/gif"):
                 raise ValueError(f"no decoder for {kind}")
             w, h = scaled_size(*size, edge)
-            data, kind, resized = write_png(resample(read_png(body), w, h)), "image/png", True
+            read, write = (read_gif, write_gif) if own == "image/gif" else (read_png, write_png)
+            data, kind, resized = write(resample(read(body), w, h)), own, True
         except (ValueError, zlib.error, struct.error) as e:
             return out | {"error": f"resize failed: {e}"}
     if len(data) > most:

@@ -170,7 +170,34 @@ def test_pictures():
     assert pixels.image_size(b"GIF89a" + struct.pack("<HH", 7, 9)) == (7, 9)
     assert pixels.image_size(b"\xff\xd8\xff\xe0\0\4xx\xff\xc0\0\x11\x08" + struct.pack(">HH", 5, 6) + b"\0" * 9) == (6, 5)
     assert pixels.image_size(b"RIFF\0\0\0\0WEBPVP8X" + b"\0" * 8 + b"\x09\0\0\x04\0\0") == (10, 5)
-    assert "no decoder" in pixels.fetched_image("image/gif", b"GIF89a" + struct.pack("<HH", 900, 9), 10)["error"]
+    assert "resize failed" in pixels.fetched_image("image/gif", b"GIF89a" + struct.pack("<HH", 900, 9), 10)["error"]
+    assert "no decoder" in pixels.fetched_image("image/webp", b"RIFF\0\0\0\0WEBPVP8X" + b"\0" * 8 + b"\x09\0\0\x04\0\0", 3)["error"]
+
+
+@given(st.binary(min_size=1, max_size=3000), st.integers(2, 8))
+def test_lzw(data, least):
+    data = bytes(b % (1 << least) for b in data)
+    assert pixels._lzw_decoded(pixels._lzw_encoded(data, least), least, len(data)) == data
+
+
+def test_gif():
+    rng = np.random.default_rng(3)
+    levels = [np.rint(np.arange(n) * 255 / (n - 1)) for n in (6, 7, 6)]
+    rgba = np.stack([rng.choice(x, (90, 120)) for x in levels] + [np.full((90, 120), 255)], axis=-1).astype(np.uint8)
+    rgba[:9, :9] = 0
+    gif = pixels.write_gif(rgba)
+    assert pixels.image_size(gif) == (120, 90) and (pixels.read_gif(gif) == rgba).all()
+    flat = np.zeros((100, 200, 4), np.uint8) + np.array([255, 0, 255, 255], np.uint8)
+    out = pixels.fetched_image("image/gif", pixels.write_gif(flat), 50)
+    assert (out["mime"], out["width"], out["height"], out["error"]) == ("image/gif", 50, 25, "") and (pixels.read_gif(out["data"]) == flat[:25, :50]).all()
+    # two colours, four interlaced lines, one clear
+    small = b"GIF89a" + struct.pack("<HHBBB", 1, 4, 0x80, 0, 0) + bytes([9, 9, 9, 7, 7, 7]) + b"\x21\xf9\x04\x01\0\0\1\0\x2c" + struct.pack("<HHHHB", 0, 0, 1, 4, 0x40) + b"\2"
+    data = pixels._lzw_encoded(bytes([0, 0, 1, 0]), 2)
+    got = pixels.read_gif(small + bytes([len(data)]) + data + b"\0;")
+    assert [tuple(x) for x in got[:, 0]] == [(9, 9, 9, 255), (0, 0, 0, 0), (9, 9, 9, 255), (9, 9, 9, 255)]
+    for cut in (10, 20, len(gif) // 2):
+        with pytest.raises(ValueError):
+            pixels.read_gif(gif[:cut])
 
 
 @pytest.mark.parametrize("kind", range(5))
