@@ -1,15 +1,17 @@
 """Records that hold template residue, filler, error messages or script notices instead of content.
 
-Texts are cut into messages (sentences, lines). In each, numbers, addresses, dates, names
-and placeholders are masked, and equal masked messages are grouped by an exact hash over
-all sources. Phrase and placeholder rules then classify them:
+Texts are cut into messages (sentences, lines). In each of them, whatever it says and
+whatever stands beside it, numbers, addresses, dates, names and placeholders are masked,
+and equal masked messages are grouped by an exact hash over all sources. A hash carries
+what phrase and placeholder rules say of its message; they classify the groups:
 
 * A notice is made of notice words. Its *phrases* are stems of what such messages say
   happened or ask for (not found, denied, expired, turn on), its *company* the words that
   go with them (page, server, please, later). A message with a phrase, three quarters of
   whose words are notice words, is a notice wherever it stands; from three fifths, or if it
-  opens with a phrase and goes on in words of its own, it is one if it recurs widely, that
-  is, on a share of all sources. No message is listed as a whole.
+  opens with a phrase and goes on in words of its own, it is one if it recurs widely: a
+  group that the rules call a notice, or a doubtful one, on a share of all sources and on
+  most of its own, is a notice in all its places. No message is listed as a whole.
 * An unfilled place is a placeholder that stands where a value belongs; how many sources
   have it doesn't clear it.
 * A mention speaks of templates, forms or manuals and shows a placeholder, or quotes a
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm import boilerplate
-from pagemill.session import stored
+from pagemill.session import bounded_broadcast, stored
 
 #: Share of all sources from which a masked message recurs widely, and the fewest sources that can show it.
 WIDE_SHARE, WIDE_LEAST = 0.01, 3
@@ -130,18 +132,13 @@ _SENTENCE = re.compile(r"(?<=[.!?…])\s+(?![a-zа-яё])|(?<=[。！？])\s*|\n
 _TAGS = re.compile(r"</?(?:b|strong|em|i|mark|span)\b[^>]*>", re.I)
 _NUM, _HEX = re.compile(r"\d+"), re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b")
 _URL = re.compile(r"https?://\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:test|example|com|org|net|invalid)\b|(?<=\s)/[\w/.-]+")
-_NAME = re.compile(r"(?<=[\w,;“«„] )[A-ZА-ЯЁ][a-zа-яё]{2,}\b")
+# capital and small letters of the Latin, Greek and Cyrillic scripts
+_CAPITAL, _SMALL = ("".join(c for c in map(chr, range(0x41, 0x530)) if test(c)) for test in (str.isupper, str.islower))
+_NAME = re.compile(rf"(?<=[\w,;“«„] )[{_CAPITAL}][{_SMALL}]{{2,}}\b")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿]")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def mask(message: str) -> str:
-    """The message with numbers, addresses, identifiers, names and placeholders masked."""
-    s = _PLACE.sub("\x01", message)
-    s = _NAME.sub("N", _NUM.sub("0", _HEX.sub("H", _URL.sub("U", s))))
-    return " ".join(s.casefold().split())
-
-
 def messages(text: str) -> list[str]:
     if "<" in text:
         text = _TAGS.sub("", text)
@@ -159,6 +156,26 @@ def _may_be_notice_word(word: str) -> bool:
     return word not in _NEUTRAL and (_WITH.fullmatch(word) is not None or _PHRASE_WORD.fullmatch(word) is not None)
 
 
+#: Words of the rules as they are listed, with the endings of plurals only: names often begin like a stem.
+_RULE_WORD = re.compile("(?:" + "|".join(sorted(set(_COMPANY), key=len, reverse=True)) + ")|(?:" + "|".join(x for x in sorted(set(_COMPANY), key=len, reverse=True) if len(x) > 3) + ")(?:n|en|s|es)")
+
+
+@lru_cache(maxsize=200_000)
+def _name_mask(name: str) -> str:
+    word = name.casefold()
+    return name if _RULE_WORD.fullmatch(word) or _PHRASE.fullmatch(word) or _MENTION.search(word) else "N"
+
+
+def mask(message: str) -> str:
+    """The message with numbers, addresses, identifiers, names and placeholders masked; words of the rules stay, capitalised or not."""
+    s = _PLACE.sub("\x01", message) if _PLACE_MARK.search(message) else message
+    if "/" in s or s.find(".", 0, -1) >= 0:
+        s = _URL.sub("U", s)
+    if _NUM.search(s):
+        s = _NUM.sub("0", _HEX.sub("H", s))
+    return " ".join(_NAME.sub(lambda m: _name_mask(m[0]), s).casefold().split())
+
+
 def may_be_notice(words: list[str]) -> bool:
     """False only if so few words are in the rules that no phrase can bring the message to a notice's share, and it doesn't open as one."""
     known = list(map(_may_be_notice_word, words))
@@ -237,50 +254,47 @@ def kind_of(message: str, code: bool = False) -> int:
 #: Bits of what a text's messages are.
 HAS_UNFILLED, HAS_NOTICE, HAS_CONTENT = 1, 2, 4
 _BITS = {CONTENT: HAS_CONTENT, MENTION: HAS_CONTENT, NOTICE: HAS_NOTICE, PLACE: HAS_UNFILLED, UNFILLED: HAS_UNFILLED}
+#: Low bits of a message's hash in which its kind stands.
+KIND_BITS = 3
 
 
 @lru_cache(maxsize=100_000)
-def _judged(message: str, code: bool) -> tuple[int, int | None]:
-    """(bits, the masked message's hash if the message is doubtful; the hash is even if it else counts as content)."""
-    kind = kind_of(message, code)
-    if kind in (DOUBTFUL_CONTENT, DOUBTFUL_ASIDE):
-        return 0, boilerplate.hash_of(mask(message)) & ~1 | (kind == DOUBTFUL_ASIDE)
-    return _BITS.get(kind, 0), None
+def message_hash(message: str, code: bool = False) -> int:
+    """The masked message's hash, its lowest bits replaced by the message's kind; what is shown as code is grouped apart."""
+    return boilerplate.hash_of("\x02" + mask(message) if code else mask(message)) >> KIND_BITS << KIND_BITS | kind_of(message, code)
 
 
-def text_evidence(text: str, code: bool = False) -> tuple[int, list[int]]:
-    """(bits of what the text's messages are, hashes of the doubtful ones).
+def message_hashes(text: str, code: bool = False) -> list[int]:
+    """``message_hash`` of every message of the text."""
+    return [message_hash(m, code) for m in messages(text)]
 
-    Beside content nothing but an unfilled place matters any more, so a text with content
-    has no doubtful messages, and without a mark of such a place the rest isn't looked at.
-    """
-    marked = "&" in text or _PLACE_MARK.search(text) is not None or _may_be_unfilled(text.casefold())
+
+def text_evidence(text: str, code: bool = False) -> tuple[int, list[int]]:
+    """What one text says without its corpus: (bits of what its messages are by the rules, hashes of those left to their groups)."""
     bits, doubtful = 0, []
-    for m in messages(text):
-        b, h = _judged(m, code)
-        bits |= b
-        if h is not None:
+    for h in message_hashes(text, code):
+        kind = h & (1 << KIND_BITS) - 1
+        bits |= _BITS.get(kind, 0)
+        if kind in (DOUBTFUL_CONTENT, DOUBTFUL_ASIDE):
             doubtful.append(h)
-        if bits & HAS_CONTENT and not marked:
-            break
-    return (bits, []) if bits & HAS_CONTENT else (bits, doubtful)
+    return bits, doubtful
 
 
 def line_evidence(x: "boilerplate.Line") -> tuple[int, list[int]]:
-    return text_evidence(x.text, x.code)
+    return 0, message_hashes(x.text, x.code)
 
 
-EVIDENCE = "field_name string, rec_id long, source long, bits int, hashes array<long>"
+EVIDENCE = "field_name string, rec_id long, source long, hashes array<long>"
 
 
 def _evidence_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        found = [text_evidence(t, bool(code)) for t, code in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.list_(pa.int64()))], names=[x.split()[0] for x in EVIDENCE.split(", ")])
+        found = [message_hashes(t, bool(code)) for t, code in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(found, pa.list_(pa.int64()))], names=[x.split()[0] for x in EVIDENCE.split(", ")])
 
 
 def evidence(texts: DataFrame) -> DataFrame:
-    """What the messages of each text are; ``texts`` has field_name, rec_id, source, text and code (whether it is shown as code)."""
+    """The messages of each text; ``texts`` has field_name, rec_id, source, text and code (whether it is shown as code)."""
     rows = texts.where("text is not null and text <> ''")
     return rows.select("field_name", "rec_id", F.xxhash64(F.coalesce("source", F.lit(""))).alias("source"), "text", "code").mapInArrow(_evidence_batches, EVIDENCE)
 
@@ -290,10 +304,10 @@ def snippet_texts(results: DataFrame) -> DataFrame:
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """The evidence of each line of the main slots of ``pages``, but for headlines."""
+    """The messages of each line of the main slots of ``pages``, but for headlines."""
     lines = boilerplate.classified_lines(pages, line_evidence)
     kept = lines.where((F.col("field_name") == "page.markdown") & ~F.col("drop") & (F.col("bits").bitwiseAND(boilerplate.TOP) == 0))
-    return kept.select("field_name", F.col("page_id").alias("rec_id"), F.col("host").alias("source"), F.col("extra").alias("bits"), "hashes")
+    return kept.select("field_name", F.col("page_id").alias("rec_id"), F.col("host").alias("source"), "hashes")
 
 
 def residue_records(texts: DataFrame) -> DataFrame:
@@ -305,18 +319,27 @@ def residue_records(texts: DataFrame) -> DataFrame:
     return judged_records(evidence(texts))
 
 
+def notice_groups(said: DataFrame, sources: int) -> DataFrame:
+    """(message) of the groups that are notices, of ``said`` (message, kind, source) of all ``sources``.
+
+    Each source counts once for a group: for it if the rules call one of its messages a
+    notice or doubtful, against it else.
+    """
+    telling = F.col("kind").isin(NOTICE, DOUBTFUL_CONTENT, DOUBTFUL_ASIDE)
+    groups = said.groupBy("message", "source").agg(F.bool_or(telling).alias("telling")).groupBy("message").agg(F.count("*").alias("sources"), F.count_if("telling").alias("telling"))
+    return groups.where((F.col("telling") >= max(WIDE_LEAST, WIDE_SHARE * sources)) & (2 * F.col("telling") > F.col("sources"))).select("message")
+
+
 def judged_records(found: DataFrame) -> DataFrame:
     """``residue_records`` of a table of evidence.
 
-    What recurs widely is counted over all sources, each message once for each of them.
+    Every message is grouped, those beside content too: they can't make their own record
+    residue, but show that the same message is a notice where it stands alone.
     """
     found = stored(found)
-    sources = found.select("source").distinct().count()
-    doubtful = found.select("field_name", "rec_id", "source", F.explode("hashes").alias("hash"))
-    recurring = doubtful.select(F.shiftright("hash", 1).alias("message"), "source").distinct().groupBy("message").count()
-    wide = recurring.where(F.col("count") >= max(WIDE_LEAST, WIDE_SHARE * sources)).select("message", F.lit(True).alias("wide"))
-    judged = doubtful.select("field_name", "rec_id", F.shiftright("hash", 1).alias("message"), (F.col("hash") % 2 == 0).alias("even")).join(wide, "message", "left")
-    bits = F.when(F.col("wide"), HAS_NOTICE).when(F.col("even"), HAS_CONTENT).otherwise(0)
-    every = judged.select("field_name", "rec_id", bits.alias("bits")).unionByName(found.select("field_name", "rec_id", "bits"))
-    has = lambda b: F.bool_or(F.col("bits").bitwiseAND(b) != 0)
-    return every.groupBy("field_name", "rec_id").agg(has(HAS_UNFILLED).alias("unfilled"), has(HAS_NOTICE).alias("notice"), has(HAS_CONTENT).alias("content")).where("unfilled or (notice and not content)").select("field_name", "rec_id")
+    said = found.select("field_name", "rec_id", "source", F.explode("hashes").alias("hash")).select("field_name", "rec_id", "source", F.shiftright("hash", KIND_BITS).alias("message"), F.col("hash").bitwiseAND((1 << KIND_BITS) - 1).alias("kind"))
+    notices = bounded_broadcast(stored(notice_groups(said, found.select("source").distinct().count()).withColumn("wide", F.lit(True))))
+    # a placeholder's kind is its own, as the mask doesn't tell how it was written
+    kind, wide = F.col("kind"), F.coalesce("wide", F.lit(False)) & ~F.col("kind").isin(PLACE, UNFILLED, MENTION)
+    every = said.join(notices, "message", "left").select("field_name", "rec_id", kind.isin(PLACE, UNFILLED).alias("unfilled"), ((kind == NOTICE) | wide).alias("notice"), (kind.isin(CONTENT, MENTION, DOUBTFUL_CONTENT) & ~wide).alias("content"))
+    return every.groupBy("field_name", "rec_id").agg(*[F.bool_or(c).alias(c) for c in ("unfilled", "notice", "content")]).where("unfilled or (notice and not content)").select("field_name", "rec_id")

@@ -77,3 +77,32 @@ def test_recurrence(spark):
     rows += [("g", k, f"h{k % 2}", "Access denied was all that the clerk had to say of it.", False) for k in range(4)]
     df = spark.createDataFrame(rows, "field_name string, rec_id long, source string, text string, code boolean")
     assert {tuple(r) for r in rs.residue_records(df).collect()} == {("f", k) for k in range(4)} | {("f", 10 + k) for k in range(4)}
+
+
+def test_every_message_is_grouped():
+    text = "Access denied by the gate keeper of Ann, so come back with a ticket next week. A long paragraph about the old ledger stands here. By Ann. Hello {{name}}."
+    assert len(rs.message_hashes(text)) == len(rs.messages(text)) == 4
+    assert {h >> rs.KIND_BITS for h in rs.message_hashes(text)} == {h >> rs.KIND_BITS for h in rs.message_hashes(text.replace("Ann", "Goran").replace("name", "user"))}
+
+
+def test_masks_keep_the_words_of_the_rules():
+    assert rs.mask("Seit gestern ist die Seite gelöscht") != rs.mask("Seit gestern ist die Brücke gelöscht")
+    assert rs.mask("Seit gestern ist die Brücke gelöscht") == rs.mask("Seit gestern ist die Straße gelöscht")
+    assert rs.mask("In the Handbook of Ann") == rs.mask("In the Handbook of Bob") != rs.mask("In the Town of Bob")
+
+
+def test_recurrence_beside_content(spark):
+    """Sources that show a message beside content count for it where it stands alone."""
+    notice, content = "Access denied by the gate keeper of {}, so come back with a ticket next week.", " The old ledger of the mill was mended with great care."
+    rows = [("f", k, f"h{k}", notice.format(f"{k}{k}") + (content if k else ""), False) for k in range(4)]
+    rows += [("g", k, f"h{k}", content, False) for k in range(4)]
+    df = spark.createDataFrame(rows, "field_name string, rec_id long, source string, text string, code boolean")
+    assert {tuple(r) for r in rs.residue_records(df).collect()} == {("f", 0)}
+    assert rs.residue_records(df.where("rec_id < 2")).count() == 0
+
+
+def test_groups_are_judged_by_most_of_their_sources(spark):
+    said = [(1, rs.DOUBTFUL_CONTENT, s) for s in range(4)] + [(2, rs.DOUBTFUL_CONTENT, s) for s in range(4)] + [(2, rs.CONTENT, s) for s in range(4, 9)] + [(3, rs.CONTENT, s) for s in range(9)] + [(4, rs.NOTICE, 1)] * 5
+    df = spark.createDataFrame(said, "message long, kind int, source long")
+    assert {r.message for r in rs.notice_groups(df, 300).collect()} == {1}
+    assert rs.notice_groups(df, 500).count() == 0
