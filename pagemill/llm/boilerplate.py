@@ -29,8 +29,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import accumulate, chain
 
 import pyarrow as pa
 import xxhash
@@ -58,6 +60,8 @@ LENT = 0.1
 POOLED = 0.03
 #: Share of its pages on which no body may follow a token that closes the main slot.
 CLOSING = 0.93
+#: Characters from which a line is too long to vary in a name only, and to be kept for when it comes again.
+SHORT = 120
 #: Share of its occurrences in a headline, or next after it, from which a label belongs to the content.
 TITLE, BYLINE = 0.01, 0.5
 
@@ -66,11 +70,11 @@ _HIDDEN = re.compile(r"<(script|style|title|noscript)\b.*?(?:</\1>|$)", re.I | r
 _LINK = re.compile(r"!?\[((?:[^\[\]]|\[[^\]]*\])*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)")
 _MARK = re.compile(r"^\s*(?:[-+*•]\s+|\d{1,3}[.)]\s+|#{1,6}\s+|>\s?)+")
 _RULE = re.compile(r"^[\s*_=\-|:+~`>#]*$")
-_SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _LABEL = re.compile(r"^([^:：|›»]{1,28}?\S)\s?[:：](?=\s|[^\x00-\x7f])")
 _TRAIL = re.compile(r"^([^›»/|]{1,30}?) [›»/] ")
 _NAME = re.compile(r"\b[A-Z][\w’']*")
+_SMALL_WORD = re.compile(r"\b[a-zß-ÿ]\w*")
 _STOP = re.compile(r"[.!?…](?=\s|$)|[。！？]")
 _H1 = re.compile(r"<h1\b", re.I)
 
@@ -79,8 +83,6 @@ _H1 = re.compile(r"<h1\b", re.I)
 class Line:
     no: int
     text: str
-    token: str
-    label: str | None
     heading: bool
     held: bool  # tables, images, quotations and code belong to the content whatever they say
     code: bool = False
@@ -106,6 +108,8 @@ def page_lines(text: str, is_html: bool) -> list[Line]:
     """The lines that show text, split at U+000A only and numbered from 0."""
     out, fenced, hidden = [], False, None
     for no, raw in enumerate(text.split("\n")):
+        if not raw:
+            continue
         held = heading = code = False
         if is_html:
             if hidden:
@@ -121,6 +125,9 @@ def page_lines(text: str, is_html: bool) -> list[Line]:
             held = low.startswith(("<tr", "<td", "<th", "<pre", "<code", "<blockquote", "<img", "<figure", "<table"))
             code = low.startswith(("<pre", "<code"))
             shown = html.unescape(_TAG.sub(" ", _HIDDEN.sub("", raw)))
+        elif raw[0].isalpha():
+            held = code = fenced
+            shown = _LINK.sub(r"\1", raw) if "](" in raw else raw
         else:
             if raw.lstrip().startswith("```"):
                 fenced = not fenced
@@ -129,18 +136,21 @@ def page_lines(text: str, is_html: bool) -> list[Line]:
             code = fenced or raw.startswith(("    ", "\t"))
             held = fenced or raw.startswith(("|", "    ", "\t", ">", "[image:", "!["))
             shown = _LINK.sub(r"\1", raw) if "](" in raw else raw
-            shown = _MARK.sub("", shown) if not fenced and not raw[:1].isalpha() else shown
+            shown = _MARK.sub("", shown) if not fenced else shown
             if _RULE.match(shown):
                 continue
-        shown = _SPACE.sub(" ", shown).strip()
-        if not shown:
-            continue
-        m, trail = _LABEL.match(shown), _TRAIL.match(shown)
-        label = token_of(trail[1]) + " ›" if trail else token_of(m[1]) + ":" if m else None
-        out.append(Line(no, shown, token_of(shown), label, heading, held, code))
+        shown = " ".join(shown.split())
+        if shown:
+            out.append(Line(no, shown, heading, held, code))
     return out
 
 
+def label_of(text: str) -> str | None:
+    """The token of the label or trail with which a line begins."""
+    m, trail = _LABEL.match(text), _TRAIL.match(text)
+    return token_of(trail[1]) + " ›" if trail else token_of(m[1]) + ":" if m else None
+
+
 def headline_at(lines: list[Line], title: str | None) -> int | None:
     """The line that is the page's headline: marked as such, else equal to the title."""
     for i, x in enumerate(lines):
@@ -154,10 +164,10 @@ def headline_at(lines: list[Line], title: str | None) -> int | None:
     return None
 
 
-def is_body(x: Line) -> bool:
+def is_body(text: str) -> bool:
     """A paragraph of the kind that main text has: several sentences, or one long."""
-    size = len(x.text.encode("utf-8", "replace"))
-    return size > 260 or size >= 95 and _STOP.search(x.text.rstrip(" .!?…。！？")) is not None
+    size = len(text.encode("utf-8", "replace"))
+    return size > 260 or size >= 95 and _STOP.search(text.rstrip(" .!?…。！？")) is not None
 
 
 _NUMBER_BEFORE = re.compile(r"^[(（]?(?:[^\W\d]+\.?º? ?)?[#№]?\s?0[)）]?\s?[号號]?[:：]?\s")
@@ -169,10 +179,12 @@ def headline_core(token: str) -> str:
     return _NUMBER_AFTER.sub("", _NUMBER_BEFORE.sub("", token)).strip()
 
 
-def masked(x: Line) -> str | None:
+def masked(text: str) -> str | None:
     """The token with names masked too, for lines that vary in a name only; None if little else is left."""
-    slots, n = _NAME.subn("N", x.text)
-    return "~" + token_of(slots) if n and len(x.text) < 120 and len(re.findall(r"\b[a-zß-ÿ]\w*", slots)) >= 2 else None
+    if len(text) >= SHORT:
+        return None
+    slots, n = _NAME.subn("N", text)
+    return "~" + token_of(slots) if n and len(_SMALL_WORD.findall(slots)) >= 2 else None
 
 
 def core_text(text: str) -> str:
@@ -186,11 +198,23 @@ def hash_of(token: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _line_hashes(text: str) -> tuple[tuple[int, ...], bool]:
+    return tuple(hash_of(t) for t in (token_of(text), label_of(text), masked(text)) if t), is_body(text)
+
+
+_short_line_hashes = lru_cache(maxsize=50_000)(_line_hashes)
+
+
+def line_hashes(text: str) -> tuple[tuple[int, ...], bool]:
+    """(hashes of the line's token and of its other tokens, whether it is a body); templates repeat short lines, which are kept."""
+    return _short_line_hashes(text) if len(text) < SHORT else _line_hashes(text)
+
+
 #: Bits of a line and of a token's places on a page.
 BEFORE, TOP, AFTER_TOP, HELD, BODY, CODE, CLOSES = 1, 2, 4, 8, 16, 32, 64
 
 #: What a caller may compute of each line besides: a number and hashes.
-Extra = Callable[[Line], tuple[int, list[int]]]
+Extra = Callable[[Line], tuple[int, Sequence[int]]]
 
 PAGE = pa.schema([
     ("is_html", pa.bool_()), ("page_id", pa.int64()), ("host", pa.int64()), ("page", pa.int64()), ("doc", pa.int64()),
@@ -200,39 +224,47 @@ PAGE = pa.schema([
 ROWS = "is_html boolean, page_id long, host long, page long, doc long, seen array<struct<token: long, n: int, first: int, bits: int>>, lines array<struct<no: int, bits: int, tokens: array<long>, extra: int, hashes: array<long>>>"
 
 
-def parsed_page(text: str, is_html: bool, title: str | None, extra: Extra | None = None) -> tuple[list[dict], list[dict]]:
-    """(what each token does on the page, the page's lines)."""
+def parsed_page(text: str, is_html: bool, title: str | None, extra: Extra | None = None) -> tuple[dict[int, list[int]], list[tuple]]:
+    """(what each token does on the page: token -> n, first, bits; the page's lines: no, bits, tokens, extra, hashes)."""
     lines = page_lines(text, is_html)
     top = headline_at(lines, title)
-    bodies = [i for i, x in enumerate(lines) if is_body(x)]
+    told = [line_hashes(x.text) for x in lines]
+    bodies = [i for i, (_, body) in enumerate(told) if body]
     last = bodies[-1] if bodies else -1
     opens = top if top is not None else bodies[0] if bodies else 0
-    seen: dict[int, dict] = {}
+    seen: dict[int, list[int]] = {}
     out = []
-    for i, x in enumerate(lines):
-        body = is_body(x)
-        bits = (BEFORE if top is not None and i < top else 0) | (TOP if i == top else 0) | (AFTER_TOP if top is not None and i == top + 1 else 0)
-        bits |= (HELD if x.held else 0) | (BODY if body else 0) | (CODE if x.code else 0)
-        names = [x.token, x.label, masked(x)]
-        tokens = [hash_of(t) for t in (names[:1] if body else names) if t]
+    for i, (x, (names, body)) in enumerate(zip(lines, told)):
+        bits = (HELD if x.held else 0) | (BODY if body else 0) | (CODE if x.code else 0)
+        if top is not None and i <= top + 1:
+            bits |= BEFORE if i < top else TOP if i == top else AFTER_TOP
+        tokens = names[:1] if body else names
         if i == top:
-            core = headline_core(x.token)
-            names += [core, masked(Line(0, core_text(x.text), "", None, False, False)) if core else None]
+            core = headline_core(token_of(x.text))
+            names += tuple(hash_of(t) for t in (core, masked(core_text(x.text)) if core else None) if t)
         # a token closes the slot of this page if it stands after the headline and no body follows it
-        closes = i > last and (top is None or i > top)
-        for t in {hash_of(t) for t in names if t}:
+        keep = (CLOSES if i > last and (top is None or i > top) else 0) | (BEFORE if i < opens else 0) | TOP | AFTER_TOP | BODY
+        more = bits & (TOP | AFTER_TOP | BODY)
+        for t in set(names):
             v = seen.get(t)
             if v is None:
-                v = seen[t] = {"token": t, "n": 0, "first": i, "bits": CLOSES | BEFORE}
-            v["n"] += 1
-            v["bits"] |= bits & (TOP | AFTER_TOP | BODY)
-            if not closes:
-                v["bits"] &= ~CLOSES
-            if i >= opens:
-                v["bits"] &= ~BEFORE
-        more = extra(x) if extra else (0, [])
-        out.append({"no": x.no, "bits": bits, "tokens": tokens, "extra": more[0], "hashes": more[1]})
-    return list(seen.values()), out
+                v = seen[t] = [0, i, CLOSES | BEFORE]
+            v[0] += 1
+            v[2] = (v[2] | more) & keep
+        number, hashes = extra(x) if extra else (0, ())
+        out.append((x.no, bits, tokens, number, hashes))
+    return seen, out
+
+
+def _lists(values: list, kind: pa.ListType) -> pa.ListArray:
+    """The array of ``kind`` of lists of numbers or of structs, which come as tuples; column by column, without an object for each struct."""
+    offsets, flat = pa.array([0, *accumulate(map(len, values))], pa.int32()), list(chain.from_iterable(values))
+    inner = kind.value_type
+    if not pa.types.is_struct(inner):
+        return pa.ListArray.from_arrays(offsets, pa.array(flat, inner))
+    columns = list(zip(*flat)) or [()] * inner.num_fields
+    parts = [_lists(c, f.type) if pa.types.is_list(f.type) else pa.array(c, f.type) for c, f in zip(columns, inner)]
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(parts, fields=list(inner)))
 
 
 def _page_batches(extra: Extra | None):
@@ -243,8 +275,9 @@ def _page_batches(extra: Extra | None):
                 text, is_html = page_text(markdown, raw, kind)
                 if text is not None:
                     seen, lines = parsed_page(text, is_html, title, None if is_html else extra)
-                    rows.append({"is_html": is_html, "page_id": page_id, "host": host, "page": page, "doc": hash_of(f"{page_id} {host} {is_html} {title} {text}"), "seen": seen, "lines": lines})
-            yield pa.RecordBatch.from_pylist(rows, schema=PAGE)
+                    rows.append((is_html, page_id, host, page, hash_of(f"{page_id} {host} {is_html} {title} {text}"), [(t, *v) for t, v in seen.items()], lines))
+            columns = list(zip(*rows)) or [()] * len(PAGE)
+            yield pa.RecordBatch.from_arrays([_lists(c, f.type) if pa.types.is_list(f.type) else pa.array(c, f.type) for c, f in zip(columns, PAGE)], schema=PAGE)
 
     return run
 

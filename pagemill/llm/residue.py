@@ -28,6 +28,7 @@ import html
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,7 +69,7 @@ _PHRASES = (
     # English
     "not (?:be )?found", "\\w+n.t (?:be )?f(?:ou|i)nd", "not exist", "\\w+n.t exist", "no longer (?:exist|available|here|active)\\w*", "not available", "\\w+n.t available", "unavailab", "moved", "removed", "deleted", "mistyped", "error", "went wrong", "fail(?:ed|ure)",
     "denied", "forbidden", "unauthori", "not authori", "permission", "suspend", "expir", "maintenance", "timed? ?out", "time-?out", "overload", "too many", "too busy", "blocked", "rate limit", "disabled", "switched off", "turned off", "out of date", "not support", "unsupported",
-    "enabl", "activat", "turn on", "switch on", "allow", "checking your", "checking if", "checking the", "verify", "verif", "confirm (?:that )?you", "not a robot", "(?:are|re) (?:a )?human", "captcha", "loading", "coming soon", "under construction", "nothing (?:here|to see|found|yet)", "giving up", "default page", "it works", "web server is installed", "no site has been set up",
+    "enabl", "activat", "turn on", "switch on", "allow", "checking your", "checking if", "checking the", "verify", "verif", "confirm (?:that )?you", "not a robot", "are (?:a )?human", "re (?:a )?human", "captcha", "loading", "coming soon", "under construction", "nothing (?:here|to see|found|yet)", "giving up", "default page", "it works", "web server is installed", "no site has been set up",
     "bad (?:request|gateway)", "gone", "invalid", "broken", "offline", "unexpected", "interrupted", "refused", "rejected", "unreachable", "unable to", "can(?:.t|not) (?:be )?(?:found|show|display|reach|connect|open|load|process|complete|access)\\w*", "did not get an answer", "need(?:s)? (?:scripts?|javascript)", "requires? (?:scripts?|javascript)", "try (?:again|later)", "sign in again", "log in again", "is down", "be (?:right )?back", "not implemented", "not allowed",
     "lorem", "ipsum", "dummy", "sample text", "placeholder text", "filler text", "text (?:goes )?here", "your (?:own )?text", "your own words", "replace this", "insert (?:your )?text",
     # German
@@ -101,7 +102,16 @@ _NEUTRAL = frozenset(
 _WIDE_PHRASES = ("見つかりません", "ありません", "存在しません", "エラー", "拒否", "禁止", "メンテナンス", "有効にして", "オンにして", "確認して", "確認中", "チェックして", "切れました", "切れて", "期限", "お試し", "停止", "利用できません", "表示できません", "読み込み中", "準備中", "工事中", "サンプル", "ダミー", "テキストを入力", "失敗", "ロボット", "削除", "無効", "入ります")
 _WIDE_COMPANY = ("ページ", "お探し", "指定", "要求", "サイト", "サーバー", "サーバ", "アクセス", "ブラウザー", "ブラウザ", "セッション", "アカウント", "コンテンツ", "スクリプト", "リンク", "アドレス", "javascript", "もう一度", "後で", "しばらく", "してから", "発生", "ただいま", "現在", "続ける", "続行", "表示", "ここに", "こちらに", "テキスト", "文章", "本文", "の", "が", "を", "は", "に", "で", "も", "と", "へ", "から", "まで", "して", "した", "しま", "され", "です", "ます", "ません", "でした", "ました", "ください", "下さい", "います", "中", "する", "には", "ため", "た", "か", "い")
 
-_PHRASE = re.compile(r"(?<!\w)(?:" + "|".join(_PHRASES) + r")\w*")
+
+
+def _by_first_letter(patterns: tuple[str, ...]) -> str:
+    """The alternation of ``patterns``, each of which begins with a letter or ``\\w+``, as a choice by that letter, in their order."""
+    letters = "".join(sorted({p[0] for p in patterns if p[0] != "\\"}))
+    rest = lambda c: "|".join(p[1:] if p[0] == c else r"\w*" + p[3:] for p in patterns if p[0] == c or p.startswith(r"\w+"))
+    return "|".join([*(f"{c}(?:{rest(c)})" for c in letters), rf"[^\W{letters}](?:{rest('')})"])
+
+
+_PHRASE = re.compile(rf"(?<!\w)(?:{_by_first_letter(_PHRASES)})\w*")
 _WITH = re.compile(r"(?:" + "|".join(sorted(set(_COMPANY), key=len, reverse=True)) + r")(?:s|es|ed|ing|e|es|n|en|r|er|a|o|os|as|y|ion|ions|ily|ly|\w{0,3})?")
 _WIDE_PHRASE, _WIDE_WITH = re.compile("|".join(_WIDE_PHRASES)), re.compile("|".join(sorted(_WIDE_PHRASES + _WIDE_COMPANY, key=len, reverse=True)))
 _NUMBERED = re.compile(r"\b(?:reference|request id|incident|ref|ray id|trace)\b[:#]?\s*[\w-]*$", re.I)
@@ -128,7 +138,8 @@ _MENTION = re.compile(
 
 _ASIDE = re.compile(r"^(?:reference|request id|incident|ref|ray id|trace)\b[:#]?\s*[\w-]*$|^\[image:.*\]$|^!\[.*\]\(.*\)$|^[\W\d_]*$", re.I)
 _ASIDE_WORDS = ("reference", "request", "incident", "ref", "ray", "trace")
-_SENTENCE = re.compile(r"(?<=[.!?…])\s+(?![a-zа-яё])|(?<=[。！？])\s*|\n")
+# the last character of a message, and the white space after it; begins with a set, which is searched for fast
+_END = re.compile(r"[.!?…。！？\n](?:(?<=[.!?…])\s+(?![a-zа-яё])|(?<=[。！？])\s*|(?<=\n))")
 _TAGS = re.compile(r"</?(?:b|strong|em|i|mark|span)\b[^>]*>", re.I)
 _NUM, _HEX = re.compile(r"\d+"), re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b")
 _URL = re.compile(r"https?://\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:test|example|com|org|net|invalid)\b|(?<=\s)/[\w/.-]+")
@@ -144,7 +155,12 @@ def messages(text: str) -> list[str]:
         text = _TAGS.sub("", text)
     if "&" in text:
         text = html.unescape(text)
-    return [m for x in _SENTENCE.split(text) if (m := x.strip())]
+    out, start = [], 0
+    for end in _END.finditer(text):
+        out.append(text[start : end.start() + 1].strip())
+        start = end.end()
+    out.append(text[start:].strip())
+    return [m for m in out if m]
 
 
 #: Stems of all words that stand in phrases.
@@ -166,40 +182,122 @@ def _name_mask(name: str) -> str:
     return name if _RULE_WORD.fullmatch(word) or _PHRASE.fullmatch(word) or _MENTION.search(word) else "N"
 
 
-def mask(message: str) -> str:
-    """The message with numbers, addresses, identifiers, names and placeholders masked; words of the rules stay, capitalised or not."""
-    s = _PLACE.sub("\x01", message) if _PLACE_MARK.search(message) else message
+#: Marks of a message that only the full rules can judge: of placeholders, unfilled templates and request numbers.
+_SPECIAL = re.compile(r"[{\[%$@_#«*<]|undefined|\(nan|placeholder|xxx|xx\.xx|todo:|null:|thanks|welcome|ref|request|incident|ray|trace")
+_NAME_AT = re.compile(rf"[{_CAPITAL}][{_SMALL}]{{2,}}\b")
+_BEFORE_NAME = re.compile(r"[\w,;“«„]")
+
+
+def _masked_numbers(s: str) -> str:
+    """``s``, which has no placeholder, with addresses, identifiers and numbers masked."""
     if "/" in s or s.find(".", 0, -1) >= 0:
         s = _URL.sub("U", s)
     if _NUM.search(s):
         s = _NUM.sub("0", _HEX.sub("H", s))
+    return s
+
+
+#: Bits of a field of a tally, and the fields: how many words there are, that tell something, that may be notice words, of filler Latin, of keyboard filler; whether there are special marks.
+_FIELD = 32
+_WORDS, _TELLING, _KNOWN, _LATIN_WORDS, _KEY_WORDS, _MARKS = (_FIELD * i for i in range(6))
+
+
+def _of(tally: int, field: int) -> int:
+    return tally >> field & (1 << _FIELD) - 1
+
+
+class _Pieces(dict):
+    """What is known of a piece of a message between white space: (masked; masked with the name it begins with, if any; whether a name may follow; tally).
+
+    The same pieces come again and again, so no rule reads them twice; memory is bounded by starting anew.
+    """
+
+    LIMIT = 100_000
+
+    def __missing__(self, piece: str) -> tuple[str, str | None, bool, int]:
+        # white space before the piece, as it has in its message
+        s = _masked_numbers(" " + piece)[1:]
+        name = _NAME_AT.match(s)
+        plain, low = s.casefold(), piece.casefold()
+        tally = 1 << _MARKS if _SPECIAL.search(low) else 0
+        for w in _WORD.findall(low):
+            tally += (1 << _WORDS) + ((w not in _NEUTRAL) << _TELLING) + (_may_be_notice_word(w) << _KNOWN) + ((w in _LATIN) << _LATIN_WORDS) + ((w in _KEYS) << _KEY_WORDS)
+        if len(self) >= self.LIMIT:
+            self.clear()
+        found = self[piece] = plain, (_name_mask(name[0]) + s[name.end() :]).casefold() if name else None, _BEFORE_NAME.match(s[-1]) is not None, tally
+        return found
+
+
+_PIECES = _Pieces()
+
+
+def _read(message: str) -> tuple[str | None, int]:
+    """(the mask, if it follows from the pieces one by one; the tally of the message's words)."""
+    pieces = message.split()
+    if not pieces:
+        return "", 0
+    plain, named, follows, tallies = zip(*map(_PIECES.__getitem__, pieces))
+    tally = sum(tallies)
+    # placeholders have white space, and names follow one blank; an address that is a path needs one before it
+    alone = tally >> _MARKS and _PLACE_MARK.search(message) or message.startswith("/") or " ".join(pieces) != message
+    if alone:
+        return None, tally
+    if any(named):
+        plain = [n if n and after else p for p, n, after in zip(plain, named, (False, *follows))]
+    return " ".join(plain), tally
+
+
+def mask(message: str) -> str:
+    """The message with numbers, addresses, identifiers, names and placeholders masked; words of the rules stay, capitalised or not."""
+    masked, _ = _read(message)
+    return _mask_whole(message) if masked is None else masked
+
+
+def _mask_whole(message: str) -> str:
+    s = _masked_numbers(_PLACE.sub("\x01", message) if _PLACE_MARK.search(message) else message)
     return " ".join(_NAME.sub(lambda m: _name_mask(m[0]), s).casefold().split())
 
 
-def may_be_notice(words: list[str]) -> bool:
+def _may_be_notice(low: str, tally: int) -> bool:
     """False only if so few words are in the rules that no phrase can bring the message to a notice's share, and it doesn't open as one."""
-    known = list(map(_may_be_notice_word, words))
-    n, telling = sum(known), len(words) - sum(map(_NEUTRAL.__contains__, words))
-    return n > 0 and ((n + 4) / (telling + 4) >= COVERED_IF_WIDE or all(known[:2]))
+    n = _of(tally, _KNOWN)
+    return n > 0 and ((n + 4) / (_of(tally, _TELLING) + 4) >= COVERED_IF_WIDE or all(_may_be_notice_word(m[0]) for m in islice(_WORD.finditer(low), 2)))
 
 
-def notice_share(message: str) -> tuple[bool, float]:
-    """(whether the message has the phrase of a notice outside quotation marks, the share of notice words among its telling words)."""
-    low = _HEX.sub(" ", _URL.sub(" ", _NUMBERED.sub("", message))).casefold()
+@lru_cache(maxsize=100_000)
+def _goes_with(word: str) -> bool:
+    return _WITH.fullmatch(word) is not None
+
+
+def _masked_ids(s: str) -> str:
+    if "/" in s or s.find(".", 0, -1) >= 0:
+        s = _URL.sub(" ", s)
+    return _HEX.sub(" ", s) if _NUM.search(s) else s
+
+
+def notice_share(message: str, numbered: bool = True, short: bool = True) -> tuple[bool, float]:
+    """(whether the message has the phrase of a notice outside quotation marks, the share of notice words among its telling words).
+
+    ``numbered`` is whether the message may end with a request number, ``short`` whether the share is asked for without a phrase, too; else it is then 0.
+    """
+    low = _masked_ids(_NUMBERED.sub("", message) if numbered else message).casefold()
     if len(_WIDE.findall(low)) > 2:
-        low = _ASCII_WORD.sub(lambda m: "" if _WITH.fullmatch(m[0]) or _PHRASE.fullmatch(m[0]) else m[0], _QUOTED.sub("", low))
+        low = _ASCII_WORD.sub(lambda m: "" if _goes_with(m[0]) or _PHRASE.fullmatch(m[0]) else m[0], _QUOTED.sub("", low))
         letters = "".join(c for c in low if c.isalpha())
         rest = _WIDE_WITH.sub("", letters)
         return _WIDE_PHRASE.search(letters) is not None, 1 - len(rest) / len(letters) if letters else 0.0
     spans = [m.span() for m in _PHRASE.finditer(_QUOTED.sub(lambda m: "\x00" * len(m[0]), low))]
+    if not spans:
+        telling = [w for w in _WORD.findall(low) if w not in _NEUTRAL] if short else []
+        return False, sum(map(_goes_with, telling)) / len(telling) if telling else 0.0
     told = covered = 0
     for m in _WORD.finditer(low):
         if any(a <= m.start() < b for a, b in spans):
             told, covered = told + 1, covered + 1
         elif m[0] not in _NEUTRAL:
             told += 1
-            covered += _WITH.fullmatch(m[0]) is not None
-    return bool(spans), covered / told if told else 0.0
+            covered += _goes_with(m[0])
+    return True, covered / told if told else 0.0
 
 
 def opens_as_notice(message: str) -> bool:
@@ -208,7 +306,7 @@ def opens_as_notice(message: str) -> bool:
     run = []
     for w in low.split():
         m = _WORD.match(w)
-        if m is None or not (_WITH.fullmatch(m[0]) or _PHRASE.fullmatch(m[0])):
+        if m is None or not (_goes_with(m[0]) or _PHRASE.fullmatch(m[0])):
             break
         run.append(m[0])
     return len(run) >= 2 and _PHRASE.search(" ".join(run)) is not None
@@ -219,34 +317,42 @@ CONTENT, ASIDE, NOTICE, PLACE, MENTION, UNFILLED, DOUBTFUL_CONTENT, DOUBTFUL_ASI
 
 
 def kind_of(message: str, code: bool = False) -> int:
+    return _kind(message, code, _read(message)[1])
+
+
+def _kind(message: str, code: bool, tally: int) -> int:
     low = message.casefold().strip()
-    unfilled = _may_be_unfilled(low) and _UNFILLED.search(message) is not None
-    if unfilled or _PLACE_MARK.search(message) and _PLACE.search(message):
-        if code or message.startswith("<") and message.endswith(">") and not unfilled:
-            return MENTION
-        if _MENTION.search(message):
-            return MENTION
-        return UNFILLED if unfilled else PLACE
+    special = tally >> _MARKS
+    if special:
+        unfilled = _may_be_unfilled(low) and _UNFILLED.search(message) is not None
+        if unfilled or _PLACE_MARK.search(message) and _PLACE.search(message):
+            if code or message.startswith("<") and message.endswith(">") and not unfilled:
+                return MENTION
+            if _MENTION.search(message):
+                return MENTION
+            return UNFILLED if unfilled else PLACE
     if not message[0].isalpha() and _ASIDE.match(message) or low.startswith(_ASIDE_WORDS) and _ASIDE.match(message):
         return NOTICE if _CODE_ONLY.fullmatch(low) and len(message) > 3 else ASIDE
     if _TRACE.match(message) or _CODE_ONLY.fullmatch(low):
         return NOTICE
-    words = _WORD.findall(_NUMBERED.sub("", low) if low[-1].isalnum() else low)
-    latin = sum(map(_LATIN.__contains__, words))
-    if words and latin >= 0.8 * len(words) and (len(words) > 2 or "ipsum" in words):
+    if special and low[-1].isalnum():
+        low = _NUMBERED.sub("", low)
+        tally = _read(low)[1]
+    words = _of(tally, _WORDS)
+    if words and _of(tally, _LATIN_WORDS) >= 0.8 * words and (words > 2 or "ipsum" in _WORD.findall(low)):
         return NOTICE
-    if words and sum(map(_KEYS.__contains__, words)) >= 0.8 * len(words):
+    if words and _of(tally, _KEY_WORDS) >= 0.8 * words:
         return NOTICE
     wide = 0 if message.isascii() else len(_WIDE.findall(message))
-    content = message[-1] in ".!?…。！？" and (len(words) >= 4 or wide >= 8) or len(words) >= 9 or wide >= 20
-    if wide < 3 and not may_be_notice(words):
+    content = message[-1] in ".!?…。！？" and (words >= 4 or wide >= 8) or words >= 9 or wide >= 20
+    if wide < 3 and not _may_be_notice(low, tally):
         return CONTENT if content else ASIDE
-    phrase, share = notice_share(message)
+    phrase, share = notice_share(message, special > 0, words <= 8)
     if phrase and share >= COVERED and not _MENTION.search(message):
         return NOTICE
     if phrase and not code and (share >= COVERED_IF_WIDE or opens_as_notice(message)) and not _MENTION.search(message):
         return DOUBTFUL_CONTENT if content else DOUBTFUL_ASIDE
-    if share >= COVERED and len(words) <= 8:
+    if share >= COVERED and words <= 8:
         return ASIDE
     return CONTENT if content else ASIDE
 
@@ -261,7 +367,10 @@ KIND_BITS = 3
 @lru_cache(maxsize=100_000)
 def message_hash(message: str, code: bool = False) -> int:
     """The masked message's hash, its lowest bits replaced by the message's kind; what is shown as code is grouped apart."""
-    return boilerplate.hash_of("\x02" + mask(message) if code else mask(message)) >> KIND_BITS << KIND_BITS | kind_of(message, code)
+    masked, tally = _read(message)
+    if masked is None:
+        masked = _mask_whole(message)
+    return boilerplate.hash_of("\x02" + masked if code else masked) >> KIND_BITS << KIND_BITS | _kind(message, code, tally)
 
 
 def message_hashes(text: str, code: bool = False) -> list[int]:
@@ -269,6 +378,9 @@ def message_hashes(text: str, code: bool = False) -> list[int]:
     return [message_hash(m, code) for m in messages(text)]
 
 
+_short_message_hashes = lru_cache(maxsize=50_000)(message_hashes)
+
+
 def text_evidence(text: str, code: bool = False) -> tuple[int, list[int]]:
     """What one text says without its corpus: (bits of what its messages are by the rules, hashes of those left to their groups)."""
     bits, doubtful = 0, []
@@ -281,7 +393,7 @@ def text_evidence(text: str, code: bool = False) -> tuple[int, list[int]]:
 
 
 def line_evidence(x: "boilerplate.Line") -> tuple[int, list[int]]:
-    return 0, message_hashes(x.text, x.code)
+    return 0, _short_message_hashes(x.text, x.code) if len(x.text) < boilerplate.SHORT else message_hashes(x.text, x.code)
 
 
 EVIDENCE = "field_name string, rec_id long, source long, hashes array<long>"

@@ -2,6 +2,7 @@
 
 import pytest
 
+from pagemill.llm import boilerplate
 from pagemill.llm import residue as rs
 
 
@@ -106,3 +107,31 @@ def test_groups_are_judged_by_most_of_their_sources(spark):
     df = spark.createDataFrame(said, "message long, kind int, source long")
     assert {r.message for r in rs.notice_groups(df, 300).collect()} == {1}
     assert rs.notice_groups(df, 500).count() == 0
+
+
+def test_rules_read_each_recurring_thing_once(monkeypatch):
+    """Lines of templates and words recur on most pages; the rules look at each of them once, not once a page."""
+    monkeypatch.setattr(rs, "messages", lambda text, whole=rs.messages: (read.append(text), whole(text))[1])
+    read, menu = [], "Read the {} of the Zanthorpe observatory"
+    lines = [rs.line_evidence(boilerplate.page_lines(menu.format(k % 4), False)[0]) for k in range(200)]
+    assert sorted(read) == sorted(menu.format(k) for k in range(4)) and len({tuple(h) for _, h in lines}) == 1
+
+
+@pytest.mark.parametrize(
+    "message",
+    [
+        "Yesterday Ann met Bob, and Carol left", "Ann met  Bob Carol", "/a/b is at /c/d of https://x.test/e.", "Ref 0a1f22 of Page 12", "see {{ first name }} and [[ Ann Bob ]]", "the Page, the Handbook, “Ann said",
+        "Kept at ß İstanbul ŉx ٣٤ \x1c Ann", "x.test Ann U Bob 12 Carol", "The Seite gelöscht; Ann's", "…", "a" * 5000,
+    ],
+)
+def test_masks_by_pieces_and_as_a_whole_agree(message):
+    """A mask put together from the known pieces of a message is the one that its whole text gives."""
+    for _ in range(2):
+        assert rs.mask(message) == rs._mask_whole(message)
+
+
+def test_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(rs._Pieces, "LIMIT", 50)
+    said = [f"Word{chr(97 + k // 26)}{chr(97 + k % 26)} met the Page not found" for k in range(400)]
+    kinds = [rs.kind_of(m) for m in said]
+    assert len(rs._PIECES) <= 50 and kinds == [rs.kind_of(m) for m in said]
